@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # What counts as a number and as a date.
 FLOAT_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 NUMERIC_TEXT = r"^-?[0-9]+(\.[0-9]+)?$"
-ISO_DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+ISO_DATE_TEXT = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 DIGIT_GROUPING = r"(?<=[0-9])_(?=[0-9])"
 
 
@@ -27,7 +27,8 @@ def tolerant_long(text: Column) -> Column:
 
     The pattern keeps out what a plain cast would let through: ``1d``, ``nan``, ``inf``.
     """
-    plain = F.regexp_replace(text.cast("string"), DIGIT_GROUPING, "")
+    raw = text.cast("string")
+    plain = F.when(raw.contains("_"), F.regexp_replace(raw, DIGIT_GROUPING, "")).otherwise(raw)
     return F.when(plain.rlike(FLOAT_TEXT), plain.try_cast("double").try_cast("bigint"))
 
 
@@ -38,4 +39,4 @@ def is_numeric_text(text: Column) -> Column:
 def iso_date(text: Column, lenient: bool = False) -> Column:
     """``yyyy-MM-dd`` as a date, else NULL. Lenient reads the first ten characters, so a time part may follow."""
     day = F.substring(text, 1, 10) if lenient else text
-    return F.when(day.rlike(ISO_DATE_TEXT), F.try_to_date(day, "yyyy-MM-dd"))
+    return F.when(day.rlike(ISO_DATE_TEXT), day.try_cast("date"))

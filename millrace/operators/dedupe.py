@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,15 +25,16 @@ def keep_latest(df: DataFrame, key: str, order: str | Sequence[str] = "bronze_ro
 
 
 def keep_latest_counted(df: DataFrame, key: str, order: str = "bronze_row_id", copies: str = "_copies") -> DataFrame:
-    """:func:`keep_latest` plus the number of copies the key had, in one shuffle.
+    """:func:`keep_latest` plus the number of copies the key had.
 
-    An aggregate instead of a window, because a window that counts would gather every
-    copy of a key in one task; ``max_by`` and ``count`` combine before the shuffle.
+    A window that counts would gather every copy of a key in one task. Instead a narrow
+    aggregate counts, and meets the survivors on the same partitioning: no further shuffle.
+    The text key makes NULL an ordinary value of that join. Where the count is not used,
+    Spark drops the aggregate and the join.
     """
-    rest = [F.col(c) for c in df.columns if c != key]
-    latest: Column = F.max_by(F.struct(*rest), F.col(order))
-    grouped = df.groupBy(key).agg(latest.alias("_latest"), F.count(F.lit(1)).alias(copies))
-    return grouped.select(key, "_latest.*", copies)
+    keyed = df.withColumn("_key", F.when(F.col(key).isNull(), "").otherwise(F.concat(F.lit("="), F.col(key))))
+    counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias(copies))
+    return keep_latest(keyed, "_key", order).join(counts, "_key", "left").drop("_key")
 
 
 def mark_repeated(df: DataFrame, key: str, row_id: str = "bronze_row_id", marker: str = "_repeated") -> DataFrame:

@@ -40,20 +40,27 @@ BLOCKING = (
 )
 
 
-def _conditions(kind: OrderKind) -> dict[str, Column]:
-    """One condition per flag over a bronze row with its three markers.
+def with_readings(orders: DataFrame, kind: OrderKind) -> DataFrame:
+    """``_quantity``, ``_ordered`` and ``_due``: what the texts say, read once per row."""
+    return orders.withColumns(
+        {
+            "_quantity": tolerant_long(F.col("quantity")),
+            "_ordered": iso_date(F.col("order_date")),
+            "_due": iso_date(F.col(kind.delivery)),
+        }
+    )
 
-    ``_raw_material_id`` is the material as it arrived, ``material_id`` the trimmed one.
-    """
-    partner, quantity = F.col(kind.partner), tolerant_long(F.col("quantity"))
-    ordered, due = iso_date(F.col("order_date")), iso_date(F.col(kind.delivery))
+
+def _conditions(kind: OrderKind) -> dict[str, Column]:
+    """One condition per flag over a bronze row with its readings and its three markers."""
+    partner, quantity, ordered = F.col(kind.partner), F.col("_quantity"), F.col("_ordered")
     return {
-        "UNKNOWN_PARTNER": blank_to_null(partner).isNotNull() & ~F.col("_partner_known"),
+        "UNKNOWN_PARTNER": F.col("_partner_key").isNotNull() & ~F.col("_partner_known"),
         "MISSING_MATERIAL": ~F.col("_material_known"),
-        "MISSING_PARTNER": is_missing(partner),
+        "MISSING_PARTNER": F.col("_partner_key").isNull(),
         "MISSING_ORDER_DATE": is_missing(F.col("order_date")),
         "MISSING_QUANTITY": is_missing(F.col("quantity")),
-        "DELIVERY_BEFORE_ORDER": due < ordered,
+        "DELIVERY_BEFORE_ORDER": F.col("_due") < ordered,
         "INVALID_STATUS": ~F.coalesce(F.col("status").isin(*kind.statuses), F.lit(False)),
         "NON_POSITIVE_QUANTITY": quantity <= 0,
         "QUANTITY_OUTLIER": quantity > LARGEST_USUAL_QUANTITY,
@@ -98,7 +105,7 @@ def flag_orders(
     values = [
         F.col("_arrived_material").alias("material_id") if c == "material_id" else F.col(c) for c in orders.columns
     ]
-    return marked.select(*values, flag_array(kind).alias("dq_flags"))
+    return with_readings(marked, kind).select(*values, flag_array(kind).alias("dq_flags"))
 
 
 def profile(flagged: DataFrame) -> DataFrame:

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import iso_date, tolerant_long
 from millrace.model import OrderKind
 from millrace.operators.dedupe import keep_latest_counted
 from millrace.operators.lookup import BROADCAST_LIMIT
-from millrace.plans.quality import flag_array, mark_references
+from millrace.plans.quality import flag_array, mark_references, with_readings
 
 
 def silver_orders(
@@ -28,14 +27,14 @@ def silver_orders(
     latest = keep_latest_counted(bronze.select("bronze_row_id", *kind.bronze_columns), kind.id)
     counted = latest.withColumn("_repeated", F.col("_copies") > 1)
     marked = mark_references(counted, partners, materials, kind, broadcast_limit)
-    return marked.select(
+    return with_readings(marked, kind).select(
         "bronze_row_id",
         kind.id,
-        iso_date(F.col("order_date")).alias("order_date"),
+        F.col("_ordered").alias("order_date"),
         F.col("_partner_key").alias(kind.partner),
         F.when(F.col("_material_known"), F.col("material_id")).alias("material_id"),
-        tolerant_long(F.col("quantity")).alias("quantity"),
-        iso_date(F.col(kind.delivery)).alias(kind.delivery),
+        F.col("_quantity").alias("quantity"),
+        F.col("_due").alias(kind.delivery),
         "status",
         flag_array(kind).alias("dq_flags"),
     )

@@ -1,12 +1,13 @@
 """Supply-chain tables as SQL over the given parquet tables.
 
-The text is the same for Spark and for the checking database, apart from the row id. Odd
-order lines are purchase lines, even ones sales lines; every fifth part is a raw material.
-(order, line) repeats with conflicting values, which makes the choice of a copy matter.
-
-``bronze_row_id`` is 60 bits of a hash over every column a bronze row is made of: rows that
-share it are equal in all columns, so it orders copies without ranking them, and no window
-has to gather the copies of a line.
+The text is the same for Spark and for the checking database. Odd order lines are purchase
+lines, even ones sales lines; every fifth part is a raw material. (order, line) repeats with
+conflicting values, which makes the choice of a copy matter. Typed orders have no defects,
+bronze orders are text and about 9% of them have one.
+
+``bronze_row_id`` folds every column a bronze row is made of into 62 bits: rows that share it
+are equal in all columns, so it orders copies without ranking them, and no window has to
+gather the copies of a line.
 """
 
 from __future__ import annotations
@@ -17,16 +18,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 SOURCES = ("nation", "customer", "supplier", "part", "orders", "lineitem")
 
-_ROW_KEY = (
-    "concat_ws('|', cast(l_orderkey AS string), cast(l_linenumber AS string), cast(l_partkey AS string), "
-    "cast(l_suppkey AS string), cast(cast(l_quantity AS bigint) AS string), l_returnflag, l_linestatus)"
-)
-ROW_ID = {
-    "spark": f"cast(conv(substr(md5({_ROW_KEY}), 1, 15), 16, 10) AS bigint)",
-    "duckdb": f"cast(concat('0x', substr(md5({_ROW_KEY}), 1, 15)) AS bigint)",
-}
-CLEAN = "-1"
-DIRTY = (
+
+def _fold(prime: int, factor: int) -> str:
+    """Polynomial over the columns of a row, modulo a prime below 2^31; no step leaves BIGINT."""
+    small = "cast(l_quantity AS bigint) * 65536 + ascii(l_returnflag) * 256 + ascii(l_linestatus)"
+    value = f"(l_orderkey * 10 + l_linenumber) % {prime}"
+    for column in ("l_partkey", "l_suppkey", small):
+        value = f"(({value}) * {factor} + {column}) % {prime}"
+    return value
+
+
+ROW_ID = f"(({_fold(2147483647, 1103515245)}) * 2147483648 + {_fold(2147483629, 1812433253)})"
+DEFECT = (
     "CASE WHEN (l_orderkey * 7 + l_linenumber * 13 + l_partkey) % 100 < 9 "
     "THEN (l_orderkey * 7 + l_linenumber * 13 + l_partkey) % 100 ELSE -1 END"
 )
@@ -65,6 +68,17 @@ SELECT {padded(_literal("WH"), "n_nationkey + 1", 3)} AS warehouse_id,
        {padded(_literal("PL"), "n_regionkey + 1", 3)} AS plant_id
 FROM {{nation}}"""
 
+PURCHASE_STATUS = """CASE WHEN concat(l_returnflag, l_linestatus) = 'NO' THEN 'CREATED'
+            WHEN concat(l_returnflag, l_linestatus) = 'NF' THEN 'CONFIRMED'
+            WHEN concat(l_returnflag, l_linestatus) = 'RO' THEN 'CANCELLED'
+            ELSE 'DELIVERED' END"""
+
+SALES_STATUS = """CASE WHEN o_orderpriority = '1-URGENT' THEN 'DELIVERED'
+            WHEN o_orderpriority = '2-HIGH' THEN 'SHIPPED'
+            WHEN o_orderpriority = '3-MEDIUM' THEN 'CONFIRMED'
+            WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'CREATED'
+            ELSE 'CANCELLED' END"""
+
 PURCHASE_ORDERS = f"""
 SELECT bronze_row_id,
        {padded(_literal("PO"), "k", 6)} AS purchase_order_id,
@@ -87,14 +101,11 @@ SELECT bronze_row_id,
             ELSE cast(od + cast(3 + l_partkey % 19 AS int) AS string) END AS expected_delivery_date,
        CASE WHEN defect = 4 THEN CASE l_orderkey % 6 WHEN 0 THEN 'DELIVERD' WHEN 1 THEN 'CONFIRMED '
                  WHEN 2 THEN 'confirmed' WHEN 3 THEN 'PENDING' WHEN 4 THEN 'SHIPPED' ELSE '' END
-            WHEN concat(l_returnflag, l_linestatus) = 'NO' THEN 'CREATED'
-            WHEN concat(l_returnflag, l_linestatus) = 'NF' THEN 'CONFIRMED'
-            WHEN concat(l_returnflag, l_linestatus) = 'RO' THEN 'CANCELLED'
-            ELSE 'DELIVERED' END AS status
+            ELSE {PURCHASE_STATUS} END AS status
 FROM (
   SELECT l_orderkey, l_returnflag, l_linestatus, l_partkey, l_quantity,
          cast(o_orderdate AS date) AS od, l_orderkey * 10 + l_linenumber AS k,
-         {{defect}} AS defect, {{row_id}} AS bronze_row_id,
+         {DEFECT} AS defect, {ROW_ID} AS bronze_row_id,
          {padded(_literal("SUP"), "l_suppkey", 3)} AS sup, l_partkey - l_partkey % 5 AS rm
   FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
   WHERE l_linenumber % 2 = 1
@@ -122,24 +133,42 @@ SELECT bronze_row_id,
             ELSE cast(od + cast(5 + l_partkey % 26 AS int) AS string) END AS requested_delivery_date,
        CASE WHEN defect = 4 THEN CASE l_orderkey % 6 WHEN 0 THEN 'DELIVERD' WHEN 1 THEN 'Shipped'
                  WHEN 2 THEN 'CONFIRMED ' WHEN 3 THEN 'pending' WHEN 4 THEN 'INVOICED' ELSE '' END
-            WHEN o_orderpriority = '1-URGENT' THEN 'DELIVERED'
-            WHEN o_orderpriority = '2-HIGH' THEN 'SHIPPED'
-            WHEN o_orderpriority = '3-MEDIUM' THEN 'CONFIRMED'
-            WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'CREATED'
-            ELSE 'CANCELLED' END AS status
+            ELSE {SALES_STATUS} END AS status
 FROM (
   SELECT l_orderkey, l_partkey, l_quantity, o_orderpriority,
          cast(o_orderdate AS date) AS od, l_orderkey * 10 + l_linenumber AS k,
-         {{defect}} AS defect, {{row_id}} AS bronze_row_id,
+         {DEFECT} AS defect, {ROW_ID} AS bronze_row_id,
          {padded(_literal("CUS"), "o_custkey", 3)} AS cus,
          CASE WHEN l_partkey % 5 = 0 THEN l_partkey + 1 ELSE l_partkey END AS fg
   FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
   WHERE l_linenumber % 2 = 0
 ) lines"""
 
+TYPED_PURCHASE_ORDERS = f"""
+SELECT {padded(_literal("PO"), "l_orderkey * 10 + l_linenumber", 6)} AS purchase_order_id,
+       cast(o_orderdate AS date) AS order_date,
+       {padded(_literal("SUP"), "l_suppkey", 3)} AS supplier_id,
+       {padded(_literal("RM"), "l_partkey - l_partkey % 5", 4)} AS material_id,
+       cast(l_quantity AS bigint) AS quantity,
+       cast(o_orderdate AS date) + cast(3 + l_partkey % 19 AS int) AS expected_delivery_date,
+       {PURCHASE_STATUS} AS status
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
+WHERE l_linenumber % 2 = 1"""
+
+TYPED_SALES_ORDERS = f"""
+SELECT {padded(_literal("SO"), "l_orderkey * 10 + l_linenumber", 6)} AS sales_order_id,
+       cast(o_orderdate AS date) AS order_date,
+       {padded(_literal("CUS"), "o_custkey", 3)} AS customer_id,
+       {padded(_literal("FG"), "CASE WHEN l_partkey % 5 = 0 THEN l_partkey + 1 ELSE l_partkey END", 4)} AS material_id,
+       cast(l_quantity AS bigint) AS quantity,
+       cast(o_orderdate AS date) + cast(5 + l_partkey % 26 AS int) AS requested_delivery_date,
+       {SALES_STATUS} AS status
+FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
+WHERE l_linenumber % 2 = 0"""
+
 # One delivery per purchase line, on the day the line was shipped.
 SUPPLIER_DELIVERIES = f"""
-SELECT {padded(_literal("DL"), "{row_id}", 6)} AS delivery_id,
+SELECT {padded(_literal("DL"), ROW_ID, 6)} AS delivery_id,
        {padded(_literal("PO"), "l_orderkey * 10 + l_linenumber", 6)} AS purchase_order_id,
        {padded(_literal("SUP"), "l_suppkey", 3)} AS supplier_id,
        cast(l_shipdate AS date) AS delivery_date
@@ -148,7 +177,7 @@ WHERE l_linenumber % 2 = 1"""
 
 # One production run per sales line: the part's raw material in, the finished good out.
 PRODUCTION_OUTPUT = f"""
-SELECT {padded(_literal("PR"), "{row_id}", 6)} AS production_output_id,
+SELECT {padded(_literal("PR"), ROW_ID, 6)} AS production_output_id,
        {padded(_literal("MO"), "l_orderkey * 10 + l_linenumber", 6)} AS production_order_id,
        {padded(_literal("RM"), "l_partkey - l_partkey % 5", 4)} AS input_material_id,
        cast(l_quantity AS bigint) AS input_quantity,
@@ -166,83 +195,35 @@ TABLES = {
     "warehouses": WAREHOUSES,
     "purchase_orders": PURCHASE_ORDERS,
     "sales_orders": SALES_ORDERS,
+    "typed_purchase_orders": TYPED_PURCHASE_ORDERS,
+    "typed_sales_orders": TYPED_SALES_ORDERS,
     "supplier_deliveries": SUPPLIER_DELIVERIES,
     "production_output": PRODUCTION_OUTPUT,
 }
 
 
-@cache
-def table_sql(name: str, dialect: str, dirty: bool = False) -> str:
-    """SQL of a table; the source tables stay in braces for Spark and are plain names for the database."""
-    text = TABLES[name].replace("{row_id}", ROW_ID[dialect]).replace("{defect}", DIRTY if dirty else CLEAN)
-    if dialect == "spark":
-        return text
+def table_sql(name: str) -> str:
+    """SQL of a table over plainly named source tables."""
+    text = TABLES[name]
     for source in SOURCES:
         text = text.replace("{" + source + "}", source)
     return text
 
 
 class Bridge:
-    """The supply-chain tables of one data folder as DataFrames."""
+    """The supply-chain tables of one data folder as DataFrames, by attribute."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
-    def _table(self, name: str, dirty: bool = False) -> DataFrame:
-        text = table_sql(name, "spark", dirty)
-        used = {source: self._source(source) for source in SOURCES if "{" + source + "}" in text}
-        return self.spark.sql(text, **used)
-
     @cache
-    def _source(self, name: str) -> DataFrame:
+    def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    @property
-    def suppliers(self) -> DataFrame:
-        return self._table("suppliers")
-
-    @property
-    def customers(self) -> DataFrame:
-        return self._table("customers")
-
-    @property
-    def materials(self) -> DataFrame:
-        return self._table("materials")
-
-    @property
-    def warehouses(self) -> DataFrame:
-        return self._table("warehouses")
-
-    @property
-    def supplier_deliveries(self) -> DataFrame:
-        return self._table("supplier_deliveries")
-
-    @property
-    def production_output(self) -> DataFrame:
-        return self._table("production_output")
-
-    def purchase_orders(self, dirty: bool = True) -> DataFrame:
-        """Bronze text rows."""
-        return self._table("purchase_orders", dirty)
-
-    def sales_orders(self, dirty: bool = True) -> DataFrame:
-        return self._table("sales_orders", dirty)
-
-    def typed(self, orders: DataFrame, delivery: str) -> DataFrame:
-        """Defect-free bronze rows by plain casts, the short way to gold."""
-        return orders.withColumns(
-            {
-                "quantity": orders["quantity"].cast("bigint"),
-                "order_date": orders["order_date"].cast("date"),
-                delivery: orders[delivery].cast("date"),
-            }
-        )
-
-    @property
-    def typed_purchase_orders(self) -> DataFrame:
-        return self.typed(self.purchase_orders(dirty=False), "expected_delivery_date")
-
-    @property
-    def typed_sales_orders(self) -> DataFrame:
-        return self.typed(self.sales_orders(dirty=False), "requested_delivery_date")
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise AttributeError(name)
+        text = TABLES[name]
+        used = {source: self.source(source) for source in SOURCES if "{" + source + "}" in text}
+        return self.spark.sql(text, **used)

@@ -33,8 +33,8 @@ def _with(ctes: dict[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items()) + "\n" + body
 
 
-def _tables(*names: str, dirty: bool = False) -> dict[str, str]:
-    return {name: table_sql(name, "duckdb", dirty) for name in names}
+def _tables(*names: str) -> dict[str, str]:
+    return {name: table_sql(name) for name in names}
 
 
 def _rate(part: str, whole: str, digits: int = 4) -> str:
@@ -46,17 +46,11 @@ def _rate(part: str, whole: str, digits: int = 4) -> str:
     )
 
 
-# Typed orders: by plain casts, or through silver.
+# Typed orders: without defects, or through silver.
 
 
 def _typed(o: dict[str, str]) -> dict[str, str]:
-    return {
-        **_tables(o["table"]),
-        f"typed_{o['table']}": f"""
-SELECT {o["id"]}, cast(order_date AS date) AS order_date, {o["partner"]}, material_id,
-       cast(quantity AS bigint) AS quantity, cast({o["delivery"]} AS date) AS {o["delivery"]}, status
-FROM {o["table"]}""",
-    }
+    return _tables(f"typed_{o['table']}")
 
 
 _NUMBER = r"'^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$'"
@@ -97,7 +91,7 @@ def _flagged(o: dict[str, str]) -> dict[str, str]:
     """Every bronze row with its flags, number among the copies and copy count."""
     t = o["table"]
     return {
-        **_tables(t, o["partners"], "materials", dirty=True),
+        **_tables(t, o["partners"], "materials"),
         f"counted_{t}": f"""
 SELECT *, row_number() OVER (PARTITION BY {o["id"]} ORDER BY bronze_row_id DESC) AS copy,
        count(*) OVER (PARTITION BY {o["id"]}) AS copies,
@@ -290,7 +284,7 @@ def _shipment_lines() -> str:
 
 
 _ORDERS_AND_WAREHOUSES = (
-    _tables("purchase_orders", "sales_orders", "materials", "warehouses", dirty=True)
+    _tables("purchase_orders", "sales_orders", "materials", "warehouses")
     | _SPLIT_WAREHOUSES
     | _latest(_PO)
     | _latest(_SO)
@@ -354,7 +348,7 @@ FROM (
   WHERE copy = 1
 ) totals"""
 
-_DELIVERIES = _tables("purchase_orders", "supplier_deliveries", dirty=True) | {
+_DELIVERIES = _tables("purchase_orders", "supplier_deliveries") | {
     "due": f"""
 SELECT purchase_order_id, {_day("expected_delivery_date")} AS expected_date FROM (
   SELECT *, row_number() OVER (PARTITION BY purchase_order_id ORDER BY bronze_row_id DESC) AS copy
@@ -433,17 +427,22 @@ ORACLES: dict[str, str] = {
     **{name: _gold_sql(name, _typed) for name in _GOLD},
     **{f"{name}_on_silver": _gold_sql(name, _silver) for name in _GOLD},
     "gold_written": _gold_written(),
-    "bronze_conform": _with(_tables("purchase_orders"), f"SELECT {_raw(_PO)} FROM purchase_orders"),
+    "bronze_conform": _with(
+        _typed(_PO),
+        "SELECT "
+        + ", ".join(f"cast({c} AS string) AS {c}" for c in _raw(_PO).split(", "))
+        + " FROM typed_purchase_orders",
+    ),
     "silver_purchase_orders": _with(_silver(_PO), "SELECT * FROM typed_purchase_orders"),
     "silver_sales_orders": _with(_silver(_SO), "SELECT * FROM typed_sales_orders"),
     "dedupe_keep_last": _with(
-        _tables("purchase_orders", dirty=True),
+        _tables("purchase_orders"),
         """SELECT * EXCLUDE (copy) FROM (
   SELECT *, row_number() OVER (PARTITION BY purchase_order_id ORDER BY bronze_row_id DESC) AS copy
   FROM purchase_orders) c WHERE copy = 1""",
     ),
     "fk_nullify": _with(
-        _tables("sales_orders", "materials", dirty=True),
+        _tables("sales_orders", "materials"),
         """SELECT * REPLACE (CASE WHEN trim(material_id) IN
   (SELECT material_id FROM materials WHERE material_type = 'FINISHED_GOOD') THEN trim(material_id) END AS material_id)
 FROM sales_orders""",
@@ -460,7 +459,7 @@ FROM sales_orders""",
     ),
     "dq_impact": _with(_ORDERS_AND_WAREHOUSES | _silver(_PO), _IMPACT),
     "text_checks": _with(
-        _tables("sales_orders", dirty=True),
+        _tables("sales_orders"),
         f"""SELECT bronze_row_id, {_SALES_NUMBER} AS order_number, nullif(trim(customer_id), '') AS customer,
   {_day("order_date")} AS strict_date, {_day("substr(order_date, 1, 10)")} AS lenient_date,
   coalesce(regexp_matches(quantity, '^-?[0-9]+(\\.[0-9]+)?$'), false) AS numeric_quantity,
@@ -468,9 +467,9 @@ FROM sales_orders""",
 FROM sales_orders""",
     ),
     "clean_delivered_po": _with(
-        _tables("purchase_orders", dirty=True) | _latest(_PO), "SELECT * FROM latest_purchase_orders"
+        _tables("purchase_orders") | _latest(_PO), "SELECT * FROM latest_purchase_orders"
     ),
-    "clean_shipped_so": _with(_tables("sales_orders", dirty=True) | _latest(_SO), "SELECT * FROM latest_sales_orders"),
+    "clean_shipped_so": _with(_tables("sales_orders") | _latest(_SO), "SELECT * FROM latest_sales_orders"),
     "goods_receipts": _with(_ORDERS_AND_WAREHOUSES, _numbered("receipts", "bronze_row_id")),
     "sales_shipments": _with(_ORDERS_AND_WAREHOUSES, _numbered("shipments", "bronze_row_id")),
     "inventory_transactions": _with(_LEDGER, _numbered("lines", "transaction_type, bronze_row_id")),
@@ -495,18 +494,18 @@ UNION ALL SELECT warehouse_id, material_id, transaction_type, quantity FROM prod
     ),
     "reconcile_po_receipts": _with(_ORDERS_AND_WAREHOUSES, _RECONCILE),
     "next_id": _with(
-        _tables("purchase_orders", "sales_orders", dirty=True),
+        _tables("purchase_orders", "sales_orders"),
         _next(_PO, "PO", "purchase") + " UNION ALL " + _next(_SO, "SO", "sales"),
     ),
     "hash_routing": _with(
-        _tables("sales_orders", "warehouses", dirty=True) | _SPLIT_WAREHOUSES,
+        _tables("sales_orders", "warehouses") | _SPLIT_WAREHOUSES,
         f"""SELECT bronze_row_id, sales_order_id, warehouse_id, of_2, of_1000003 FROM (
   SELECT *, {_md5_modulo("sales_order_id", "(SELECT max(size) FROM routes)")} AS route,
          {_md5_modulo("sales_order_id", "2")} AS of_2, {_md5_modulo("sales_order_id", "1000003")} AS of_1000003
   FROM sales_orders) o JOIN routes USING (route)""",
     ),
     "dense_ids": _with(
-        _tables("purchase_orders", dirty=True),
+        _tables("purchase_orders"),
         "SELECT bronze_row_id, purchase_order_id, row_number() OVER (ORDER BY bronze_row_id) AS row_number "
         "FROM purchase_orders",
     ),
@@ -524,9 +523,9 @@ GROUP BY supplier_id""",
     ),
     "materials_by_type": _with(_tables("materials"), "SELECT * FROM materials"),
     "upsert_master": _MASTER,
-    "csv_roundtrip": _with(_tables("purchase_orders", dirty=True), f"SELECT {_raw(_PO)} FROM purchase_orders"),
+    "csv_roundtrip": _with(_tables("purchase_orders"), f"SELECT {_raw(_PO)} FROM purchase_orders"),
     "csv_import": _with(
-        _tables("purchase_orders", dirty=True),
+        _tables("purchase_orders"),
         f"""SELECT {_read_from_csv(_PO)} FROM (
   SELECT *, row_number() OVER (PARTITION BY purchase_order_id ORDER BY bronze_row_id DESC) AS copy
   FROM purchase_orders) c WHERE copy = 1""",
@@ -541,7 +540,7 @@ FROM (SELECT supplier_id, count(*) AS deliveries, count(*) FILTER (status = 'ON_
              sum(delay_days)::BIGINT AS days
       FROM dated WHERE status IS NOT NULL GROUP BY supplier_id) t""",
     ),
-    "stream_ingest": _with(_tables("sales_orders", dirty=True), f"SELECT {_read_from_csv(_SO)} FROM sales_orders"),
+    "stream_ingest": _with(_tables("sales_orders"), f"SELECT {_read_from_csv(_SO)} FROM sales_orders"),
     "stream_receipts": _with(
         _BOOKED,
         """SELECT transaction_date, warehouse_id, material_id, transaction_type, quantity, reference_id FROM booked_lines

@@ -59,7 +59,7 @@ def _typed(b: Bridge, kind: OrderKind) -> DataFrame:
 
 
 def _bronze(b: Bridge, kind: OrderKind) -> DataFrame:
-    return b.purchase_orders() if kind is PURCHASE else b.sales_orders()
+    return b.purchase_orders if kind is PURCHASE else b.sales_orders
 
 
 def _partners(b: Bridge, kind: OrderKind) -> DataFrame:
@@ -139,12 +139,12 @@ def silver_sales_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedupe_keep_last(spark: SparkSession, folder: str) -> DataFrame:
-    return keep_latest(Bridge(spark, folder).purchase_orders(), PURCHASE.id)
+    return keep_latest(Bridge(spark, folder).purchase_orders, PURCHASE.id)
 
 
 def fk_nullify(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    return repair_material(b.sales_orders(), b.materials, SALES)
+    return repair_material(b.sales_orders, b.materials, SALES)
 
 
 def dq_flags_purchase(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,14 +168,14 @@ def dq_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_impact(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    delivered = movements.fulfilled_orders(b.purchase_orders(), PURCHASE)
+    delivered = movements.fulfilled_orders(b.purchase_orders, PURCHASE)
     receipts = movements.receipt_lines(delivered, b.materials, b.warehouses)
     return quality.impact(_silver(b, PURCHASE), receipts, PURCHASE)
 
 
 def text_checks(spark: SparkSession, folder: str) -> DataFrame:
     """The tolerant readings side by side, over every bronze sales order."""
-    orders = Bridge(spark, folder).sales_orders()
+    orders = Bridge(spark, folder).sales_orders
     return orders.select(
         "bronze_row_id",
         parse_id(F.col("sales_order_id"), SALES.id_prefix).alias("order_number"),
@@ -191,30 +191,30 @@ def text_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_delivered_po(spark: SparkSession, folder: str) -> DataFrame:
-    return movements.fulfilled_orders(Bridge(spark, folder).purchase_orders(), PURCHASE)
+    return movements.fulfilled_orders(Bridge(spark, folder).purchase_orders, PURCHASE)
 
 
 def clean_shipped_so(spark: SparkSession, folder: str) -> DataFrame:
-    return movements.fulfilled_orders(Bridge(spark, folder).sales_orders(), SALES)
+    return movements.fulfilled_orders(Bridge(spark, folder).sales_orders, SALES)
 
 
 def goods_receipts(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    return movements.goods_receipts(b.purchase_orders(), b.materials, b.warehouses)
+    return movements.goods_receipts(b.purchase_orders, b.materials, b.warehouses)
 
 
 def sales_shipments(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    return movements.sales_shipments(b.sales_orders(), b.materials, b.warehouses)
+    return movements.sales_shipments(b.sales_orders, b.materials, b.warehouses)
 
 
 def inventory_transactions(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    return movements.inventory_transactions(b.purchase_orders(), b.sales_orders(), b.materials, b.warehouses)
+    return movements.inventory_transactions(b.purchase_orders, b.sales_orders, b.materials, b.warehouses)
 
 
 def _ledger_lines(b: Bridge) -> DataFrame:
-    return movements.ledger_lines(b.purchase_orders(), b.sales_orders(), b.materials, b.warehouses)
+    return movements.ledger_lines(b.purchase_orders, b.sales_orders, b.materials, b.warehouses)
 
 
 def transaction_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -238,32 +238,32 @@ def receipt_references(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _booked_ledger(b: Bridge) -> DataFrame:
-    earlier = b.purchase_orders().where(F.col("order_date") < BOOKED_BEFORE)
+    earlier = b.purchase_orders.where(F.col("order_date") < BOOKED_BEFORE)
     return movements.goods_receipts(earlier, b.materials, b.warehouses)
 
 
 def incremental_receipts(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    return movements.new_receipts(b.purchase_orders(), _booked_ledger(b), b.materials, b.warehouses)
+    return movements.new_receipts(b.purchase_orders, _booked_ledger(b), b.materials, b.warehouses)
 
 
 def reconcile_po_receipts(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    delivered = movements.fulfilled_orders(b.purchase_orders(), PURCHASE)
+    delivered = movements.fulfilled_orders(b.purchase_orders, PURCHASE)
     receipts = movements.receipt_lines(delivered, b.materials, b.warehouses)
-    return reconcile_receipts(b.purchase_orders(), b.materials, receipts)
+    return reconcile_receipts(b.purchase_orders, b.materials, receipts)
 
 
 def next_id(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    purchase = next_number(b.purchase_orders(), PURCHASE.id, PURCHASE.id_prefix)
-    sales = next_number(b.sales_orders(), SALES.id, SALES.id_prefix)
+    purchase = next_number(b.purchase_orders, PURCHASE.id, PURCHASE.id_prefix)
+    sales = next_number(b.sales_orders, SALES.id, SALES.id_prefix)
     return purchase.withColumn("orders", F.lit("purchase")).unionByName(sales.withColumn("orders", F.lit("sales")))
 
 
 def hash_routing(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    routed = movements.route_by_hash(b.sales_orders(), SALES.id, b.warehouses)
+    routed = movements.route_by_hash(b.sales_orders, SALES.id, b.warehouses)
     return routed.select(
         "bronze_row_id",
         SALES.id,
@@ -274,7 +274,7 @@ def hash_routing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dense_ids(spark: SparkSession, folder: str) -> DataFrame:
-    orders = Bridge(spark, folder).purchase_orders().select("bronze_row_id", PURCHASE.id)
+    orders = Bridge(spark, folder).purchase_orders.select("bronze_row_id", PURCHASE.id)
     return dense_numbers(orders, ["bronze_row_id"], start=1, name="row_number")
 
 
@@ -283,7 +283,7 @@ def warehouse_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def month_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return in_month(Bridge(spark, folder).typed_purchase_orders, "order_date", 1998, 2).drop("bronze_row_id")
+    return in_month(Bridge(spark, folder).typed_purchase_orders, "order_date", 1998, 2)
 
 
 def lead_times(spark: SparkSession, folder: str) -> DataFrame:
@@ -315,7 +315,7 @@ def _master_versions(b: Bridge) -> tuple[DataFrame, DataFrame]:
         "SELECT concat('MT', cast(p_partkey AS string)) AS material_id, {name} AS material_name, "
         "p_type AS material_type FROM {{part}} WHERE {condition}"
     )
-    part = b._source("part")
+    part = b.source("part")
     loaded = b.spark.sql(text.format(name="p_name", condition="p_size <= 40"), part=part)
     batch = b.spark.sql(text.format(name="concat(p_name, ' ', p_brand)", condition="p_size >= 25"), part=part)
     at = F.lit(MASTER_LOADED)
@@ -333,14 +333,14 @@ def upsert_master(spark: SparkSession, folder: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze orders written as CSV and read back, with NULL and empty text kept apart."""
     path = scratch_path(spark, "csv")
-    write_csv(Bridge(spark, folder).purchase_orders().drop("bronze_row_id"), path, NULL_TEXT)
+    write_csv(Bridge(spark, folder).purchase_orders.drop("bronze_row_id"), path, NULL_TEXT)
     return read_csv(spark, f"{path}/*.csv", RAW_PURCHASE_ORDERS, NULL_TEXT)
 
 
 def csv_import(spark: SparkSession, folder: str) -> DataFrame:
     """CSV files imported together, the last row of an order kept in file order."""
     path = scratch_path(spark, "landing")
-    orders = Bridge(spark, folder).purchase_orders()
+    orders = Bridge(spark, folder).purchase_orders
     halves = (F.col("bronze_row_id") < 2**59, F.col("bronze_row_id") >= 2**59)
     for part, condition in enumerate(halves):
         ordered = orders.where(condition).orderBy("bronze_row_id").drop("bronze_row_id")
@@ -350,7 +350,7 @@ def csv_import(spark: SparkSession, folder: str) -> DataFrame:
 
 def deliveries(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    return delivery_status(b.supplier_deliveries, b.purchase_orders())
+    return delivery_status(b.supplier_deliveries, b.purchase_orders)
 
 
 def supplier_evaluation(spark: SparkSession, folder: str) -> DataFrame:
@@ -362,7 +362,7 @@ def supplier_evaluation(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "ingest")
-    write_csv(Bridge(spark, folder).sales_orders().drop("bronze_row_id"), f"{base}/landing")
+    write_csv(Bridge(spark, folder).sales_orders.drop("bronze_row_id"), f"{base}/landing")
     query = ingest_files(
         spark, f"{base}/landing", RAW_SALES_ORDERS, f"{base}/bronze", f"{base}/state", files_per_batch=2
     )
@@ -375,7 +375,7 @@ def stream_receipts(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
     base = scratch_path(spark, "receipts")
     # One file per run of row ids would split copies over batches; hashing the id keeps them together.
-    b.purchase_orders().repartition(4, PURCHASE.id).select(*BRONZE_PURCHASE_ORDERS.names).write.parquet(
+    b.purchase_orders.repartition(4, PURCHASE.id).select(*BRONZE_PURCHASE_ORDERS.names).write.parquet(
         f"{base}/bronze"
     )
     seed_ledger(_booked_ledger(b), f"{base}/ledger", f"{base}/balances")

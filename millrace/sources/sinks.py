@@ -27,15 +27,6 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def append_table(
-    df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), now: Column | datetime | None = None
-) -> int:
-    """Adds rows with audit columns; repeated business keys are welcome."""
-    counted, seen = _observed(with_audit(df, now))
-    counted.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(name)
-    return seen.get["rows"]
-
-
 def _versions(spark: SparkSession, name: str) -> list[str]:
     """Versioned tables behind a name, oldest first."""
     namespace, _, short = name.rpartition(".")
@@ -44,6 +35,20 @@ def _versions(spark: SparkSession, name: str) -> list[str]:
     return [f"{namespace}.{t}" if namespace else t for t in found]
 
 
+def append_table(
+    df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), now: Column | datetime | None = None
+) -> int:
+    """Adds rows with audit columns; repeated business keys are welcome.
+
+    Behind a replaced table the rows go to its current version.
+    """
+    counted, seen = _observed(with_audit(df, now))
+    versions = _versions(df.sparkSession, name)
+    target = versions[-1] if versions else name
+    counted.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(target)
+    return seen.get["rows"]
+
+
 def replace_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
     """Full replace, also by an empty frame; readers see the old rows until the new ones are complete.
 

@@ -1,0 +1,167 @@
+from collections import Counter
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import lookup as lookups
+from millrace.operators.dedupe import keep_latest, keep_latest_counted, mark_repeated
+from millrace.operators.filters import in_month, month_range
+from millrace.operators.sequence import dense_numbers, next_number
+from millrace.operators.topk import top_k
+from millrace.operators.upsert import upsert
+from tests.comparing import rows_of
+
+
+def plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def copies(spark):
+    rows = [("a", 1, "old"), ("a", 7, "new"), ("b", 2, "b"), (None, 4, "n1"), (None, 5, "n2"), ("a", 3, "mid")]
+    return spark.createDataFrame(rows, "k string, bronze_row_id long, v string")
+
+
+def test_keep_latest_takes_the_highest_row_and_one_null_key(spark):
+    got = {(r.k, r.v) for r in keep_latest(copies(spark), "k").collect()}
+    assert got == {("a", "new"), ("b", "b"), (None, "n2")}
+
+
+def test_keep_latest_sends_one_row_per_key_and_task(spark):
+    assert "WindowGroupLimit" in plan(keep_latest(copies(spark), "k")).split("Exchange")[0]
+    text = plan(keep_latest(copies(spark), "k"))
+    assert "Partial" in text and "Final" in text
+
+
+def test_keep_latest_counted(spark):
+    got = {(r.k, r.v, r._copies) for r in keep_latest_counted(copies(spark), "k").collect()}
+    assert got == {("a", "new", 3), ("b", "b", 1), (None, "n2", 2)}
+
+
+def test_unused_copy_count_costs_nothing(spark):
+    text = plan(keep_latest_counted(copies(spark), "k").select("k", "v"))
+    assert "Join" not in text and "HashAggregate" not in text
+
+
+def test_mark_repeated_marks_every_copy(spark):
+    got = {(r.bronze_row_id, r._repeated) for r in mark_repeated(copies(spark), "k").collect()}
+    assert got == {(1, True), (3, True), (7, True), (2, False), (4, True), (5, True)}
+
+
+def facts(spark, n=6000):
+    """A third of the rows has one key, a sixth has none."""
+    key = (
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .when(F.col("id") % 6 == 1, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string")))
+    )
+    return spark.range(n).select(F.col("id").alias("bronze_row_id"), key.alias("k"))
+
+
+def reference(spark):
+    rows = [(f"k{n}", n) for n in range(0, 500, 2)] + [("hot", -1), ("unused", -2)]
+    return spark.createDataFrame(rows, "k string, v int")
+
+
+def test_lookup_of_a_large_reference_equals_the_broadcast_one(spark):
+    small = lookups.lookup(facts(spark), reference(spark), "k")
+    large = lookups.lookup(facts(spark), reference(spark), "k", broadcast_limit=-1)
+    order = ["bronze_row_id", "k", "v"]
+    wanted = rows_of(order, small.select(*order).collect())
+    assert sum(wanted.values()) == 6000
+    assert rows_of(order, large.select(*order).collect()) == wanted
+
+
+def test_heavy_keys_are_few_and_cut_by_their_share(spark):
+    heavy = {r.k: r._pieces for r in lookups.heavy_keys(facts(spark), "k").collect()}
+    assert heavy["hot"] == 334
+    assert len(heavy) < lookups.PIECES and all(p >= 2 for p in heavy.values())
+
+
+def test_no_piece_of_a_heavy_key_is_large(spark):
+    """The rows of the hot key really spread: no piece has more than a few rows of 2000."""
+    heavy = {r.k: r._pieces for r in lookups.heavy_keys(facts(spark), "k").collect()}
+    piece = F.pmod(F.xxhash64("bronze_row_id"), F.lit(heavy["hot"]))
+    sizes = [r["count"] for r in facts(spark).where("k = 'hot'").groupBy(piece).count().collect()]
+    assert max(sizes) < 30
+
+
+@pytest.mark.parametrize("limit", [lookups.BROADCAST_LIMIT, -1])
+def test_keep_known_and_mark_known(spark, limit):
+    known = {f"k{n}" for n in range(0, 500, 2)} | {"hot"}
+    rows = facts(spark).collect()
+    kept = lookups.keep_known(facts(spark), reference(spark), "k", broadcast_limit=limit)
+    assert Counter(r.bronze_row_id for r in kept.collect()) == Counter(r.bronze_row_id for r in rows if r.k in known)
+    marked = lookups.mark_known(facts(spark), reference(spark), "k", "ok", broadcast_limit=limit)
+    assert {(r.bronze_row_id, r.ok) for r in marked.collect()} == {(r.bronze_row_id, r.k in known) for r in rows}
+
+
+def test_broadcast_is_only_for_a_checked_size(spark):
+    wide = spark.range(200_000).select(F.concat(F.lit("key"), F.col("id").cast("string")).alias("k"))
+    measured = lookups.measured_bytes(wide)
+    assert measured == sum(len(f"key{n}") for n in range(200_000)) + 16 * 200_000
+    assert not lookups.fits_broadcast(wide, 1000)
+    assert lookups.fits_broadcast(wide)
+
+
+def test_drop_known_keeps_rows_without_key_and_ignores_null_references(spark):
+    left = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    refs = spark.createDataFrame([("a",), (None,)], "k string")
+    assert {r.k for r in lookups.drop_known(left, refs, "k").collect()} == {"b", None}
+    assert lookups.drop_known(left, refs.limit(0), "k").count() == 3
+
+
+def test_next_number(spark):
+    ids = spark.createDataFrame([(" PO000012 ",), ("PO7x",), ("XX1",), (None,)], "id string")
+    assert next_number(ids, "id", "PO").first()[0] == 13
+    assert next_number(ids.limit(0), "id", "PO").first()[0] == 1
+    assert next_number(spark.createDataFrame([("PO1000000",)], "id string"), "id", "PO").first()[0] == 1000001
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_dense_numbers_follow_the_order_without_gaps(spark, partitions):
+    ids = spark.range(5000).select((F.col("id") * F.col("id") * 977).alias("row"), F.lit("x").alias("v"))
+    numbered = dense_numbers(ids.repartition(partitions), ["row"], start=10, name="n").collect()
+    assert [r.n for r in sorted(numbered, key=lambda r: r.row)] == list(range(10, 5010))
+
+
+def test_dense_numbers_of_nothing(spark):
+    assert dense_numbers(spark.range(0), ["id"], name="n").collect() == []
+
+
+def test_dense_numbers_never_sorts_in_one_task(spark):
+    text = plan(dense_numbers(spark.range(1000), ["id"], name="n"))
+    window = text[text.index("Window ["):] if "Window [" in text else text
+    assert "_size" in window
+
+
+def test_top_k_breaks_ties_and_ranks_k_rows(spark):
+    rows = spark.createDataFrame([("b", 5), ("a", 5), ("c", 9), ("d", 1)], "m string, q int")
+    best = top_k(rows, 3, "q", "m", "rank")
+    assert [(r.rank, r.m) for r in best.orderBy("rank").collect()] == [(1, "c"), (2, "a"), (3, "b")]
+    assert "TakeOrderedAndProject" in plan(best)
+
+
+def test_month_filter(spark):
+    assert month_range(2024, 2) == (date(2024, 2, 1), date(2024, 2, 29))
+    assert month_range()[0] <= date.today() <= month_range()[1]
+    days = spark.createDataFrame([(date(2025, 1, 31),), (date(2025, 2, 1),), (date(2025, 2, 28),), (None,)], "d date")
+    assert in_month(days, "d", 2025, 2).count() == 2
+
+
+def test_upsert(spark):
+    first, second = datetime(2025, 1, 1), datetime(2025, 2, 1)
+    old = spark.createDataFrame(
+        [("a", "x", first, first), ("b", "y", first, first)],
+        "id string, v string, created_at timestamp, updated_at timestamp",
+    )
+    batch = spark.createDataFrame([("a", None), ("c", "z")], "id string, v string")
+    got = {tuple(r) for r in upsert(old, batch, "id", second).collect()}
+    assert got == {("a", None, first, second), ("b", "y", first, first), ("c", "z", second, second)}
+
+
+@pytest.mark.parametrize("rows", [[("a", "1"), ("a", "2")], [(None, "1")]])
+def test_upsert_refuses_repeated_or_missing_keys(spark, rows):
+    old = spark.createDataFrame([], "id string, v string, created_at timestamp, updated_at timestamp")
+    with pytest.raises(ValueError):
+        upsert(old, spark.createDataFrame(rows, "id string, v string"), "id")
