@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.functions import format_id
-
 
 def conform(df: DataFrame, columns: Sequence[str] | StructType, above: int = 0) -> DataFrame:
     """Named columns as text, missing ones NULL, and a ``bronze_row_id`` above a stored maximum.
@@ -30,7 +28,3 @@ def conform(df: DataFrame, columns: Sequence[str] | StructType, above: int = 0)
 def highest_row_id(bronze: DataFrame) -> int:
     """Stored maximum, 0 for an empty table."""
     return bronze.agg(F.coalesce(F.max("bronze_row_id"), F.lit(0).cast("bigint"))).first()[0]
-
-
-def numbered_id(prefix: str, number: str, digits: int):
-    return format_id(prefix, F.col(number), digits)

@@ -23,7 +23,7 @@ def delivery_status(deliveries: DataFrame, purchase_orders: DataFrame) -> DataFr
     late = lead_days(F.col("expected_date"), F.col("delivery_date"))
     return (
         lookup(bare, due.where(F.col("purchase_order_id").isNotNull()), "purchase_order_id", "delivery_id")
-        .withColumn("delay_days", F.greatest(late, F.lit(0)))
+        .withColumn("delay_days", F.when(late > 0, late).when(late <= 0, 0))
         .withColumn("status", F.when(late <= 0, "ON_TIME").when(late > 0, "DELAYED"))
     )
 
