@@ -18,11 +18,14 @@ def mark_material(
     marker: str = "_material_known",
     row_id: str = "bronze_row_id",
     broadcast_limit: int = BROADCAST_LIMIT,
+    weighed_by: DataFrame | None = None,
 ) -> DataFrame:
     """Trim the material, blank to NULL, and mark the rows whose material exists with the type of this order kind."""
     trimmed = orders.withColumn("material_id", blank_to_null(F.col("material_id")))
     valid = materials_of(materials, kind.material_type)
-    return mark_known(trimmed, valid, "material_id", marker, row_id, broadcast_limit)
+    if weighed_by is not None:
+        weighed_by = weighed_by.select(blank_to_null(F.col("material_id")).alias("material_id"))
+    return mark_known(trimmed, valid, "material_id", marker, row_id, broadcast_limit, weighed_by)
 
 
 def repair_material(orders: DataFrame, materials: DataFrame, kind: OrderKind, row_id: str = "bronze_row_id") -> DataFrame:

@@ -9,8 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Spark's own default for broadcasting on an estimate, and our limit for measured bytes.
+# Up to the first limit Spark's estimate is believed, as Spark itself does; between the two it
+# is checked by measuring, as join estimates run high; above the second nothing is measured.
 ESTIMATE_LIMIT = 10 * 1024 * 1024
+MEASURE_LIMIT = 1024 * 1024 * 1024
+# Most bytes that are broadcast.
 BROADCAST_LIMIT = 64 * 1024 * 1024
 # A key is heavy when it holds more than 1/PIECES of all rows, so there are fewer than
 # PIECES heavy keys whatever the table size. That bounds what is broadcast below.
@@ -31,8 +34,10 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """A small estimate decides at once; join estimates run high, so a large one is measured."""
-    return estimated_bytes(df) <= min(limit, ESTIMATE_LIMIT) or measured_bytes(df) <= limit
+    estimate = estimated_bytes(df)
+    if estimate <= min(limit, ESTIMATE_LIMIT):
+        return True
+    return limit > 0 and estimate <= MEASURE_LIMIT and measured_bytes(df) <= limit
 
 
 def heavy_keys(facts: DataFrame, key: str) -> DataFrame:
@@ -52,16 +57,19 @@ def lookup(
     key: str,
     row_id: str = "bronze_row_id",
     broadcast_limit: int = BROADCAST_LIMIT,
+    weighed_by: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of the facts to a reference that is unique on ``key``.
 
     ``row_id`` must be unique in the facts: it spreads the rows of a heavy key, and the
-    rows without a key, over the pieces.
+    rows without a key, over the pieces. ``weighed_by`` is a cheaper frame with about the
+    same keys, for instance the scan below a deduplication; which keys are heavy is then
+    counted there. It decides how the work is spread, not what comes out.
     """
     if fits_broadcast(reference, broadcast_limit):
         return facts.join(F.broadcast(reference), key, "left")
 
-    heavy = F.broadcast(heavy_keys(facts, key))
+    heavy = F.broadcast(heavy_keys(facts if weighed_by is None else weighed_by, key))
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     spread = F.when(F.col(key).isNull(), F.lit(PIECES)).otherwise(pieces)
     cut_facts = (
@@ -84,10 +92,11 @@ def mark_known(
     marker: str,
     row_id: str = "bronze_row_id",
     broadcast_limit: int = BROADCAST_LIMIT,
+    weighed_by: DataFrame | None = None,
 ) -> DataFrame:
     """Every fact row, with a marker that its key occurs in ``keys``. A NULL key is never known."""
     known = keys.select(key).where(F.col(key).isNotNull()).distinct().withColumn(marker, F.lit(True))
-    marked = lookup(facts, known, key, row_id, broadcast_limit)
+    marked = lookup(facts, known, key, row_id, broadcast_limit, weighed_by)
     return marked.withColumn(marker, F.coalesce(F.col(marker), F.lit(False)))
 
 
@@ -97,16 +106,21 @@ def keep_known(
     key: str,
     row_id: str = "bronze_row_id",
     broadcast_limit: int = BROADCAST_LIMIT,
+    weighed_by: DataFrame | None = None,
 ) -> DataFrame:
     """Semi join: fact rows whose key occurs in ``keys``."""
-    marked = mark_known(facts, keys, key, "_known", row_id, broadcast_limit)
+    marked = mark_known(facts, keys, key, "_known", row_id, broadcast_limit, weighed_by)
     return marked.where("_known").drop("_known")
 
 
 def drop_known(facts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Anti join: fact rows whose key does not occur in ``keys``; rows without a key stay.
 
-    For facts that are unique on the key (orders after :func:`keep_latest`), so no key
-    can be heavy. An empty ``keys`` drops nothing.
+    For facts that are unique on the key (orders after ``keep_latest``), so no key can be
+    heavy. A small batch against a long history is broadcast first to pick the few history
+    rows that matter, so the history is scanned but not shuffled. Empty ``keys`` drop nothing.
     """
+    own = facts.select(key)
+    if fits_broadcast(own):
+        keys = keys.join(F.broadcast(own), key, "left_semi")
     return facts.join(keys.select(key).distinct(), key, "left_anti")

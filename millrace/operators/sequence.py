@@ -24,18 +24,18 @@ def dense_numbers(df: DataFrame, order: Sequence[str], start: int = 1, name: str
     """Rows numbered from ``start`` without gaps, in the order of columns that are unique together.
 
     A global ``row_number`` would sort the table in one task. Here the rows are range
-    partitioned and sorted, which balances any distribution of the order columns, and
-    written once: numbering takes two passes (partition sizes, then rows), and both must
-    see the same partitions, also after an executor was lost. Only the sizes, one row per
+    partitioned and sorted, which balances any distribution of the order columns. Numbering
+    takes two passes, partition sizes and then rows, and both must see the same partitions,
+    also after an executor was lost; so the partitioned rows are written once and read
+    twice. The rows are settled in a table before that as well, since range partitioning
+    samples its input and would run everything below it twice. Only the sizes, one row per
     partition, are summed up in order and broadcast.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "numbered")
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    slotted = ranged.withColumn("_slot", F.monotonically_increasing_id())
-    slotted.write.parquet(path)
-    written = spark.read.schema(slotted.schema).parquet(path)
-    placed = written.withColumn("_part", F.shiftright("_slot", POSITION_BITS))
+    settled = _stored(df, "settled")
+    ranged = settled.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = _stored(ranged.withColumn("_slot", F.monotonically_increasing_id()), "numbered").withColumn(
+        "_part", F.shiftright("_slot", POSITION_BITS)
+    )
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
@@ -45,3 +45,11 @@ def dense_numbers(df: DataFrame, order: Sequence[str], start: int = 1, name: str
         .withColumn(name, F.lit(start).cast("bigint") + F.col("_before") + position)
         .drop("_part", "_slot", "_before")
     )
+
+
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back: a cut in the lineage that outlives executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -66,10 +66,21 @@ def route_by_hash(df: DataFrame, key: str, warehouses: DataFrame, row_id: str =
     return lookup(df.withColumn("_route", hash_bucket(F.col(key), size)), routes, "_route", row_id).drop("_route")
 
 
-def _movement_lines(orders: DataFrame, materials: DataFrame, kind: OrderKind) -> DataFrame:
-    """Movable orders of the right material type as ledger rows without id and warehouse."""
+def _movement_lines(bronze: DataFrame, materials: DataFrame, kind: OrderKind, booked: DataFrame | None) -> DataFrame:
+    """Movable orders of the right material type as ledger rows without id and warehouse.
+
+    Orders whose id is in ``booked`` stay out.
+    """
+    orders = fulfilled_orders(bronze, kind)
+    if booked is not None:
+        orders = drop_known(orders, booked, kind.id)
     wanted = orders.select("bronze_row_id", kind.id, "material_id", "quantity", kind.delivery)
-    known = keep_known(movable(wanted, kind), materials_of(materials, kind.material_type), "material_id")
+    known = keep_known(
+        movable(wanted, kind),
+        materials_of(materials, kind.material_type),
+        "material_id",
+        weighed_by=in_status(bronze, kind.moves_stock).select("material_id"),
+    )
     return known.select(
         "bronze_row_id",
         F.col(kind.delivery).alias("transaction_date"),
@@ -80,16 +91,17 @@ def _movement_lines(orders: DataFrame, materials: DataFrame, kind: OrderKind) ->
     )
 
 
-def receipt_lines(delivered: DataFrame, materials: DataFrame, warehouses: DataFrame) -> DataFrame:
-    """Goods receipts, unnumbered, into the raw-material warehouse."""
-    return _movement_lines(delivered, materials, PURCHASE).withColumn(
-        "warehouse_id", F.lit(raw_warehouse(warehouses))
-    )
+def receipt_lines(
+    bronze: DataFrame, materials: DataFrame, warehouses: DataFrame, booked: DataFrame | None = None
+) -> DataFrame:
+    """Goods receipts of purchase orders, unnumbered, into the raw-material warehouse."""
+    lines = _movement_lines(bronze, materials, PURCHASE, booked)
+    return lines.withColumn("warehouse_id", F.lit(raw_warehouse(warehouses)))
 
 
-def shipment_lines(shipped: DataFrame, materials: DataFrame, warehouses: DataFrame) -> DataFrame:
-    """Sales shipments, unnumbered, each from the warehouse its order id hashes to."""
-    return route_by_hash(_movement_lines(shipped, materials, SALES), "reference_id", warehouses)
+def shipment_lines(bronze: DataFrame, materials: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """Shipments of sales orders, unnumbered, each from the warehouse its order id hashes to."""
+    return route_by_hash(_movement_lines(bronze, materials, SALES, None), "reference_id", warehouses)
 
 
 def _numbered(lines: DataFrame, order: list[str], start: int) -> DataFrame:
@@ -100,13 +112,13 @@ def _numbered(lines: DataFrame, order: list[str], start: int) -> DataFrame:
 
 def goods_receipts(bronze: DataFrame, materials: DataFrame, warehouses: DataFrame, start: int = 1) -> DataFrame:
     """All receipts of the purchase orders, numbered in the order of the bronze rows."""
-    lines = receipt_lines(fulfilled_orders(bronze, PURCHASE), materials, warehouses)
+    lines = receipt_lines(bronze, materials, warehouses)
     return _numbered(lines, ["bronze_row_id", "reference_id"], start)
 
 
 def sales_shipments(bronze: DataFrame, materials: DataFrame, warehouses: DataFrame, start: int = 1) -> DataFrame:
     """All shipments of the sales orders, numbered in the order of the bronze rows."""
-    lines = shipment_lines(fulfilled_orders(bronze, SALES), materials, warehouses)
+    lines = shipment_lines(bronze, materials, warehouses)
     return _numbered(lines, ["bronze_row_id", "reference_id"], start)
 
 
@@ -114,8 +126,8 @@ def ledger_lines(
     purchase_orders: DataFrame, sales_orders: DataFrame, materials: DataFrame, warehouses: DataFrame
 ) -> DataFrame:
     """Receipts and shipments before numbering. Enough for balances, which do not look at ids."""
-    receipts = receipt_lines(fulfilled_orders(purchase_orders, PURCHASE), materials, warehouses)
-    shipments = shipment_lines(fulfilled_orders(sales_orders, SALES), materials, warehouses)
+    receipts = receipt_lines(purchase_orders, materials, warehouses)
+    shipments = shipment_lines(sales_orders, materials, warehouses)
     return receipts.unionByName(shipments)
 
 
@@ -150,10 +162,9 @@ def new_receipts(batch: DataFrame, ledger: DataFrame, materials: DataFrame, ware
 
     Running it again over the extended ledger gives no rows.
     """
-    delivered = fulfilled_orders(batch, PURCHASE)
-    fresh = drop_known(delivered, receipt_references(ledger), PURCHASE.id)
+    lines = receipt_lines(batch, materials, warehouses, receipt_references(ledger))
     start = next_number(ledger, "transaction_id", TRANSACTION_PREFIX).first()[0]
-    return _numbered(receipt_lines(fresh, materials, warehouses), ["bronze_row_id", "reference_id"], start)
+    return _numbered(lines, ["bronze_row_id", "reference_id"], start)
 
 
 def counts_by_type(ledger: DataFrame) -> DataFrame:

@@ -84,12 +84,20 @@ def mark_references(
     materials: DataFrame,
     kind: OrderKind,
     broadcast_limit: int = BROADCAST_LIMIT,
+    weighed_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Orders with ``_partner_key``, ``_partner_known`` and ``_material_known``; the material comes out trimmed."""
-    keyed = orders.withColumn("_partner_key", blank_to_null(F.col(kind.partner)))
+    """Orders with ``_partner_key``, ``_partner_known`` and ``_material_known``; the material comes out trimmed.
+
+    ``weighed_by`` is the bronze scan the orders come from.
+    """
+    partner_key = blank_to_null(F.col(kind.partner)).alias("_partner_key")
+    keyed = orders.select("*", partner_key)
     keys = partners.select(F.col(kind.partner).alias("_partner_key"))
-    marked = mark_known(keyed, keys, "_partner_key", "_partner_known", broadcast_limit=broadcast_limit)
-    return mark_material(marked, materials, kind, broadcast_limit=broadcast_limit)
+    scan = orders if weighed_by is None else weighed_by
+    marked = mark_known(
+        keyed, keys, "_partner_key", "_partner_known", "bronze_row_id", broadcast_limit, scan.select(partner_key)
+    )
+    return mark_material(marked, materials, kind, "_material_known", "bronze_row_id", broadcast_limit, scan)
 
 
 def flag_orders(
@@ -101,7 +109,7 @@ def flag_orders(
 ) -> DataFrame:
     """Every bronze row, unchanged, with ``dq_flags ARRAY<STRING>``."""
     kept = orders.withColumn("_arrived_material", F.col("material_id"))
-    marked = mark_references(mark_repeated(kept, kind.id), partners, materials, kind, broadcast_limit)
+    marked = mark_references(mark_repeated(kept, kind.id), partners, materials, kind, broadcast_limit, orders)
     values = [
         F.col("_arrived_material").alias("material_id") if c == "material_id" else F.col(c) for c in orders.columns
     ]

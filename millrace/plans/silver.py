@@ -26,7 +26,7 @@ def silver_orders(
     """
     latest = keep_latest_counted(bronze.select("bronze_row_id", *kind.bronze_columns), kind.id)
     counted = latest.withColumn("_repeated", F.col("_copies") > 1)
-    marked = mark_references(counted, partners, materials, kind, broadcast_limit)
+    marked = mark_references(counted, partners, materials, kind, broadcast_limit, bronze)
     return with_readings(marked, kind).select(
         "bronze_row_id",
         kind.id,

@@ -15,6 +15,7 @@ from __future__ import annotations
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SOURCES = ("nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -210,6 +211,12 @@ def table_sql(name: str) -> str:
     return text
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Schema of a source file, looked up once per session."""
+    return spark.read.parquet(path).schema
+
+
 class Bridge:
     """The supply-chain tables of one data folder as DataFrames, by attribute."""
 
@@ -217,9 +224,9 @@ class Bridge:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
-    @cache
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.spark.read.schema(_schema(self.spark, path)).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:

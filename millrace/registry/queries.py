@@ -168,8 +168,7 @@ def dq_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_impact(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    delivered = movements.fulfilled_orders(b.purchase_orders, PURCHASE)
-    receipts = movements.receipt_lines(delivered, b.materials, b.warehouses)
+    receipts = movements.receipt_lines(b.purchase_orders, b.materials, b.warehouses)
     return quality.impact(_silver(b, PURCHASE), receipts, PURCHASE)
 
 
@@ -249,8 +248,7 @@ def incremental_receipts(spark: SparkSession, folder: str) -> DataFrame:
 
 def reconcile_po_receipts(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    delivered = movements.fulfilled_orders(b.purchase_orders, PURCHASE)
-    receipts = movements.receipt_lines(delivered, b.materials, b.warehouses)
+    receipts = movements.receipt_lines(b.purchase_orders, b.materials, b.warehouses)
     return reconcile_receipts(b.purchase_orders, b.materials, receipts)
 
 
