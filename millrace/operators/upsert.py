@@ -22,28 +22,41 @@ def _instant(now: Column | datetime | None) -> Column:
     return now if isinstance(now, Column) else F.lit(now)
 
 
-def require_unique(df: DataFrame, key: str) -> None:
-    """Raise when a key is NULL or repeated. The check itself brings back one row at most."""
-    bad = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(key).isNull())
-    example = bad.limit(1).collect()
-    if example:
-        raise ValueError(f"{key} {example[0][key]!r} occurs {example[0]['n']} times in one batch")
+def require_unique(df: DataFrame, key: str) -> int:
+    """Rows of the batch; raises when a key is NULL or repeated. One aggregate, one row comes back."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.max_by(key, "n").alias("example"),
+        F.max("n").alias("most"),
+        F.count_if(F.col(key).isNull()).alias("missing"),
+    ).first()
+    if found["missing"]:
+        raise ValueError(f"a row of the batch has no {key}")
+    if found["rows"] and found["most"] > 1:
+        raise ValueError(f"{key} {found['example']!r} occurs {found['most']} times in one batch")
+    return found["rows"]
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: str, now: Column | datetime | None = None) -> DataFrame:
-    """The target after the batch: new keys inserted, known keys take every value of the batch.
+    """The target after the batch: new keys inserted, known keys take every value of the batch."""
+    require_unique(updates, key)
+    return merged(target, updates, key, now)
+
+
+def merged(target: DataFrame, updates: DataFrame, key: str, now: Column | datetime | None = None) -> DataFrame:
+    """:func:`upsert` of a batch whose keys were checked before.
 
     ``created_at`` of a known key is kept, ``updated_at`` changes on the rows the batch
     touches. NULL in the batch overwrites. One full join on the unique key does it all.
     """
-    require_unique(updates, key)
     at = _instant(now)
     values = [c for c in target.columns if c != key and c not in AUDIT_COLUMNS]
     old = target.select(key, *(F.col(c).alias(f"_old_{c}") for c in target.columns if c != key))
     new = updates.select(key, *values, F.lit(True).alias("_touched"))
     touched = F.col("_touched").isNotNull()
-    merged = {c: F.when(touched, F.col(c)).otherwise(F.col(f"_old_{c}")).alias(c) for c in values}
-    merged[key] = F.col(key)
-    merged["created_at"] = F.coalesce(F.col("_old_created_at"), at).alias("created_at")
-    merged["updated_at"] = F.when(touched, at).otherwise(F.col("_old_updated_at")).alias("updated_at")
-    return old.join(new, key, "full").select(*(merged[c] for c in target.columns))
+    after = {c: F.when(touched, F.col(c)).otherwise(F.col(f"_old_{c}")).alias(c) for c in values}
+    after[key] = F.col(key)
+    after["created_at"] = F.coalesce(F.col("_old_created_at"), at).alias("created_at")
+    after["updated_at"] = F.when(touched, at).otherwise(F.col("_old_updated_at")).alias("updated_at")
+    return old.join(new, key, "full").select(*(after[c] for c in target.columns))

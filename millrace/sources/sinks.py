@@ -15,7 +15,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.upsert import AUDIT_COLUMNS, upsert, with_audit
+from millrace.functions import month_of
+from millrace.operators.upsert import AUDIT_COLUMNS, merged, require_unique, with_audit
 from millrace.sources.readers import csv_options
 
 TRANSACTIONAL_FORMATS = ("delta", "iceberg")
@@ -23,6 +24,8 @@ KEPT_VERSIONS = 2
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame counting its rows as they are written. Always the last step, so that a shuffle
+    that is run again after a lost executor is not counted twice."""
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
@@ -74,16 +77,21 @@ def upsert_table(
 ) -> int:
     """Insert or update on the key; returns the rows of the batch. The first batch creates the table."""
     spark = updates.sparkSession
-    if not spark.catalog.tableExists(name):
-        return replace_table(with_audit(updates, now), name, fmt)
-    counted, seen = _observed(updates)
-    replace_table(upsert(spark.table(name), counted, key, now), name, fmt)
-    return seen.get["rows"]
+    rows = require_unique(updates, key)
+    if spark.catalog.tableExists(name):
+        replace_table(merged(spark.table(name), updates, key, now), name, fmt)
+    else:
+        replace_table(with_audit(updates, now), name, fmt)
+    return rows
 
 
 def replace_months(df: DataFrame, path: str, month: str = "order_month") -> int:
-    """Rewrites the months that occur in the frame and leaves all others."""
-    counted, seen = _observed(df)
+    """Rewrites the months that occur in the frame and leaves all others.
+
+    Rows of a month are brought together first, so that a month is a few files and not one
+    per task; a month that is too large for one task is split again.
+    """
+    counted, seen = _observed(df.hint("rebalance", month))
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -93,6 +101,11 @@ def replace_months(df: DataFrame, path: str, month: str = "order_month") -> int:
     return seen.get["rows"]
 
 
+def write_silver(orders: DataFrame, path: str) -> int:
+    """Silver orders by month of their order date; those without a date form a folder of their own."""
+    return replace_months(orders.withColumn("order_month", month_of(F.col("order_date"))), path)
+
+
 def write_csv(df: DataFrame, path: str, null_text: str = "") -> int:
     """A folder of CSV files with headers; see :func:`millrace.sources.readers.csv_options`."""
     counted, seen = _observed(df)

@@ -86,6 +86,27 @@ def test_no_piece_of_a_heavy_key_is_large(spark):
     assert max(sizes) < 30
 
 
+def test_hot_and_missing_keys_do_not_fill_one_task(spark):
+    """A third of the rows hot and a sixth without a key: no task of the join gets much more than its share."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = lookups.lookup(facts(spark, 60_000), reference(spark), "k", broadcast_limit=-1)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert sum(sizes) == 60_000
+    assert max(sizes) < 60_000 * 0.12
+
+
 @pytest.mark.parametrize("limit", [lookups.BROADCAST_LIMIT, -1])
 def test_keep_known_and_mark_known(spark, limit):
     known = {f"k{n}" for n in range(0, 500, 2)} | {"hot"}

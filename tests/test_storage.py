@@ -73,6 +73,9 @@ def test_upsert_table(spark, db):
     assert got["SUP002"] == ("two", first, first)
     with pytest.raises(ValueError):
         sinks.upsert_table(batch.union(batch), name, "supplier_id")
+    with pytest.raises(ValueError):
+        sinks.upsert_table(batch.union(batch), f"{db}.fresh", "supplier_id")
+    assert sinks.upsert_table(batch.limit(0), name, "supplier_id") == 0
 
 
 def test_replace_months_leaves_the_others(spark):
@@ -83,6 +86,18 @@ def test_replace_months_leaves_the_others(spark):
     assert {r.v for r in spark.read.parquet(path).collect()} == {1, 9}
 
 
+def test_silver_is_stored_by_month_in_few_files(spark):
+    path = scratch_path(spark, "silver")
+    orders = spark.range(2000).repartition(16).selectExpr(
+        "id", "CASE WHEN id % 3 > 0 THEN make_date(2025, cast(id % 6 + 1 AS int), 5) END AS order_date"
+    )
+    assert sinks.write_silver(orders, path) == 2000
+    stored_orders = spark.read.parquet(path)
+    assert stored_orders.count() == 2000
+    assert len(stored_orders.inputFiles()) <= 3 * 5
+    assert stored_orders.where("order_month IS NULL").count() == 667
+
+
 def test_csv_keeps_padding_and_can_keep_empty_text(spark):
     orders = rows.purchase(spark, [{"supplier_id": " SUP001 ", "status": "", "quantity": None}]).drop("bronze_row_id")
     plain, exact = scratch_path(spark, "csv"), scratch_path(spark, "csv")
