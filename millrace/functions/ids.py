@@ -14,8 +14,8 @@ def format_id(prefix: str, number: Column, digits: int) -> Column:
 
 
 def parse_id(text: Column, prefix: str) -> Column:
-    """Number behind the prefix as BIGINT; NULL for anything that is not prefix and digits."""
-    digits = F.regexp_extract(F.trim(text), f"^{re.escape(prefix)}([0-9]+)$", 1)
+    """Number behind the prefix as BIGINT; NULL for anything that is not prefix and digits within white space."""
+    digits = F.regexp_extract(text, rf"^\s*{re.escape(prefix)}([0-9]+)\s*$", 1)
     return digits.try_cast("bigint")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from millrace.functions import tolerant_long
 from millrace.model import INCOMING_TYPES, OUTGOING_TYPES
@@ -20,9 +21,10 @@ def balances(ledger: DataFrame) -> DataFrame:
     Transfers and adjustments do not count, nor do rows without warehouse, material, type
     or a positive quantity. Sums combine before the shuffle, so one busy pair is harmless.
     """
+    if not isinstance(ledger.schema["quantity"].dataType, LongType):
+        ledger = ledger.withColumn("quantity", tolerant_long(F.col("quantity")))
     usable = (
-        ledger.withColumn("quantity", tolerant_long(F.col("quantity")))
-        .where(has_text(F.col("warehouse_id")) & has_text(F.col("material_id")) & (F.col("quantity") > 0))
+        ledger.where(has_text(F.col("warehouse_id")) & has_text(F.col("material_id")) & (F.col("quantity") > 0))
         .where(F.col("transaction_type").isin(*INCOMING_TYPES, *OUTGOING_TYPES))
     )
     return usable.groupBy("warehouse_id", "material_id").agg(

@@ -157,13 +157,22 @@ def receipt_references(ledger: DataFrame) -> DataFrame:
     )
 
 
-def new_receipts(batch: DataFrame, ledger: DataFrame, materials: DataFrame, warehouses: DataFrame) -> DataFrame:
+def next_transaction(ledger: DataFrame) -> int:
+    """First transaction number that is free."""
+    return next_number(ledger, "transaction_id", TRANSACTION_PREFIX).first()[0]
+
+
+def new_receipts(
+    batch: DataFrame, ledger: DataFrame, materials: DataFrame, warehouses: DataFrame, start: int | None = None
+) -> DataFrame:
     """Receipts of delivered orders that have none yet, numbered after the ledger's last id.
 
-    Running it again over the extended ledger gives no rows.
+    Running it again over the extended ledger gives no rows. A caller that knows the next
+    number passes ``start`` and saves the look at all ids.
     """
     lines = receipt_lines(batch, materials, warehouses, receipt_references(ledger))
-    start = next_number(ledger, "transaction_id", TRANSACTION_PREFIX).first()[0]
+    if start is None:
+        start = next_transaction(ledger)
     return _numbered(lines, ["bronze_row_id", "reference_id"], start)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.model import INVENTORY, INVENTORY_TRANSACTIONS
 from millrace.plans.inventory import add_movements, balances
-from millrace.plans.movements import new_receipts
+from millrace.plans.movements import new_receipts, next_transaction
 from millrace.sources.sinks import replace_table
 
 BATCH = "receipt_batch"
@@ -34,6 +34,12 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(ledger_path)
 
 
+def _next_after(ledger: DataFrame) -> int:
+    """Numbers rise from batch to batch, so only the last folder with rows is looked at."""
+    last = ledger.agg(F.max(BATCH)).first()[0]
+    return 1 if last is None else next_transaction(ledger.where(F.col(BATCH) == last))
+
+
 def book_batch(ledger_path: str, balance_path: str, materials: DataFrame, warehouses: DataFrame, snapshot: str):
     """Writes the receipts of one micro-batch, the balances after it, and publishes the snapshot.
 
@@ -44,7 +50,8 @@ def book_batch(ledger_path: str, balance_path: str, materials: DataFrame, wareho
         spark = batch.sparkSession
         others = read_ledger(spark, ledger_path).where(F.col(BATCH) < batch_id)
         own_path = f"{ledger_path}/{BATCH}={batch_id}"
-        new_receipts(batch, others, materials, warehouses).write.mode("overwrite").parquet(own_path)
+        receipts = new_receipts(batch, others, materials, warehouses, _next_after(others))
+        receipts.write.mode("overwrite").parquet(own_path)
 
         booked = spark.read.schema(INVENTORY_TRANSACTIONS).parquet(own_path)
         before = spark.read.schema(INVENTORY).parquet(f"{balance_path}/{BATCH}={batch_id - 1}")

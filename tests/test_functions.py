@@ -53,8 +53,8 @@ def test_ids_keep_long_numbers(spark):
     assert column(spark, [7, 999999, 1234567], lambda x: format_id("PO", x, 6), "long") == [
         "PO000007", "PO999999", "PO1234567",
     ]
-    assert column(spark, [" PO000012 ", "PO7x", "XX1", None, "PO", "PO99999999999999999999"], lambda x: parse_id(x, "PO")) == [
-        12, None, None, None, None, None,
+    assert column(spark, [" PO000012 ", "\tPO3\n", "PO7x", "XX1", None, "PO", "PO99999999999999999999"], lambda x: parse_id(x, "PO")) == [
+        12, 3, None, None, None, None, None,
     ]
 
 

@@ -127,6 +127,14 @@ def test_inventory_signs_and_guards(spark):
     }
 
 
+def test_inventory_reads_text_quantities(spark):
+    book = rows.ledger(spark, [movement("GOODS_RECEIPT", 10), movement("SALES_SHIPMENT", 4)])
+    text = book.withColumn("quantity", book["quantity"].cast("string"))
+    odd = text.unionByName(text.limit(1).selectExpr("* EXCEPT (quantity)", "'2.9' AS quantity"))
+    odd = odd.unionByName(text.limit(1).selectExpr("* EXCEPT (quantity)", "'many' AS quantity"))
+    assert inventory.inventory_snapshot(odd).first().quantity == 8
+
+
 def test_balances_can_grow_by_parts(spark):
     one = rows.ledger(spark, [movement("SALES_SHIPMENT", 9)])
     two = rows.ledger(spark, [movement("GOODS_RECEIPT", 10), movement("GOODS_RECEIPT", 1, "WH002")])
