@@ -8,6 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
+    ArrayType,
     DateType,
     DecimalType,
     DoubleType,
@@ -111,6 +112,16 @@ RAW_SALES_ORDERS = _texts(*SALES.bronze_columns)
 BRONZE_PURCHASE_ORDERS = StructType([StructField("bronze_row_id", LongType(), True), *RAW_PURCHASE_ORDERS.fields])
 BRONZE_SALES_ORDERS = StructType([StructField("bronze_row_id", LongType(), True), *RAW_SALES_ORDERS.fields])
 
+
+def _silver(kind: OrderKind) -> StructType:
+    typed = {"order_date": "date", kind.delivery: "date", "quantity": "long"}
+    columns = _table(bronze_row_id="long", **{c: typed.get(c, "string") for c in kind.bronze_columns})
+    return StructType([*columns.fields, StructField("dq_flags", ArrayType(StringType()), True)])
+
+
+SILVER_PURCHASE_ORDERS = _silver(PURCHASE)
+SILVER_SALES_ORDERS = _silver(SALES)
+
 INVENTORY_TRANSACTIONS = _table(
     transaction_id="string",
     transaction_date="string",
@@ -175,6 +186,11 @@ TABLES: dict[str, StructType] = {
     "warehouses": WAREHOUSES,
     "purchase_orders": BRONZE_PURCHASE_ORDERS,
     "sales_orders": BRONZE_SALES_ORDERS,
+    "silver_purchase_orders": SILVER_PURCHASE_ORDERS,
+    "silver_sales_orders": SILVER_SALES_ORDERS,
+    "silver_materials": MATERIALS,
+    "silver_suppliers": SUPPLIERS,
+    "silver_customers": CUSTOMERS,
     "inventory_transactions": INVENTORY_TRANSACTIONS,
     "inventory": INVENTORY,
     "production_orders": PRODUCTION_ORDERS,

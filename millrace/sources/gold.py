@@ -1,14 +1,36 @@
-"""Writes the nine gold tables, computing what they share once."""
+"""Writes silver from stored bronze and the nine gold tables from stored silver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.model import PURCHASE, SALES
 from millrace.plans import gold
+from millrace.plans.silver import silver_orders
+from millrace.sources.readers import read_table
 from millrace.sources.sinks import replace_table
 
 
+def refresh_silver(spark: SparkSession, bronze: str, silver: str, fmt: str = "parquet") -> dict[str, int]:
+    """The five ``silver_*`` tables of one database from the bronze and master tables of another."""
+    masters = {name: read_table(spark, name, bronze) for name in ("materials", "suppliers", "customers")}
+    materials = masters["materials"]
+    tables = {
+        **masters,
+        "purchase_orders": silver_orders(
+            read_table(spark, "purchase_orders", bronze), masters["suppliers"], materials, PURCHASE
+        ),
+        "sales_orders": silver_orders(read_table(spark, "sales_orders", bronze), masters["customers"], materials, SALES),
+    }
+    return {f"silver_{name}": replace_table(table, f"{silver}.silver_{name}", fmt) for name, table in tables.items()}
+
+
+def refresh_gold(spark: SparkSession, silver: str, target: str, fmt: str = "parquet") -> dict[str, int]:
+    """The nine gold tables of one database from the ``silver_*`` tables of another."""
+    names = ("purchase_orders", "sales_orders", "suppliers", "customers", "materials")
+    return write_gold(*(read_table(spark, f"silver_{name}", silver) for name in names), target, fmt)
+
+
 def write_gold(
     purchase_orders: DataFrame,
     sales_orders: DataFrame,

@@ -14,7 +14,7 @@ from millrace.sources.sinks import append_table, replace_table
 
 def refresh_inventory(spark: SparkSession, ledger: str, inventory: str, fmt: str = "parquet") -> int:
     """Snapshot of all movements in place of the old one, also when no stock is left."""
-    return replace_table(inventory_snapshot(spark.table(ledger)), inventory, fmt)
+    return replace_table(with_audit(inventory_snapshot(spark.table(ledger))), inventory, fmt)
 
 
 def rebuild_ledger(
@@ -53,6 +53,8 @@ def sync_receipts(
     }
 
 
-def repair_stored_orders(spark: SparkSession, table: str, materials: DataFrame, kind: OrderKind, fmt: str = "parquet") -> int:
+def repair_stored_orders(
+    spark: SparkSession, table: str, materials: DataFrame, kind: OrderKind, fmt: str = "parquet"
+) -> int:
     """Rewrites an order table with unknown materials set to NULL."""
     return replace_table(repair_material(spark.table(table), materials, kind), table, fmt)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.model import INVENTORY, INVENTORY_TRANSACTIONS
+from millrace.operators.upsert import with_audit
 from millrace.plans.inventory import add_movements, balances
 from millrace.plans.movements import new_receipts, next_transaction
 from millrace.sources.sinks import replace_table
@@ -57,7 +58,8 @@ def book_batch(ledger_path: str, balance_path: str, materials: DataFrame, wareho
         before = spark.read.schema(INVENTORY).parquet(f"{balance_path}/{BATCH}={batch_id - 1}")
         after_path = f"{balance_path}/{BATCH}={batch_id}"
         add_movements(before, booked).write.mode("overwrite").parquet(after_path)
-        replace_table(spark.read.schema(INVENTORY).parquet(after_path).where("quantity > 0"), snapshot)
+        stock = spark.read.schema(INVENTORY).parquet(after_path).where("quantity > 0")
+        replace_table(with_audit(stock), snapshot)
 
     return write
 
