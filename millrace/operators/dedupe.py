@@ -32,9 +32,12 @@ def keep_latest_counted(df: DataFrame, key: str, order: str = "bronze_row_id", c
     The text key makes NULL an ordinary value of that join. Where the count is not used,
     Spark drops the aggregate and the join.
     """
-    keyed = df.withColumn("_key", F.when(F.col(key).isNull(), "").otherwise(F.concat(F.lit("="), F.col(key))))
+    as_text = F.when(F.col(key).isNull(), "").otherwise(F.concat(F.lit("="), F.col(key)))
+    keyed = df.withColumn("_key", as_text).drop(key)
     counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias(copies))
-    return keep_latest(keyed, "_key", order).join(counts, "_key", "left").drop("_key")
+    counted = keep_latest(keyed, "_key", order).join(counts, "_key", "left")
+    back = F.when(F.col("_key") != "", F.expr("substring(_key, 2)"))
+    return counted.withColumn(key, back).select(*df.columns, copies)
 
 
 def mark_repeated(df: DataFrame, key: str, row_id: str = "bronze_row_id", marker: str = "_repeated") -> DataFrame:

@@ -51,6 +51,21 @@ def heavy_keys(facts: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _cut(
+    facts: DataFrame, reference: DataFrame, key: str, row_id: str, weighed_by: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_piece``: each fact row in one piece of its key, each reference row in all of them."""
+    heavy = F.broadcast(heavy_keys(facts if weighed_by is None else weighed_by, key))
+    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+    spread = F.when(F.col(key).isNull(), F.lit(PIECES)).otherwise(pieces)
+    piece = F.pmod(F.xxhash64(F.col(row_id)), spread).cast("int")
+    every_piece = F.explode(F.sequence(F.lit(0), pieces - 1))
+    return (
+        facts.join(heavy, key, "left").withColumn("_piece", piece).drop("_pieces"),
+        reference.join(heavy, key, "left").withColumn("_piece", every_piece).drop("_pieces"),
+    )
+
+
 def lookup(
     facts: DataFrame,
     reference: DataFrame,
@@ -68,20 +83,7 @@ def lookup(
     """
     if fits_broadcast(reference, broadcast_limit):
         return facts.join(F.broadcast(reference), key, "left")
-
-    heavy = F.broadcast(heavy_keys(facts if weighed_by is None else weighed_by, key))
-    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
-    spread = F.when(F.col(key).isNull(), F.lit(PIECES)).otherwise(pieces)
-    cut_facts = (
-        facts.join(heavy, key, "left")
-        .withColumn("_piece", F.pmod(F.xxhash64(F.col(row_id)), spread).cast("int"))
-        .drop("_pieces")
-    )
-    cut_reference = (
-        reference.join(heavy, key, "left")
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .drop("_pieces")
-    )
+    cut_facts, cut_reference = _cut(facts, reference, key, row_id, weighed_by)
     return cut_facts.join(cut_reference, [key, "_piece"], "left").drop("_piece")
 
 
@@ -94,9 +96,18 @@ def mark_known(
     broadcast_limit: int = BROADCAST_LIMIT,
     weighed_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Every fact row, with a marker that its key occurs in ``keys``. A NULL key is never known."""
-    known = keys.select(key).where(F.col(key).isNotNull()).distinct().withColumn(marker, F.lit(True))
-    marked = lookup(facts, known, key, row_id, broadcast_limit, weighed_by)
+    """Every fact row, with a marker that its key occurs in ``keys``. A NULL key is never known.
+
+    Repeated keys do no harm. Without a broadcast they are removed in the same shuffle that
+    serves the join.
+    """
+    known = keys.select(key).where(F.col(key).isNotNull())
+    if fits_broadcast(known, broadcast_limit):
+        marked = facts.join(F.broadcast(known.distinct().withColumn(marker, F.lit(True))), key, "left")
+    else:
+        cut_facts, cut_keys = _cut(facts, known, key, row_id, weighed_by)
+        distinct = cut_keys.select(key, "_piece").distinct().withColumn(marker, F.lit(True))
+        marked = cut_facts.join(distinct, [key, "_piece"], "left").drop("_piece")
     return marked.withColumn(marker, F.coalesce(F.col(marker), F.lit(False)))
 
 

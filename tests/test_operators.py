@@ -117,6 +117,22 @@ def test_keep_known_and_mark_known(spark, limit):
     assert {(r.bronze_row_id, r.ok) for r in marked.collect()} == {(r.bronze_row_id, r.k in known) for r in rows}
 
 
+def test_repeated_reference_keys_do_not_multiply_rows(spark):
+    twice = reference(spark).unionByName(reference(spark))
+    for limit in (lookups.BROADCAST_LIMIT, -1):
+        assert lookups.mark_known(facts(spark), twice, "k", "ok", broadcast_limit=limit).count() == 6000
+
+
+def test_keys_are_shuffled_once(spark):
+    """Distinct keys and the join share one shuffle of the reference side."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(lookups.mark_known(facts(spark), reference(spark), "k", "ok", broadcast_limit=-1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.split("\n\n")[0].count("Exchange") - text.split("\n\n")[0].count("BroadcastExchange") <= 4
+
+
 def test_broadcast_is_only_for_a_checked_size(spark):
     wide = spark.range(200_000).select(F.concat(F.lit("key"), F.col("id").cast("string")).alias("k"))
     measured = lookups.measured_bytes(wide)
