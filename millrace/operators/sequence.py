@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import parse_id
-from millrace.session import scratch_path
+from millrace.session import discard, scratch_path
 
 # monotonically_increasing_id() is the partition number above 33 bits of row position.
 POSITION_BITS = 33
@@ -31,11 +31,13 @@ def dense_numbers(df: DataFrame, order: Sequence[str], start: int = 1, name: str
     samples its input and would run everything below it twice. Only the sizes, one row per
     partition, are summed up in order and broadcast.
     """
-    settled = _stored(df, "settled")
-    ranged = settled.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = _stored(ranged.withColumn("_slot", F.monotonically_increasing_id()), "numbered").withColumn(
+    spark = df.sparkSession
+    settled, numbered = scratch_path(spark, "settled"), scratch_path(spark, "numbered")
+    ranged = _stored(df, settled).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = _stored(ranged.withColumn("_slot", F.monotonically_increasing_id()), numbered).withColumn(
         "_part", F.shiftright("_slot", POSITION_BITS)
     )
+    discard(spark, settled)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
@@ -47,9 +49,7 @@ def dense_numbers(df: DataFrame, order: Sequence[str], start: int = 1, name: str
     )
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
+def _stored(df: DataFrame, path: str) -> DataFrame:
     """The rows written to the shared folder and read back: a cut in the lineage that outlives executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -35,3 +35,9 @@ def scratch_database(spark: SparkSession, purpose: str) -> str:
     name = path.rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
     return name
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a scratch path that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

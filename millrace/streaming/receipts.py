@@ -16,6 +16,7 @@ from millrace.model import INVENTORY, INVENTORY_TRANSACTIONS
 from millrace.operators.upsert import with_audit
 from millrace.plans.inventory import add_movements, balances
 from millrace.plans.movements import new_receipts, next_transaction
+from millrace.session import discard
 from millrace.sources.sinks import replace_table
 
 BATCH = "receipt_batch"
@@ -44,7 +45,8 @@ def _next_after(ledger: DataFrame) -> int:
 def book_batch(ledger_path: str, balance_path: str, materials: DataFrame, warehouses: DataFrame, snapshot: str):
     """Writes the receipts of one micro-batch, the balances after it, and publishes the snapshot.
 
-    Balances grow by the batch instead of being summed from the whole ledger each time.
+    Balances grow by the batch instead of being summed from the whole ledger each time. Those
+    of the batch before stay for a replay, older ones are removed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -60,6 +62,8 @@ def book_batch(ledger_path: str, balance_path: str, materials: DataFrame, wareho
         add_movements(before, booked).write.mode("overwrite").parquet(after_path)
         stock = spark.read.schema(INVENTORY).parquet(after_path).where("quantity > 0")
         replace_table(with_audit(stock), snapshot)
+        if batch_id - 2 >= SEED:
+            discard(spark, f"{balance_path}/{BATCH}={batch_id - 2}")
 
     return write
 

@@ -1,3 +1,4 @@
+import glob
 from collections import Counter
 from datetime import date, datetime
 
@@ -10,6 +11,7 @@ from millrace.operators.filters import in_month, month_range
 from millrace.operators.sequence import dense_numbers, next_number
 from millrace.operators.topk import top_k
 from millrace.operators.upsert import upsert
+from millrace.session import checkpoint_root
 from tests.comparing import rows_of
 
 
@@ -162,6 +164,12 @@ def test_dense_numbers_follow_the_order_without_gaps(spark, partitions):
     assert [r.n for r in sorted(numbered, key=lambda r: r.row)] == list(range(10, 5010))
 
 
+def test_dense_numbers_leave_one_table_behind(spark):
+    before = set(glob.glob(f"{checkpoint_root(spark)}/*"))
+    dense_numbers(spark.range(100), ["id"], name="n")
+    assert len(set(glob.glob(f"{checkpoint_root(spark)}/*")) - before) == 1
+
+
 def test_dense_numbers_of_nothing(spark):
     assert dense_numbers(spark.range(0), ["id"], name="n").collect() == []
 

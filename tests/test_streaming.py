@@ -99,6 +99,8 @@ def test_a_replayed_receipt_batch_books_nothing_twice(spark):
     before = sorted(map(tuple, read_ledger(spark, ledger).collect()))
     write(orders(spark, range(3, 9)), 1)
     assert sorted(map(tuple, read_ledger(spark, ledger).collect())) == before
+    kept = {r[0] for r in spark.read.parquet(balance).select("receipt_batch").distinct().collect()}
+    assert kept == {0, 1}
     assert len(before) == 9
     assert [r.quantity for r in spark.table(snapshot).collect()] == [90]
     assert [r.quantity for r in balances(read_ledger(spark, ledger)).collect()] == [90]
