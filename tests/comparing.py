@@ -73,7 +73,7 @@ def compare(spark: SparkSession, connection, folder: str, name: str) -> tuple[bo
 
 if __name__ == "__main__":
     data = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(contract.queries())
+    names = sys.argv[2:] or list(contract.oracle_sql())
     session, check = local_session(), database(data)
     failed = 0
     for query in names:

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from millrace.operators import lookup
+from millrace.registry.oracles import ORACLES
+from millrace.registry.queries import QUERIES
 from tests.comparing import compare, database
 
 FOLDER = "/root/testdata/sf0.001"
@@ -15,14 +17,14 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, connection, name):
     equal, report = compare(spark, connection, FOLDER, name)
     assert equal, report
