@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import in_slices, map_arrow
+from millrace.llm.shared import in_slices, map_arrow, named
 from millrace.llm.tokens import Encoder, encoder, segments
 
 #: Pieces in a leaf when a tree is built.
@@ -141,7 +141,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, edits: str = "edits", text: st
     """
     new = ("n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_segments", "n_reencoded")
     others = [x for x in docs.columns if x not in (*new, text, edits)]
-    rows = docs.select(*others, F.col(text).cast("string").alias(text), F.col(edits).cast(EDITS).alias(edits))
+    rows = docs.select(*map(named, others), F.col(text).cast("string").alias(text), F.col(edits).cast(EDITS).alias(edits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
@@ -158,7 +158,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, edits: str = "edits", text: st
             columns = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * len(new)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *columns], [*others, *new])
 
-    schema = rows.select(*others, *[F.lit(0).cast("long").alias(x) for x in new]).schema
+    schema = rows.select(*map(named, others), *[F.lit(0).cast("long").alias(x) for x in new]).schema
     return map_arrow(rows, run, schema)
 
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import map_arrow, stored
+from millrace.llm.shared import from_row, map_arrow, stored, whole_row
 
 #: Characters of a text in the range splitters.
 PREFIX = 24
@@ -150,10 +150,10 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_copies(docs: DataFrame, normalise: Column | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; which those are, ``exact_groups`` says."""
     whole = F.coalesce((F.col(text) if normalise is None else normalise).cast("string"), F.lit(""))
-    rows = docs.withColumn("_id", F.col(doc_id).cast("long")).withColumn("_text", whole)
-    ordered = _sorted_by_content(rows, F.col("_id")).select(*docs.columns, "_id", "_text", "_sha")
+    rows = docs.select(whole_row(docs).alias("_row"), F.col(doc_id).cast("long").alias("_id"), whole.alias("_text"))
+    ordered = _sorted_by_content(rows, F.col("_id")).select("_row", "_id", "_text", "_sha")
     schema = ordered.drop("_text").withColumn("_edge", F.lit(True)).schema
     heads = stored(map_arrow(ordered, _heads, schema), "heads")
     edges = heads.filter("_edge").groupBy(F.col("_sha").alias("_of")).agg(F.max("_id").alias("_most"))
     joined = heads.join(F.broadcast(edges), F.col("_edge") & (F.col("_sha") == F.col("_of")), "left")
-    return joined.filter(~F.col("_edge") | F.col("_id").eqNullSafe(F.col("_most"))).select(*docs.columns)
+    return joined.filter(~F.col("_edge") | F.col("_id").eqNullSafe(F.col("_most"))).select(*from_row(docs))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import in_slices, map_arrow, stored
+from millrace.llm.shared import in_slices, map_arrow, named, stored
 
 #: Training rows of each language, about; fewer if there are fewer.
 SAMPLE = 3_000
@@ -112,7 +112,7 @@ def _most_frequent(counts: DataFrame, kept: int) -> list:
     group = F.least(F.length("unit"), F.lit(max(GRAMS)))
     order = Window.partitionBy("lang", "_group").orderBy(F.col("n").desc(), "unit")
     ranked = counts.withColumn("_group", group).withColumn("_at", F.row_number().over(order))
-    return ranked.filter(F.col("_at") <= kept).select("lang", "unit", "n").collect()
+    return ranked.filter(F.col("_at") <= kept).select("lang", "unit", "n").toArrow().to_pylist()
 
 
 class Scorer:
@@ -167,7 +167,7 @@ def detect(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     kept = [x for x in docs.columns if x not in ("lang_pred", "score")]
-    rows = docs.select(*kept)
+    rows = docs.select(*map(named, kept))
     position = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

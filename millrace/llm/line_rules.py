@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import GAP, WORD
+from millrace.llm.shared import GAP, WORD, from_row, whole_row
 
 #: Base rules: fewest words, and the largest percentage of words in repeated windows of eight.
 LEAST_WORDS, MOST_REPEATED = 20, 30
@@ -130,22 +130,25 @@ def clean(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.length(F.regexp_replace(x, GAP, "")).cast("long")
 
     rows = docs.select(
-        *[x for x in docs.columns if x not in new or x == text],
+        whole_row(docs).alias("_row"),
         let(words, of_words).alias("_w"),
         let(F.split(whole, "\n"), of_lines).alias("_l"),
         chars(whole).alias("word_chars"),
         _marks(whole, SYMBOLS).cast("long").alias("n_symbols"),
     )
-    few = F.col("n_words") < LEAST_WORDS
     rows = rows.select(
-        *[x for x in rows.columns if x not in ("_w", "_l")],
+        "_row",
         "_w.n_words",
-        "_w.n_repeat_words",
+        "word_chars",
+        "n_symbols",
         "_l.n_dup_lines",
+        "_w.n_repeat_words",
         F.col("_l.left.text").alias("cleaned"),
         (F.col("_l.n_lines") - F.col("_l.left.n")).cast("long").alias("n_lines_removed"),
     )
+    few = F.col("n_words") < LEAST_WORDS
     rows = rows.withColumn("base_failed", few | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
     removed = F.when(F.col("n_lines_removed") == 0, F.lit(0)).otherwise(F.col("word_chars") - chars(F.col("cleaned")))
     rows = rows.withColumn("chars_removed", removed.cast("long"))
-    return rows.withColumn("kept", ~F.col("base_failed") & (100 * F.col("chars_removed") <= MOST_LOST * F.col("word_chars")))
+    rows = rows.withColumn("kept", ~F.col("base_failed") & (100 * F.col("chars_removed") <= MOST_LOST * F.col("word_chars")))
+    return rows.select(*from_row(docs, new), *new)

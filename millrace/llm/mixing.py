@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import n_words
+from millrace.llm.shared import from_row, n_words, whole_row
 
 #: Weights of the sources in their order, repeated.
 WEIGHTS = (5, 2, 1)
@@ -86,29 +86,37 @@ def mix(
     key = -F.log(draw(F.col(doc_id), seed)) / weight
     # 1 - exp(-key) grows with the key and lies in [0, 1)
     cell = F.least(F.floor((1 - F.exp(-F.col("_key"))) * cells), F.lit(cells - 1)).cast("int")
-    new = ("size", "source_size", "target", "copies", "taken")
-    taken_names = [x for x in docs.columns if x not in new or x in (doc_id, source)]
-    rows = docs.select(*taken_names, size.cast("long").alias("size"), key.alias("_key")).withColumn("_cell", cell)
+    rows = docs.select(
+        whole_row(docs).alias("_row"), F.col(doc_id).alias("_id"), F.col(source).alias("_name"), size.cast("long").alias("size"), key.alias("_key")
+    ).withColumn("_cell", cell)
 
-    sums = rows.groupBy(F.col(source).alias("_source"), F.col("_cell").alias("_at")).agg(F.sum("size").alias("_words"))
+    sums = rows.groupBy(F.col("_name").alias("_source"), F.col("_cell").alias("_at")).agg(F.sum("size").alias("_words"))
     sources = sums.groupBy(F.col("_source").alias("source")).agg(F.sum("_words").alias("source_size"))
-    targets = source_targets(sources).select(F.col("source").alias("_name"), "source_size", "target")
+    targets = source_targets(sources).select(F.col("source").alias("_target_of"), "source_size", "target")
     earlier = Window.partitionBy("_source").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("_source", "_at", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_start"))
-    starts = starts.join(targets, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
+    starts = starts.join(targets, F.col("_source").eqNullSafe(F.col("_target_of"))).drop("_target_of")
 
-    within = Window.partitionBy(source, "_cell").orderBy("_key", F.col(doc_id), "size")
+    within = Window.partitionBy("_name", "_cell").orderBy("_key", "_id", "size")
     rows = rows.withColumn("_before", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    same = F.col(source).eqNullSafe(F.col("_source")) & (F.col("_cell") == F.col("_at"))
+    same = F.col("_name").eqNullSafe(F.col("_source")) & (F.col("_cell") == F.col("_at"))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("_epochs") * F.col("source_size")
     middle = F.col("_start") + F.col("_before") + F.col("size") / 2
     chosen = rows.join(starts, same).withColumn("_epochs", epochs.cast("int"))
-    return (
-        chosen.withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(F.col("_epochs") + (middle <= rest).cast("int")))
-        .withColumn("taken", F.col("copies") * F.col("size"))
-        .drop("_source", "_at", "_cell", "_key", "_start", "_before", "_epochs")
-    )
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.col("_epochs") + (middle <= rest).cast("int"))
+    new = ("size", "source_size", "target", "copies", "taken")
+    mixed = chosen.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
+    return mixed.select(*from_row(docs, new), *new)
+
+
+def with_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> tuple[DataFrame, Column]:
+    """The documents with one more column, and the quality weight that it holds."""
+    name = "_quality"
+    while name in docs.columns:
+        name += "_"
+    quality = label_quality(labels).withColumnRenamed("_quality", name)
+    return docs.join(quality, docs[doc_id] == quality["_labelled"], "left").drop(quality["_labelled"]), F.col(name)
 
 
 def label_quality(labels: DataFrame) -> DataFrame:

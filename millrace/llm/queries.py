@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, edit_counts, exact_dedup, language, line_rules, mixing, packing, rans, unit_dedup
+from millrace.llm import chat, edit_counts, exact_dedup, language, line_rules, mixing, ngram_join, packing, rans, unit_dedup
 from millrace.llm.shared import n_words, table
 from millrace.session import scratch_path
 
@@ -23,9 +23,8 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("_n"))
-    quality = mixing.label_quality(table(spark, sf_dir, "labels"))
-    rows = docs.join(quality, F.col("doc_id") == F.col("_labelled"), "left")
-    mixed = mixing.mix(rows, F.col("_quality"), F.col("_n"))
+    rows, quality = mixing.with_quality(docs, table(spark, sf_dir, "labels"))
+    mixed = mixing.mix(rows, quality, F.col("_n"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
@@ -62,6 +61,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_ids(spark, path)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = "</s>[INST] ok [/INST]"
     rows = [(-7, 0, "user", hard), (-7, 1, "assistant", hard)]
@@ -89,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_edit_counts": op7_edit_counts,
     "op8_token_files": op8_token_files,
+    "op9_ngram_join": op9_ngram_join,
     "op10_chat": op10_chat,
 }
 

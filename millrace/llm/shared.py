@@ -35,6 +35,21 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def named(name: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(frame: DataFrame) -> Column:
+    """All columns as one, so that no name of theirs meets one that an operator uses."""
+    return F.struct(*[named(x) for x in frame.columns])
+
+
+def from_row(frame: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of a frame, taken out of ``_row`` again, but for some."""
+    return [F.col("_row")[x].alias(x) for x in frame.columns if x not in without]
+
+
 def n_words(text: Column) -> Column:
     """Words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import in_slices, map_arrow, spread_join, stored, strings
+from millrace.llm.shared import from_row, in_slices, map_arrow, spread_join, stored, strings, whole_row
 
 #: Units of fewer words are left alone: headings and the like.
 LEAST_WORDS = 20
@@ -98,9 +98,11 @@ def repeated_units(docs: DataFrame, by: str = "line", least_words: int = LEAST_W
 def without_units(docs: DataFrame, removed: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with the reported units cut out of their texts; the rest stays character by character."""
     spans = removed.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_set(F.struct("start_char", "end_char"))).alias("_spans"))
-    ends = F.concat(F.transform("_spans", lambda x: x["start_char"]), F.array(F.length(F.col(text)).cast("long")))
+    rows = docs.select(whole_row(docs).alias("_row"), F.col(doc_id).alias("_doc"), F.col(text).alias("_text"))
+    ends = F.concat(F.transform("_spans", lambda x: x["start_char"]), F.array(F.length("_text").cast("long")))
     begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("_spans", lambda x: x["end_char"]))
-    parts = F.zip_with(begins, ends, lambda a, b: F.substr(F.col(text), (a + 1).cast("int"), (b - a).cast("int")))
-    left = F.when(F.col("_spans").isNull() | F.col(text).isNull(), F.col(text)).otherwise(F.array_join(parts, ""))
-    joined = docs.join(spans, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
-    return joined.select(*[left.alias(x) if x == text else F.col(x) for x in docs.columns])
+    parts = F.zip_with(begins, ends, lambda a, b: F.substr(F.col("_text"), (a + 1).cast("int"), (b - a).cast("int")))
+    left = F.when(F.col("_spans").isNull() | F.col("_text").isNull(), F.col("_text")).otherwise(F.array_join(parts, ""))
+    joined = rows.join(spans, F.col("_doc").eqNullSafe(F.col("_id")), "left")
+    columns = zip(docs.columns, from_row(docs), strict=True)
+    return joined.select(*[left.alias(name) if name == text else column for name, column in columns])
