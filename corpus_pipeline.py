@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, language, mixing, packing
+from millrace.llm import exact_dedup, language, mixing, ngram_join, packing
 from millrace.llm.queries import WORD_VOCABULARY
 from millrace.llm.shared import stored, table
 
@@ -27,12 +27,16 @@ def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs)
 
 
+def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that similar ones link, the one with the smallest id."""
+    return ngram_join.one_of_each(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: a document taken twice is there twice."""
-    quality = mixing.label_quality(table(spark, sf_dir, "labels"))
-    rows = docs.join(quality, F.col("doc_id") == F.col("_labelled"), "left")
-    taken = mixing.mix(rows, F.col("_quality"))
-    return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*docs.columns)
+    rows, quality = mixing.with_quality(docs, table(spark, sf_dir, "labels"))
+    taken = mixing.mix(rows, quality)
+    return taken.select(F.struct(*docs.columns).alias("_row"), F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("_row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,6 +47,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language ID", known_language),
     ("exact dedup", no_copies),
+    ("n-gram Jaccard join", one_of_similar),
     ("mixing sources to target weights", mixed),
     ("best-fit packing", packed),
 ]
