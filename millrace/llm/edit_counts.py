@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import in_slices, map_arrow, named
+from millrace.llm.shared import from_row, in_slices, map_arrow, named
 from millrace.llm.tokens import Encoder, encoder, segments
 
 #: Pieces in a leaf when a tree is built.
@@ -140,26 +140,26 @@ def count_tokens(docs: DataFrame, tokenizer: str, edits: str = "edits", text: st
     Texts with one of the characters U+001C to U+001F are one piece.
     """
     new = ("n_tokens", "n_edits", "n_tokens_after", "n_chars_after", "n_segments", "n_reencoded")
-    others = [x for x in docs.columns if x not in (*new, text, edits)]
-    rows = docs.select(*map(named, others), F.col(text).cast("string").alias(text), F.col(edits).cast(EDITS).alias(edits))
+    gone = (*new, text, edits)
+    kept = F.struct(F.lit(0).alias("_"), *[named(x) for x in docs.columns if x not in gone])
+    rows = docs.select(kept.alias("_row"), F.col(text).cast("string").alias("_text"), F.col(edits).cast(EDITS).alias("_edits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
         for batch in in_slices(batches):
             found = []
-            texts, lists = (batch.column(len(others) + i).to_pylist() for i in range(2))
-            for whole, changes in zip(texts, lists, strict=True):
+            for whole, changes in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 tree = CountTree(coder, whole or "")
                 n_tokens, n_pieces = tree.n_tokens, tree.n_pieces
                 todo = usable_edits(changes, tree.n_chars)
                 for change in todo:
                     tree.edit(*change)
                 found.append((n_tokens, len(todo), tree.n_tokens, tree.n_chars, n_pieces, tree.reencoded))
-            columns = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * len(new)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *columns], [*others, *new])
+            columns = [pa.array([x[i] for x in found], pa.int64()) for i in range(len(new))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["_row", *new])
 
-    schema = rows.select(*map(named, others), *[F.lit(0).cast("long").alias(x) for x in new]).schema
-    return map_arrow(rows, run, schema)
+    schema = rows.select("_row", *[F.lit(0).cast("long").alias(x) for x in new]).schema
+    return map_arrow(rows, run, schema).select(*from_row(docs, gone), *new)
 
 
 def with_edits(docs: DataFrame, edits: DataFrame, doc_id: str = "doc_id") -> DataFrame:

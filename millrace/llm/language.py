@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import in_slices, map_arrow, named, stored
+from millrace.llm.shared import from_row, in_slices, map_arrow, stored, whole_row
 
 #: Training rows of each language, about; fewer if there are fewer.
 SAMPLE = 3_000
@@ -166,16 +166,14 @@ def detect(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    kept = [x for x in docs.columns if x not in ("lang_pred", "score")]
-    rows = docs.select(*map(named, kept))
-    position = kept.index(text)
+    rows = docs.select(whole_row(docs).alias("_row"), F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(shared.value)
         for batch in in_slices(batches, 256):
-            found = [score(x) for x in batch.column(position).to_pylist()]
-            columns = [*batch.columns, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "lang_pred", "score"])
+            found = [score(x) for x in batch.column(1).to_pylist()]
+            columns = [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["_row", "lang_pred", "score"])
 
-    schema = rows.withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
-    return map_arrow(rows, run, schema)
+    schema = rows.select("_row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    return map_arrow(rows, run, schema).select(*from_row(docs, ("lang_pred", "score")), "lang_pred", "score")
