@@ -27,17 +27,13 @@ def keep_latest(df: DataFrame, key: str, order: str | Sequence[str] = "bronze_ro
 def keep_latest_counted(df: DataFrame, key: str, order: str = "bronze_row_id", copies: str = "_copies") -> DataFrame:
     """:func:`keep_latest` plus the number of copies the key had.
 
-    A window that counts would gather every copy of a key in one task. Instead a narrow
-    aggregate counts, and meets the survivors on the same partitioning: no further shuffle.
-    The text key makes NULL an ordinary value of that join. Where the count is not used,
-    Spark drops the aggregate and the join.
+    One aggregate does both: a task sends one row per key with the highest order it met and a
+    count, so a hot key costs one row per task. NULL keys are one group.
     """
-    as_text = F.when(F.col(key).isNull(), "").otherwise(F.concat(F.lit("="), F.col(key)))
-    keyed = df.withColumn("_key", as_text).drop(key)
-    counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias(copies))
-    counted = keep_latest(keyed, "_key", order).join(counts, "_key", "left")
-    back = F.when(F.col("_key") != "", F.expr("substring(_key, 2)"))
-    return counted.withColumn(key, back).select(*df.columns, copies)
+    others = [c for c in df.columns if c not in (key, order)]
+    latest = F.max(F.struct(order, *others)).alias("_latest")
+    counted = df.groupBy(key).agg(latest, F.count(F.lit(1)).alias(copies))
+    return counted.select(*(F.col(key) if c == key else F.col("_latest")[c].alias(c) for c in df.columns), copies)
 
 
 def mark_repeated(df: DataFrame, key: str, row_id: str = "bronze_row_id", marker: str = "_repeated") -> DataFrame:

@@ -48,10 +48,15 @@ def merged(target: DataFrame, updates: DataFrame, key: str, now: Column | dateti
     """:func:`upsert` of a batch whose keys were checked before.
 
     ``created_at`` of a known key is kept, ``updated_at`` changes on the rows the batch
-    touches. NULL in the batch overwrites. One full join on the unique key does it all.
+    touches. NULL in the batch overwrites. One full join on the unique key does it all. Batch and
+    target must have the same columns, but for the audit columns; otherwise a value would be lost.
     """
     at = _instant(now)
     values = [c for c in target.columns if c != key and c not in AUDIT_COLUMNS]
+    given = [c for c in updates.columns if c != key and c not in AUDIT_COLUMNS]
+    if set(given) != set(values):
+        unknown, absent = sorted(set(given) - set(values)), sorted(set(values) - set(given))
+        raise ValueError(f"columns the target does not have: {unknown}; columns the batch does not have: {absent}")
     old = target.select(key, *(F.col(c).alias(f"_old_{c}") for c in target.columns if c != key))
     new = updates.select(key, *values, F.lit(True).alias("_touched"))
     touched = F.col("_touched").isNotNull()

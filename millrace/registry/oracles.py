@@ -431,7 +431,7 @@ ORACLES: dict[str, str] = {
         _typed(_PO),
         "SELECT "
         + ", ".join(f"cast({c} AS string) AS {c}" for c in _raw(_PO).split(", "))
-        + " FROM typed_purchase_orders",
+        + ", true AS above_the_floor FROM typed_purchase_orders",
     ),
     "silver_purchase_orders": _with(_silver(_PO), "SELECT * FROM typed_purchase_orders"),
     "silver_sales_orders": _with(_silver(_SO), "SELECT * FROM typed_sales_orders"),
@@ -548,6 +548,27 @@ UNION ALL
 SELECT transaction_date, warehouse_id, material_id, transaction_type, quantity, reference_id FROM fresh_lines""",
     ),
     "stream_masters": _with(
-        _tables("suppliers"), "SELECT supplier_id, supplier_name || ' Ltd' AS supplier_name, country FROM suppliers"
+        _tables("suppliers") | {"numbered": "SELECT *, substr(supplier_id, 4)::INTEGER AS number FROM suppliers"},
+        """SELECT supplier_id, supplier_name || CASE WHEN number % 3 = 0 THEN ' Ltd' ELSE '' END AS supplier_name, country,
+  CASE WHEN number % 3 = 0 THEN 3 ELSE 1 END AS change, true AS audited FROM numbered""",
+    ),
+}
+
+ORACLES |= {
+    "append_then_repair": ORACLES["fk_nullify"],
+    "snapshot_replace": ORACLES["inventory_snapshot"],
+    "silver_by_month": ORACLES["silver_purchase_orders"],
+    "stream_ingest_two_sources": _with(
+        _tables("sales_orders"), f"SELECT {_read_from_csv(_SO)}, true AS complete FROM sales_orders"
+    ),
+    "mixed_loads": ORACLES["csv_import"],
+    "stream_receipts_restarted": ORACLES["stream_receipts"],
+    "stream_stock": _with(
+        _BOOKED
+        | {
+            "both_lines": """SELECT warehouse_id, material_id, transaction_type, quantity FROM booked_lines
+UNION ALL SELECT warehouse_id, material_id, transaction_type, quantity FROM fresh_lines"""
+        },
+        f"SELECT * FROM ({_BALANCES.format(rows='both_lines')}) b WHERE quantity > 0",
     ),
 }

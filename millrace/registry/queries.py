@@ -25,7 +25,7 @@ from millrace.operators.foreign_keys import repair_material
 from millrace.operators.sequence import dense_numbers, next_number
 from millrace.operators.upsert import upsert
 from millrace.plans import gold, movements, quality
-from millrace.plans.bronze import conform
+from millrace.plans.bronze import conform, highest_row_id
 from millrace.plans.deliveries import delivery_status, evaluate_suppliers
 from millrace.plans.inventory import balances, inventory_snapshot
 from millrace.plans.production import production_lines
@@ -35,7 +35,8 @@ from millrace.registry.bridge import Bridge
 from millrace.session import scratch_database, scratch_path
 from millrace.sources.gold import write_gold
 from millrace.sources.readers import import_csv, read_csv
-from millrace.sources.sinks import write_csv
+from millrace.sources.ledger import repair_stored_orders
+from millrace.sources.sinks import append_table, replace_table, without_audit, write_csv, write_silver
 from millrace.streaming.ingest import ingest_files
 from millrace.streaming.masters import upsert_stream
 from millrace.streaming.receipts import book_receipts, read_ledger, seed_ledger, stream_bronze
@@ -127,7 +128,8 @@ def gold_written(spark: SparkSession, folder: str) -> DataFrame:
 
 def bronze_conform(spark: SparkSession, folder: str) -> DataFrame:
     typed = Bridge(spark, folder).typed_purchase_orders
-    return conform(typed, RAW_PURCHASE_ORDERS, above=1000).drop("bronze_row_id")
+    rows = conform(typed, RAW_PURCHASE_ORDERS, above=1000)
+    return rows.withColumn("above_the_floor", F.col("bronze_row_id") > 1000).drop("bronze_row_id")
 
 
 def silver_purchase_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -368,8 +370,8 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{base}/bronze").select(*SALES.bronze_columns)
 
 
-def stream_receipts(spark: SparkSession, folder: str) -> DataFrame:
-    """Receipts booked from a stream of bronze files over a ledger that already has some."""
+def _receipt_stream(spark: SparkSession, folder: str, runs: int) -> tuple[str, str]:
+    """Ledger path and snapshot name after all bronze files were read, once by each of some fresh checkpoints."""
     b = Bridge(spark, folder)
     base = scratch_path(spark, "receipts")
     # One file per run of row ids would split copies over batches; hashing the id keeps them together.
@@ -378,34 +380,119 @@ def stream_receipts(spark: SparkSession, folder: str) -> DataFrame:
     )
     seed_ledger(_booked_ledger(b), f"{base}/ledger", f"{base}/balances")
     snapshot = f"{scratch_database(spark, 'stock')}.inventory"
-    query = book_receipts(
-        stream_bronze(spark, f"{base}/bronze", BRONZE_PURCHASE_ORDERS, files_per_batch=2),
-        f"{base}/ledger",
-        f"{base}/balances",
-        b.materials,
-        b.warehouses,
-        snapshot,
-        f"{base}/state",
-    )
-    query.awaitTermination()
+    for run in range(runs):
+        book_receipts(
+            stream_bronze(spark, f"{base}/bronze", BRONZE_PURCHASE_ORDERS, files_per_batch=2),
+            f"{base}/ledger",
+            f"{base}/balances",
+            b.materials,
+            b.warehouses,
+            snapshot,
+            f"{base}/state-{run}",
+        ).awaitTermination()
+    return f"{base}/ledger", snapshot
+
+
+def stream_receipts(spark: SparkSession, folder: str) -> DataFrame:
+    """Receipts booked from a stream of bronze files over a ledger that already has some."""
     # Which batch a file falls into decides its numbers, so the id stays out of the result.
-    return read_ledger(spark, f"{base}/ledger").drop("transaction_id", "receipt_batch")
+    return read_ledger(spark, _receipt_stream(spark, folder, 1)[0]).drop("transaction_id", "receipt_run", "receipt_batch")
+
+
+def stream_receipts_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files read again by a fresh checkpoint: every order is booked once."""
+    return read_ledger(spark, _receipt_stream(spark, folder, 2)[0]).drop("transaction_id", "receipt_run", "receipt_batch")
+
+
+def stream_stock(spark: SparkSession, folder: str) -> DataFrame:
+    """The stock snapshot that the receipt stream publishes."""
+    return without_audit(spark.table(_receipt_stream(spark, folder, 1)[1]))
+
+
+def stream_ingest_two_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Two landing folders, each with its own checkpoint, into one bronze folder."""
+    base = scratch_path(spark, "ingest")
+    orders = Bridge(spark, folder).sales_orders
+    for part in (0, 1):
+        own = orders.where(F.pmod("bronze_row_id", F.lit(2)) == part).drop("bronze_row_id")
+        write_csv(own, f"{base}/landing-{part}")
+        ingest_files(spark, f"{base}/landing-{part}", RAW_SALES_ORDERS, f"{base}/bronze", f"{base}/state-{part}").awaitTermination()
+    rows = spark.read.parquet(f"{base}/bronze")
+    repeated = rows.groupBy("bronze_row_id").agg(F.count(F.lit(1)).alias("times"))
+    complete = F.col("source_file").isNotNull() & F.col("ingested_at").isNotNull()
+    return rows.join(repeated, "bronze_row_id").select(*SALES.bronze_columns, (complete & (F.col("times") == 1)).alias("complete"))
+
+
+def mixed_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch load of early copies, then a stream of the final ones: what arrived last survives."""
+    b = Bridge(spark, folder)
+    base = scratch_path(spark, "mixed")
+    early = b.purchase_orders.drop("bronze_row_id").withColumns({"status": F.lit("CREATED"), "quantity": F.lit("1")})
+    conform(early, RAW_PURCHASE_ORDERS).write.parquet(f"{base}/batch")
+    loaded = spark.read.parquet(f"{base}/batch")
+    write_csv(keep_latest(b.purchase_orders, PURCHASE.id).drop("bronze_row_id"), f"{base}/landing")
+    ingest_files(
+        spark, f"{base}/landing", RAW_PURCHASE_ORDERS, f"{base}/stream", f"{base}/state", floor=lambda: highest_row_id(loaded)
+    ).awaitTermination()
+    columns = ("bronze_row_id", *PURCHASE.bronze_columns)
+    streamed = spark.read.parquet(f"{base}/stream").select(*columns)
+    return keep_latest(loaded.select(*columns).unionByName(streamed), PURCHASE.id).drop("bronze_row_id")
 
 
 def stream_masters(spark: SparkSession, folder: str) -> DataFrame:
-    """Supplier changes from a stream of files; the later change of a supplier wins."""
+    """Supplier changes from a stream of files: known, new, changed, and late ones that change nothing."""
     base = scratch_path(spark, "masters")
     table = f"{scratch_database(spark, 'masters')}.suppliers"
     schema = StructType([*SUPPLIERS.fields, StructField("change", IntegerType(), True)])
-    suppliers = Bridge(spark, folder).suppliers.withColumn("change", F.lit(1))
-    renamed = suppliers.select(
-        "supplier_id", F.concat("supplier_name", F.lit(" Ltd")).alias("supplier_name"), "country", F.lit(2).alias("change")
+    suppliers = Bridge(spark, folder).suppliers.withColumn("_number", F.substring("supplier_id", 4, 20).cast("int"))
+
+    def changes(condition: str, addition: str, change: int) -> DataFrame:
+        name = F.concat("supplier_name", F.lit(addition)).alias("supplier_name")
+        return suppliers.where(condition).select("supplier_id", name, "country", F.lit(change).alias("change"))
+
+    arriving = (
+        changes("_number % 7 > 0", "", 1),
+        changes("_number % 3 = 0", " Ltd", 3).unionByName(changes("_number % 7 = 0 AND _number % 3 > 0", "", 1)),
+        changes("_number % 3 = 0", " late", 2),
     )
-    for changes in (suppliers, suppliers.unionByName(renamed)):
-        changes.write.mode("append").parquet(f"{base}/changes")
+    for rows in arriving:
+        rows.write.mode("append").parquet(f"{base}/changes")
         arrived = spark.readStream.schema(schema).parquet(f"{base}/changes")
         upsert_stream(arrived, table, "supplier_id", "change", f"{base}/state").awaitTermination()
-    return spark.table(table).select("supplier_id", "supplier_name", "country")
+    kept = F.col("created_at") <= F.col("updated_at")
+    return spark.table(table).select("supplier_id", "supplier_name", "country", "change", kept.alias("audited"))
+
+
+# Stored tables.
+
+
+def append_then_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Append, replace, append and repair of one name: readers see every row."""
+    b = Bridge(spark, folder)
+    name = f"{scratch_database(spark, 'orders')}.sales_orders"
+    halves = [b.sales_orders.where(F.pmod("bronze_row_id", F.lit(2)) == part) for part in (0, 1)]
+    append_table(halves[0], name)
+    replace_table(spark.table(name), name)
+    append_table(halves[1], name)
+    repair_stored_orders(spark, name, b.materials, SALES)
+    return without_audit(spark.table(name))
+
+
+def snapshot_replace(spark: SparkSession, folder: str) -> DataFrame:
+    """All balances stored, then replaced by the positive ones among them."""
+    name = f"{scratch_database(spark, 'stock')}.inventory"
+    replace_table(balances(_ledger_lines(Bridge(spark, folder))), name)
+    replace_table(spark.table(name).where("quantity > 0"), name)
+    return spark.table(name)
+
+
+def silver_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver orders written by month over a version in which every order stood in another month."""
+    path = scratch_path(spark, "silver")
+    orders = _silver(Bridge(spark, folder), PURCHASE)
+    write_silver(orders.withColumn("order_date", F.add_months("order_date", -400)), path)
+    write_silver(orders, path)
+    return _flat(spark.read.parquet(path)).drop("order_month")
 
 
 QUERIES: dict[str, Query] = {
@@ -448,5 +535,12 @@ QUERIES: dict[str, Query] = {
     "supplier_evaluation": supplier_evaluation,
     "stream_ingest": stream_ingest,
     "stream_receipts": stream_receipts,
+    "append_then_repair": append_then_repair,
+    "snapshot_replace": snapshot_replace,
+    "silver_by_month": silver_by_month,
+    "stream_ingest_two_sources": stream_ingest_two_sources,
+    "mixed_loads": mixed_loads,
+    "stream_receipts_restarted": stream_receipts_restarted,
+    "stream_stock": stream_stock,
     "stream_masters": stream_masters,
 }

@@ -49,14 +49,18 @@ def write_gold(
         rows[name] = replace_table(table, f"{namespace}.{name}", fmt)
 
     bought = gold.partner_totals(purchase_orders, PURCHASE).persist()
-    put("gold_supplier_performance", gold.supplier_performance(bought, suppliers))
-    put("gold_country_wise_procurement", gold.country_wise_procurement(bought, suppliers))
-    bought.unpersist()
+    try:
+        put("gold_supplier_performance", gold.supplier_performance(bought, suppliers))
+        put("gold_country_wise_procurement", gold.country_wise_procurement(bought, suppliers))
+    finally:
+        bought.unpersist()
 
     sold = gold.partner_totals(sales_orders, SALES).persist()
-    put("gold_customer_sales_summary", gold.customer_sales_summary(sold, customers))
-    put("gold_country_wise_sales", gold.country_wise_sales(sold, customers))
-    sold.unpersist()
+    try:
+        put("gold_customer_sales_summary", gold.customer_sales_summary(sold, customers))
+        put("gold_country_wise_sales", gold.country_wise_sales(sold, customers))
+    finally:
+        sold.unpersist()
 
     put("gold_material_demand", gold.material_demand(purchase_orders, sales_orders, materials))
     written = spark.table(f"{namespace}.gold_material_demand")

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.model import TABLES
 from millrace.operators.dedupe import keep_latest
@@ -29,20 +29,41 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def csv_options(null_text: str = "") -> dict[str, object]:
-    """A header and values as they stand: padding is kept. An empty field is NULL, unless
-    another text stands for NULL; then it is empty text."""
+def csv_options(null_text: str = "", multi_line: bool = False) -> dict[str, object]:
+    """A header and values as they stand: padding is kept, a quote within quotes is doubled. An
+    empty field is NULL, unless another text stands for NULL; then it is empty text.
+
+    A header in another order than the schema and a record with more or fewer fields raise.
+    ``multi_line`` allows line breaks within quotes; a file is then read by one task.
+    """
     return {
         "header": True,
+        "enforceSchema": False,
+        "columnPruning": False,
+        "mode": "FAILFAST",
+        "escape": '"',
+        "multiLine": multi_line,
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
         "nullValue": null_text,
     }
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType, null_text: str = "") -> DataFrame:
-    """CSV files, by a glob or a list."""
-    return spark.read.schema(schema).options(**csv_options(null_text)).csv(paths)
+def read_csv(
+    spark: SparkSession, paths: str | list[str], schema: StructType, null_text: str = "", multi_line: bool = False
+) -> DataFrame:
+    """CSV files, by a glob or a list, with columns taken by the names in their header.
+
+    All files have the header of the first; a file with another one raises. Columns that the
+    schema does not have are left out, those that the files do not have are NULL.
+    """
+    options = csv_options(null_text, multi_line)
+    header = spark.read.options(**options).csv(paths).columns
+    declared = {f.name: f for f in schema.fields}
+    found = StructType([declared.get(name, StructField(name, StringType())) for name in header])
+    rows = spark.read.schema(found).options(**options).csv(paths)
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in header}
+    return rows.withColumns(absent).select(*schema.names)
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
@@ -59,9 +80,9 @@ def with_file_order(df: DataFrame) -> DataFrame:
     )
 
 
-def import_csv(spark: SparkSession, paths: str | list[str], schema: StructType, key: str) -> DataFrame:
+def import_csv(spark: SparkSession, paths: str | list[str], schema: StructType, key: str, multi_line: bool = False) -> DataFrame:
     """All files together, one row per key: the last one in file order."""
-    ordered = with_file_order(read_csv(spark, paths, schema))
+    ordered = with_file_order(read_csv(spark, paths, schema, multi_line=multi_line))
     return keep_latest(ordered, key, FILE_ORDER).drop(*FILE_ORDER)
 
 

@@ -1,14 +1,15 @@
 """Writes: append, full replace, upsert, CSV. Each reports the rows it wrote without a second job.
 
 Parquet tables cannot be overwritten while they are read, and an overwrite that fails half
-way leaves nothing. So a replaced table is a view over a versioned table: the new version
-is written in full, then the view is pointed at it. With a transactional format the
-format's own overwrite does the same.
+way leaves nothing. So every table written here is a view over a versioned table: a new
+version is written in full, then the view is pointed at it. What is current is what the view
+says, never what a listing shows. With a transactional format the format's own overwrite does
+the same. One writer at a time works on a name.
 """
 
 from __future__ import annotations
 
-import time
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -30,25 +31,64 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _version_name(name: str, number: int) -> str:
+    return f"{name}__v{number:020d}"
+
+
+def _current(spark: SparkSession, name: str) -> int | None:
+    """The number of the version that the view points at; 0 when there is nothing of that name,
+    None when it is a table or a view that was not made here."""
+    if not spark.catalog.tableExists(name):
+        return 0
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    short = name.rpartition(".")[2]
+    found = re.search(rf"\b{re.escape(short)}__v(\d{{20}})$", details.get("View Text") or "", re.IGNORECASE)
+    return int(found[1]) if found else None
+
+
 def _versions(spark: SparkSession, name: str) -> list[str]:
-    """Versioned tables behind a name, oldest first."""
+    """Versioned tables behind a name, oldest first; other names that look alike are not among them."""
     namespace, _, short = name.rpartition(".")
+    exact = re.compile(rf"{re.escape(short.lower())}__v\d{{20}}")
     tables = spark.catalog.listTables(namespace or None, f"{short.lower()}__v*")
-    found = sorted(t.name for t in tables)
+    found = sorted(t.name for t in tables if exact.fullmatch(t.name))
     return [f"{namespace}.{t}" if namespace else t for t in found]
 
 
+def _publish(counted: DataFrame, name: str, current: int, fmt: str, partition_by: Sequence[str]) -> None:
+    """Writes the next version and points the view at it; a version that fails on the way is dropped."""
+    spark = counted.sparkSession
+    version = _version_name(name, current + 1)
+    spark.sql(f"DROP TABLE IF EXISTS {version}")  # left over by a writer that was ended; no view points at it
+    try:
+        counted.write.format(fmt).partitionBy(*partition_by).mode("errorifexists").saveAsTable(version)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    for old in _versions(spark, name):
+        if int(old[-20:]) <= current + 1 - KEPT_VERSIONS:
+            spark.sql(f"DROP TABLE {old}")
+
+
 def append_table(
     df: DataFrame, name: str, fmt: str = "parquet", partition_by: Sequence[str] = (), now: Column | datetime | None = None
 ) -> int:
     """Adds rows with audit columns; repeated business keys are welcome.
 
-    Behind a replaced table the rows go to its current version.
+    The rows go to the version that readers see. A table that was not made here is appended to as it is.
     """
+    spark = df.sparkSession
     counted, seen = _observed(with_audit(df, now))
-    versions = _versions(df.sparkSession, name)
-    target = versions[-1] if versions else name
-    counted.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(target)
+    if fmt in TRANSACTIONAL_FORMATS:
+        counted.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(name)
+        return seen.get["rows"]
+    current = _current(spark, name)
+    if current == 0:
+        _publish(counted, name, 0, fmt, partition_by)
+    else:
+        target = name if current is None else _version_name(name, current)
+        counted.write.format(fmt).mode("append").partitionBy(*partition_by).saveAsTable(target)
     return seen.get["rows"]
 
 
@@ -56,19 +96,17 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by:
     """Full replace, also by an empty frame; readers see the old rows until the new ones are complete.
 
     The frame may read the table it replaces. The version before the current one is kept
-    for queries that still run on it.
+    for queries that still run on it. A table that was not made here raises before anything is written.
     """
     spark = df.sparkSession
     counted, seen = _observed(df)
-    writer = counted.write.format(fmt).partitionBy(*partition_by)
     if fmt in TRANSACTIONAL_FORMATS:
-        writer.mode("overwrite").saveAsTable(name)
+        counted.write.format(fmt).partitionBy(*partition_by).mode("overwrite").saveAsTable(name)
         return seen.get["rows"]
-    version = f"{name}__v{time.time_ns():020d}"
-    writer.mode("errorifexists").saveAsTable(version)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
-    for old in _versions(spark, name)[:-KEPT_VERSIONS]:
-        spark.sql(f"DROP TABLE {old}")
+    current = _current(spark, name)
+    if current is None:
+        raise ValueError(f"{name} is a table or view that was not written by append_table or replace_table")
+    _publish(counted, name, current, fmt, partition_by)
     return seen.get["rows"]
 
 
@@ -102,8 +140,13 @@ def replace_months(df: DataFrame, path: str, month: str = "order_month") -> int:
 
 
 def write_silver(orders: DataFrame, path: str) -> int:
-    """Silver orders by month of their order date; those without a date form a folder of their own."""
-    return replace_months(orders.withColumn("order_month", month_of(F.col("order_date"))), path)
+    """All silver orders by month of their order date; those without a date form a folder of their own.
+
+    A full replace: months that no order has any more go. ``replace_months`` rewrites some months only.
+    """
+    counted, seen = _observed(orders.withColumn("order_month", month_of(F.col("order_date"))).hint("rebalance", "order_month"))
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("order_month").parquet(path)
+    return seen.get["rows"]
 
 
 def write_csv(df: DataFrame, path: str, null_text: str = "") -> int:

@@ -3,23 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.dedupe import keep_latest
 from millrace.sources.sinks import upsert_table
 
 
+def newer_changes(batch: DataFrame, stored: DataFrame | None, key: str, order: str) -> DataFrame:
+    """The highest ``order`` of each key in the batch, where it is above the one that is stored.
+
+    Equal orders go by all other columns, so a replay chooses the same row; a change without an
+    order counts as the lowest.
+    """
+    ties = [order, *(c for c in batch.columns if c not in (key, order))]
+    latest = keep_latest(batch, key, ties)
+    if stored is None:
+        return latest
+    known = stored.select(key, F.col(order).alias("_known"), F.lit(True).alias("_stored"))
+    newer = F.col("_stored").isNull() | (F.col(order) > F.col("_known")) | (F.col("_known").isNull() & F.col(order).isNotNull())
+    return latest.join(known, key, "left").where(newer).drop("_known", "_stored")
+
+
 def upsert_stream(
     changes: DataFrame, table: str, key: str, order: str, checkpoint: str, fmt: str = "parquet"
 ) -> StreamingQuery:
-    """Upserts each micro-batch into a master table; within a batch the highest ``order`` wins.
+    """Upserts each micro-batch into a master table; the highest ``order`` of a key wins.
 
-    ``dropDuplicates`` on a stream would keep the first value of a key, so the choice is
-    made per batch. Replaying a batch writes the same values again.
+    The order is stored with the row, so an older change that arrives in a later batch, or
+    after a new checkpoint, changes nothing. Replaying a batch changes nothing either.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(keep_latest(batch, key, order).drop(order), table, key, fmt)
+        spark = batch.sparkSession
+        stored = spark.table(table) if spark.catalog.tableExists(table) else None
+        upsert_table(newer_changes(batch, stored, key, order), table, key, fmt)
 
     return (
         changes.writeStream.foreachBatch(write)

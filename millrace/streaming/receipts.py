@@ -1,8 +1,9 @@
 """Goods receipts for orders as they arrive, and the stock they lead to.
 
-Ledger and balances live in partition folders named after the micro-batch that wrote them.
-A replayed batch looks only at what others wrote, then rewrites its own folder, so nothing
-is booked twice. Folder -1 holds what was there before the stream.
+Ledger and balances live in partition folders named after the run and the micro-batch that
+wrote them; a run is a checkpoint. A replayed batch looks only at what others wrote, then
+rewrites its own folder, and a fresh checkpoint sees what earlier runs have booked, so nothing
+is booked twice. The run "seed" holds what was there before the stream.
 """
 
 from __future__ import annotations
@@ -10,60 +11,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace.model import INVENTORY, INVENTORY_TRANSACTIONS
 from millrace.operators.upsert import with_audit
 from millrace.plans.inventory import add_movements, balances
 from millrace.plans.movements import new_receipts, next_transaction
-from millrace.session import discard
+from millrace.session import discard, path_exists
 from millrace.sources.sinks import replace_table
+from millrace.streaming.ingest import run_name
 
-BATCH = "receipt_batch"
-SEED = -1
+RUN, BATCH = "receipt_run", "receipt_batch"
+SEED = "seed"
+
+
+def _folder(path: str, run: str, batch_id: int) -> str:
+    return f"{path}/{RUN}={run}/{BATCH}={batch_id}"
 
 
 def seed_ledger(ledger: DataFrame, ledger_path: str, balance_path: str) -> None:
     """Existing ledger, possibly empty, and its balances as the starting point of the stream."""
-    ledger.select(*INVENTORY_TRANSACTIONS.names).write.mode("overwrite").parquet(f"{ledger_path}/{BATCH}={SEED}")
-    balances(read_ledger(ledger.sparkSession, ledger_path)).write.mode("overwrite").parquet(
-        f"{balance_path}/{BATCH}={SEED}"
-    )
+    ledger.select(*INVENTORY_TRANSACTIONS.names).write.mode("overwrite").parquet(_folder(ledger_path, SEED, 0))
+    balances(read_ledger(ledger.sparkSession, ledger_path)).write.mode("overwrite").parquet(_folder(balance_path, SEED, 0))
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    schema = StructType([*INVENTORY_TRANSACTIONS.fields, StructField(BATCH, LongType(), True)])
+    schema = StructType([*INVENTORY_TRANSACTIONS.fields, StructField(RUN, StringType(), True), StructField(BATCH, LongType(), True)])
     return spark.read.schema(schema).parquet(ledger_path)
 
 
-def _next_after(ledger: DataFrame) -> int:
-    """Numbers rise from batch to batch, so only the last folder with rows is looked at."""
-    last = ledger.agg(F.max(BATCH)).first()[0]
-    return 1 if last is None else next_transaction(ledger.where(F.col(BATCH) == last))
+def _next_after(others: DataFrame, run: str) -> int:
+    """Numbers rise from batch to batch, so within a run only its last folder with rows is looked at."""
+    last = others.where(F.col(RUN) == run).agg(F.max(BATCH)).first()[0]
+    return next_transaction(others if last is None else others.where((F.col(RUN) == run) & (F.col(BATCH) == last)))
 
 
-def book_batch(ledger_path: str, balance_path: str, materials: DataFrame, warehouses: DataFrame, snapshot: str):
+def book_batch(ledger_path: str, balance_path: str, materials: DataFrame, warehouses: DataFrame, snapshot: str, run: str | None = None):
     """Writes the receipts of one micro-batch, the balances after it, and publishes the snapshot.
 
-    Balances grow by the batch instead of being summed from the whole ledger each time. Those
-    of the batch before stay for a replay, older ones are removed.
+    Balances grow by the batch instead of being summed from the whole ledger each time; only the
+    first batch of a run sums what all earlier ones have booked. Those of the batch before stay
+    for a replay, older ones of the run are removed. One run at a time books into a ledger.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        others = read_ledger(spark, ledger_path).where(F.col(BATCH) < batch_id)
-        own_path = f"{ledger_path}/{BATCH}={batch_id}"
-        receipts = new_receipts(batch, others, materials, warehouses, _next_after(others))
+        name = run or run_name(spark)
+        own = (F.col(RUN) == name) & (F.col(BATCH) >= batch_id)
+        others = read_ledger(spark, ledger_path).where(~own)
+        own_path = _folder(ledger_path, name, batch_id)
+        receipts = new_receipts(batch, others, materials, warehouses, _next_after(others, name))
         receipts.write.mode("overwrite").parquet(own_path)
 
         booked = spark.read.schema(INVENTORY_TRANSACTIONS).parquet(own_path)
-        before = spark.read.schema(INVENTORY).parquet(f"{balance_path}/{BATCH}={batch_id - 1}")
-        after_path = f"{balance_path}/{BATCH}={batch_id}"
+        before_path = _folder(balance_path, name, batch_id - 1)
+        known = path_exists(spark, before_path)
+        before = spark.read.schema(INVENTORY).parquet(before_path) if known else balances(others)
+        after_path = _folder(balance_path, name, batch_id)
         add_movements(before, booked).write.mode("overwrite").parquet(after_path)
         stock = spark.read.schema(INVENTORY).parquet(after_path).where("quantity > 0")
         replace_table(with_audit(stock), snapshot)
-        if batch_id - 2 >= SEED:
-            discard(spark, f"{balance_path}/{BATCH}={batch_id - 2}")
+        if batch_id >= 2:
+            discard(spark, _folder(balance_path, name, batch_id - 2))
 
     return write
 

@@ -61,6 +61,52 @@ def test_replace_keeps_two_versions(spark, db):
     assert len(sinks._versions(spark, f"{db}.snapshot")) == sinks.KEPT_VERSIONS
 
 
+def test_append_replace_append_repair_keep_all_rows(spark, db):
+    name = f"{db}.orders"
+    first, second = (rows.purchase(spark, [{"purchase_order_id": x, "material_id": m}]) for x, m in (("A", "RM0001"), ("B", "FG0001")))
+    assert sinks.append_table(first, name) == 1
+    assert sinks.replace_table(spark.table(name), name) == 1
+    assert sinks.append_table(second, name) == 1
+    assert stored.repair_stored_orders(spark, name, rows.masters(spark)["materials"], PURCHASE) == 2
+    assert {(r.purchase_order_id, r.material_id) for r in spark.table(name).collect()} == {("A", "RM0001"), ("B", None)}
+
+
+def test_names_that_look_like_versions_are_left_alone(spark, db):
+    spark.range(3).write.saveAsTable(f"{db}.stock__v0_audit")
+    spark.range(3).write.saveAsTable(f"{db}.stock__v1")
+    for n in range(4):
+        sinks.replace_table(spark.range(n), f"{db}.stock")
+    assert sinks.append_table(spark.range(5).withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}), f"{db}.other") == 5
+    assert spark.table(f"{db}.stock__v0_audit").count() == spark.table(f"{db}.stock__v1").count() == 3
+    assert spark.table(f"{db}.stock").count() == 3
+
+
+def test_a_plain_table_is_not_replaced(spark, db):
+    spark.range(3).write.saveAsTable(f"{db}.plain")
+    before = {t.name for t in spark.catalog.listTables(db)}
+    with pytest.raises(ValueError, match="plain"):
+        sinks.replace_table(spark.range(1), f"{db}.plain")
+    assert {t.name for t in spark.catalog.listTables(db)} == before
+    assert spark.table(f"{db}.plain").count() == 3
+
+
+def test_a_version_left_over_is_written_anew(spark, db):
+    name = f"{db}.snapshot"
+    sinks.replace_table(spark.range(2), name)
+    spark.range(99).write.saveAsTable(sinks._version_name(name, 2))
+    assert sinks.replace_table(spark.range(7), name) == 7
+    assert spark.table(name).count() == 7
+
+
+def test_columns_that_would_be_lost_raise(spark, db):
+    name = f"{db}.suppliers"
+    sinks.upsert_table(rows.masters(spark)["suppliers"], name, "supplier_id")
+    batch = spark.createDataFrame([("SUP001", "x", "BE", 1)], "supplier_id string, supplier_name string, country string, rank int")
+    for other in (batch, batch.drop("rank", "country")):
+        with pytest.raises(ValueError, match="columns"):
+            sinks.upsert_table(other, name, "supplier_id")
+
+
 def test_upsert_table(spark, db):
     name, first, second = f"{db}.suppliers", datetime(2025, 1, 1), datetime(2025, 2, 1)
     m = rows.masters(spark)["suppliers"]
@@ -86,6 +132,13 @@ def test_replace_months_leaves_the_others(spark):
     assert {r.v for r in spark.read.parquet(path).collect()} == {1, 9}
 
 
+def test_a_month_without_orders_goes(spark):
+    path = scratch_path(spark, "silver")
+    for month in (1, 2):
+        sinks.write_silver(spark.createDataFrame([(1, date(2025, month, 5))], "id int, order_date date"), path)
+    assert [(r.id, r.order_month) for r in spark.read.parquet(path).collect()] == [(1, date(2025, 2, 1))]
+
+
 def test_silver_is_stored_by_month_in_few_files(spark):
     path = scratch_path(spark, "silver")
     orders = spark.range(2000).repartition(16).selectExpr(
@@ -109,6 +162,27 @@ def test_csv_keeps_padding_and_can_keep_empty_text(spark):
     assert (back.supplier_id, back.status, back.quantity) == (" SUP001 ", "", None)
 
 
+def test_csv_is_read_by_name_with_standard_quotes(spark, tmp_path):
+    swapped = tmp_path / "swapped.csv"
+    swapped.write_text('supplier_name,extra,supplier_id\n"Acme ""Best"", Ltd",1,SUP001\n')
+    got = readers.read_csv(spark, str(swapped), model.SUPPLIERS).collect()
+    assert [tuple(r) for r in got] == [("SUP001", 'Acme "Best", Ltd', None)]
+    frame = spark.createDataFrame([("SUP001", 'two\nlines, "quoted"', " NL ")], model.SUPPLIERS)
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(frame, path)
+    assert readers.read_csv(spark, path, model.SUPPLIERS, multi_line=True).collect() == frame.collect()
+
+
+def test_surplus_fields_and_another_header_raise(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("supplier_id,supplier_name,country\nSUP001,Acme, Inc,DE\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ_FILE"):
+        readers.read_csv(spark, str(tmp_path / "a.csv"), model.SUPPLIERS).select("supplier_id").collect()
+    (tmp_path / "a.csv").write_text("supplier_id,supplier_name,country\nSUP001,Acme,DE\n")
+    (tmp_path / "b.csv").write_text("supplier_name,supplier_id,country\nAcme,SUP002,DE\n")
+    with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE"):
+        readers.read_csv(spark, str(tmp_path), model.SUPPLIERS).collect()
+
+
 def test_import_keeps_the_last_row_in_file_order(spark, tmp_path):
     header = ",".join(model.RAW_PURCHASE_ORDERS.names)
     for name, quantities in (("purchase_orders_b.csv", [3, 4]), ("purchase_orders_a.csv", [1, 2])):
