@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import blank_to_null, iso_date, is_missing, tolerant_long
-from millrace.model import GOODS_RECEIPT, LARGEST_USUAL_QUANTITY, OrderKind
+from millrace.model import LARGEST_USUAL_QUANTITY, OrderKind
 from millrace.operators.dedupe import mark_repeated
+from millrace.operators.filters import has_text
 from millrace.operators.foreign_keys import mark_material
 from millrace.operators.lookup import BROADCAST_LIMIT, mark_known
 
@@ -28,6 +29,9 @@ FLAGS = (
     "BAD_ORDER_DATE",
     "DUPLICATE_ID",
     "INVALID_MATERIAL",
+    "MISSING_ID",
+    "MISSING_DELIVERY_DATE",
+    "PADDED_MATERIAL",
 )
 
 # Flags that keep an order from ever moving stock.
@@ -37,6 +41,9 @@ BLOCKING = (
     "INVALID_STATUS",
     "NON_POSITIVE_QUANTITY",
     "UNREADABLE_QUANTITY",
+    "MISSING_ID",
+    "MISSING_DELIVERY_DATE",
+    "PADDED_MATERIAL",
 )
 
 
@@ -69,6 +76,9 @@ def _conditions(kind: OrderKind) -> dict[str, Column]:
         "BAD_ORDER_DATE": F.col("order_date").isNotNull() & ordered.isNull(),
         "DUPLICATE_ID": F.col("_repeated"),
         "INVALID_MATERIAL": F.col("material_id").isNotNull() & ~F.col("_material_known"),
+        "MISSING_ID": ~has_text(F.col(kind.id)),
+        "MISSING_DELIVERY_DATE": ~has_text(F.col(kind.delivery)),
+        "PADDED_MATERIAL": F.col("_arrived_material") != F.trim("_arrived_material"),
     }
 
 
@@ -136,14 +146,14 @@ def quarantine(flagged: DataFrame, blocking: Sequence[str] = BLOCKING) -> tuple[
     return flagged.where(~is_blocked(blocking)), flagged.where(is_blocked(blocking))
 
 
-def impact(flagged_latest: DataFrame, ledger: DataFrame, kind: OrderKind, movement: str = GOODS_RECEIPT) -> DataFrame:
+def impact(flagged_latest: DataFrame, ledger: DataFrame, kind: OrderKind) -> DataFrame:
     """Per flag: orders that carry it and how many of them did and did not reach the ledger.
 
     Expects one row per order id, so both join sides are unique on it. Orders without any
     flag are counted under ``CLEAN``.
     """
     moved = (
-        ledger.where(F.col("transaction_type") == movement)
+        ledger.where(F.col("transaction_type") == kind.movement)
         .select(F.col("reference_id").alias(kind.id))
         .distinct()
         .withColumn("_moved", F.lit(True))

@@ -1,4 +1,4 @@
-"""Why the receipts sum to less than the delivered purchase orders."""
+"""Why the movements sum to less than the delivered or shipped orders."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import tolerant_long
-from millrace.model import GOODS_RECEIPT, PURCHASE, RAW_MATERIAL
+from millrace.model import OrderKind
 from millrace.operators.dedupe import keep_latest
 from millrace.operators.filters import has_text, materials_of
 from millrace.operators.lookup import mark_known
@@ -27,25 +27,23 @@ def _total(quantity, condition):
     return F.coalesce(F.sum(F.when(condition, quantity)), F.lit(0))
 
 
-def reconcile_receipts(purchase_orders: DataFrame, materials: DataFrame, ledger: DataFrame) -> DataFrame:
-    """One row that walks from the naive total to the ledger.
+def reconcile(orders: DataFrame, materials: DataFrame, ledger: DataFrame, kind: OrderKind) -> DataFrame:
+    """One row that walks from the naive total to the ledger, for purchase or sales orders.
 
-    ``naive`` sums every DELIVERED bronze row. Superseded copies, then of the latest copies
+    ``naive`` sums every bronze row whose status moves stock. Superseded copies, then of the latest copies
     those without id or date, without a valid material, and with a quantity at or below zero
-    are taken off; what is left is ``clean`` and must equal the receipts: ``unexplained``
+    are taken off; what is left is ``clean`` and must equal the movements: ``unexplained``
     is 0. Each cause counts a row once, in that order.
     """
     quantity = tolerant_long(F.col("quantity"))
-    delivered = F.col("status") == "DELIVERED"
-    naive = purchase_orders.agg(_total(quantity, delivered).alias("naive_quantity"))
+    delivered = F.col("status").isin(*kind.moves_stock)
+    naive = orders.agg(_total(quantity, delivered).alias("naive_quantity"))
 
-    wanted = purchase_orders.select(
-        "bronze_row_id", PURCHASE.id, "material_id", "quantity", PURCHASE.delivery, "status"
-    )
+    wanted = orders.select("bronze_row_id", kind.id, "material_id", "quantity", kind.delivery, "status")
     latest = mark_known(
-        keep_latest(wanted, PURCHASE.id), materials_of(materials, RAW_MATERIAL), "material_id", "_material_known"
+        keep_latest(wanted, kind.id), materials_of(materials, kind.material_type), "material_id", "_material_known"
     )
-    complete = has_text(F.col(PURCHASE.id)) & has_text(F.col(PURCHASE.delivery))
+    complete = has_text(F.col(kind.id)) & has_text(F.col(kind.delivery))
     complete = F.coalesce(complete, F.lit(False))
     known = F.col("_material_known")
     survivors = latest.agg(
@@ -56,11 +54,11 @@ def reconcile_receipts(purchase_orders: DataFrame, materials: DataFrame, ledger:
         _total(quantity, delivered & complete & known & (quantity > 0)).alias("clean_quantity"),
         _total(quantity, ~F.coalesce(delivered, F.lit(False))).alias("not_delivered_quantity"),
     )
-    receipts = ledger.where(F.col("transaction_type") == GOODS_RECEIPT).agg(
+    moved = ledger.where(F.col("transaction_type") == kind.movement).agg(
         F.coalesce(F.sum("quantity"), F.lit(0)).alias("ledger_quantity")
     )
     # Three one-row frames side by side: stacked with gaps, then summed.
-    stacked = naive.unionByName(survivors, allowMissingColumns=True).unionByName(receipts, allowMissingColumns=True)
+    stacked = naive.unionByName(survivors, allowMissingColumns=True).unionByName(moved, allowMissingColumns=True)
     return (
         stacked.agg(*(F.sum(part).alias(part) for part in PARTS))
         .withColumn("superseded_quantity", F.col("naive_quantity") - F.col("latest_quantity"))

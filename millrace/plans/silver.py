@@ -25,7 +25,7 @@ def silver_orders(
     sign, dates must be strict ISO.
     """
     latest = keep_latest_counted(bronze.select("bronze_row_id", *kind.bronze_columns), kind.id)
-    counted = latest.withColumn("_repeated", F.col("_copies") > 1)
+    counted = latest.withColumns({"_repeated": F.col("_copies") > 1, "_arrived_material": F.col("material_id")})
     marked = mark_references(counted, partners, materials, kind, broadcast_limit, bronze)
     return with_readings(marked, kind).select(
         "bronze_row_id",

@@ -83,6 +83,9 @@ def _flags(o: dict[str, str]) -> str:
         "BAD_ORDER_DATE": f"order_date IS NOT NULL AND {_day('order_date')} IS NULL",
         "DUPLICATE_ID": "copies > 1",
         "INVALID_MATERIAL": "nullif(trim(material_id), '') IS NOT NULL AND NOT material_ok",
+        "MISSING_ID": f"coalesce({o['id']}, '') = ''",
+        "MISSING_DELIVERY_DATE": f"coalesce({o['delivery']}, '') = ''",
+        "PADDED_MATERIAL": "material_id <> trim(material_id)",
     }
     return "concat_ws('|', " + ", ".join(f"CASE WHEN {c} THEN '{f}' END" for f, c in conditions.items()) + ")"
 
@@ -324,12 +327,13 @@ _BOOKED = _ORDERS_AND_WAREHOUSES | {
     "fresh_lines": "SELECT * FROM receipts WHERE reference_id NOT IN (SELECT reference_id FROM booked_lines)",
 }
 
-_RECONCILE = f"""
+def _reconcile(o: dict[str, str], statuses: str, lines: str) -> str:
+    return f"""
 SELECT naive_quantity, latest_quantity, incomplete_quantity, wrong_material_quantity, non_positive_quantity,
        clean_quantity, not_delivered_quantity, ledger_quantity,
        naive_quantity - latest_quantity AS superseded_quantity, clean_quantity - ledger_quantity AS unexplained
 FROM (
-  SELECT (SELECT coalesce(sum({_long("quantity")}), 0)::BIGINT FROM purchase_orders WHERE status = 'DELIVERED')
+  SELECT (SELECT coalesce(sum({_long("quantity")}), 0)::BIGINT FROM {o["table"]} WHERE status IN ({statuses}))
            AS naive_quantity,
          coalesce(sum(q) FILTER (delivered), 0)::BIGINT AS latest_quantity,
          coalesce(sum(q) FILTER (delivered AND NOT complete), 0)::BIGINT AS incomplete_quantity,
@@ -337,14 +341,14 @@ FROM (
          coalesce(sum(q) FILTER (delivered AND complete AND known AND q <= 0), 0)::BIGINT AS non_positive_quantity,
          coalesce(sum(q) FILTER (delivered AND complete AND known AND q > 0), 0)::BIGINT AS clean_quantity,
          coalesce(sum(q) FILTER (NOT delivered), 0)::BIGINT AS not_delivered_quantity,
-         (SELECT coalesce(sum(quantity), 0)::BIGINT FROM receipts) AS ledger_quantity
+         (SELECT coalesce(sum(quantity), 0)::BIGINT FROM {lines}) AS ledger_quantity
   FROM (
-    SELECT {_long("quantity")} AS q, coalesce(status = 'DELIVERED', false) AS delivered,
-           coalesce(purchase_order_id <> '' AND expected_delivery_date <> '', false) AS complete,
-           coalesce(material_id IN (SELECT material_id FROM materials WHERE material_type = 'RAW_MATERIAL'), false)
+    SELECT {_long("quantity")} AS q, coalesce(status IN ({statuses}), false) AS delivered,
+           coalesce({o["id"]} <> '' AND {o["delivery"]} <> '', false) AS complete,
+           coalesce(material_id IN (SELECT material_id FROM materials WHERE material_type = {o["type"]}), false)
              AS known,
-           row_number() OVER (PARTITION BY purchase_order_id ORDER BY bronze_row_id DESC) AS copy
-    FROM purchase_orders) c
+           row_number() OVER (PARTITION BY {o["id"]} ORDER BY bronze_row_id DESC) AS copy
+    FROM {o["table"]}) c
   WHERE copy = 1
 ) totals"""
 
@@ -375,7 +379,7 @@ def _profile(o: dict[str, str], name: str) -> str:
     flags = (
         "UNKNOWN_PARTNER MISSING_MATERIAL MISSING_PARTNER MISSING_ORDER_DATE MISSING_QUANTITY DELIVERY_BEFORE_ORDER "
         "INVALID_STATUS NON_POSITIVE_QUANTITY QUANTITY_OUTLIER UNREADABLE_QUANTITY PADDED_PARTNER BAD_ORDER_DATE "
-        "DUPLICATE_ID INVALID_MATERIAL"
+        "DUPLICATE_ID INVALID_MATERIAL MISSING_ID MISSING_DELIVERY_DATE PADDED_MATERIAL"
     ).split()
     return " UNION ALL ".join(
         f"SELECT '{name}' AS orders, '{flag}' AS flag, total_rows, flagged_rows, "
@@ -399,15 +403,19 @@ _BLOCKED = " OR ".join(
         "INVALID_STATUS",
         "NON_POSITIVE_QUANTITY",
         "UNREADABLE_QUANTITY",
+        "MISSING_ID",
+        "MISSING_DELIVERY_DATE",
+        "PADDED_MATERIAL",
     )
 )
 
-_IMPACT = """
+def _impact(o: dict[str, str], lines: str) -> str:
+    return f"""
 SELECT flag, count(*) AS orders, count(*) FILTER (moved) AS moved_orders, count(*) FILTER (NOT moved) AS held_back_orders
 FROM (
   SELECT unnest(string_split(CASE WHEN dq_flags = '' THEN 'CLEAN' ELSE dq_flags END, '|')) AS flag,
-         purchase_order_id IN (SELECT reference_id FROM receipts) AS moved
-  FROM typed_purchase_orders) f
+         coalesce({o["id"]} IN (SELECT reference_id FROM {lines}), false) AS moved
+  FROM typed_{o["table"]}) f
 GROUP BY flag"""
 
 _MASTER = """
@@ -457,7 +465,8 @@ FROM sales_orders""",
     "dq_quarantine": _with(
         _flagged(_PO), f"SELECT bronze_row_id, {_raw(_PO)}, dq_flags FROM flagged_purchase_orders WHERE {_BLOCKED}"
     ),
-    "dq_impact": _with(_ORDERS_AND_WAREHOUSES | _silver(_PO), _IMPACT),
+    "dq_impact": _with(_ORDERS_AND_WAREHOUSES | _silver(_PO), _impact(_PO, "receipts")),
+    "dq_impact_sales": _with(_ORDERS_AND_WAREHOUSES | _silver(_SO), _impact(_SO, "shipments")),
     "text_checks": _with(
         _tables("sales_orders"),
         f"""SELECT bronze_row_id, {_SALES_NUMBER} AS order_number, nullif(trim(customer_id), '') AS customer,
@@ -492,7 +501,8 @@ UNION ALL SELECT warehouse_id, material_id, transaction_type, quantity FROM prod
     "incremental_receipts": _with(
         _BOOKED, _numbered("fresh_lines", "bronze_row_id", "(SELECT count(*) FROM booked_lines)")
     ),
-    "reconcile_po_receipts": _with(_ORDERS_AND_WAREHOUSES, _RECONCILE),
+    "reconcile_po_receipts": _with(_ORDERS_AND_WAREHOUSES, _reconcile(_PO, "'DELIVERED'", "receipts")),
+    "reconcile_so_shipments": _with(_ORDERS_AND_WAREHOUSES, _reconcile(_SO, "'SHIPPED', 'DELIVERED'", "shipments")),
     "next_id": _with(
         _tables("purchase_orders", "sales_orders"),
         _next(_PO, "PO", "purchase") + " UNION ALL " + _next(_SO, "SO", "sales"),

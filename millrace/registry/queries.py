@@ -29,7 +29,7 @@ from millrace.plans.bronze import conform, highest_row_id
 from millrace.plans.deliveries import delivery_status, evaluate_suppliers
 from millrace.plans.inventory import balances, inventory_snapshot
 from millrace.plans.production import production_lines
-from millrace.plans.reconcile import reconcile_receipts
+from millrace.plans.reconcile import reconcile
 from millrace.plans.silver import silver_orders
 from millrace.registry.bridge import Bridge
 from millrace.session import scratch_database, scratch_path
@@ -174,6 +174,17 @@ def dq_impact(spark: SparkSession, folder: str) -> DataFrame:
     return quality.impact(_silver(b, PURCHASE), receipts, PURCHASE)
 
 
+def dq_impact_sales(spark: SparkSession, folder: str) -> DataFrame:
+    b = Bridge(spark, folder)
+    shipments = movements.shipment_lines(b.sales_orders, b.materials, b.warehouses)
+    return quality.impact(_silver(b, SALES), shipments, SALES)
+
+
+def reconcile_so_shipments(spark: SparkSession, folder: str) -> DataFrame:
+    b = Bridge(spark, folder)
+    return reconcile(b.sales_orders, b.materials, movements.shipment_lines(b.sales_orders, b.materials, b.warehouses), SALES)
+
+
 def text_checks(spark: SparkSession, folder: str) -> DataFrame:
     """The tolerant readings side by side, over every bronze sales order."""
     orders = Bridge(spark, folder).sales_orders
@@ -251,7 +262,7 @@ def incremental_receipts(spark: SparkSession, folder: str) -> DataFrame:
 def reconcile_po_receipts(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
     receipts = movements.receipt_lines(b.purchase_orders, b.materials, b.warehouses)
-    return reconcile_receipts(b.purchase_orders, b.materials, receipts)
+    return reconcile(b.purchase_orders, b.materials, receipts, PURCHASE)
 
 
 def next_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -509,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "dq_profile": dq_profile,
     "dq_quarantine": dq_quarantine,
     "dq_impact": dq_impact,
+    "dq_impact_sales": dq_impact_sales,
     "text_checks": text_checks,
     "clean_delivered_po": clean_delivered_po,
     "clean_shipped_so": clean_shipped_so,
@@ -521,6 +533,7 @@ QUERIES: dict[str, Query] = {
     "receipt_references": receipt_references,
     "incremental_receipts": incremental_receipts,
     "reconcile_po_receipts": reconcile_po_receipts,
+    "reconcile_so_shipments": reconcile_so_shipments,
     "next_id": next_id,
     "hash_routing": hash_routing,
     "dense_ids": dense_ids,

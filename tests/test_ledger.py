@@ -7,7 +7,7 @@ from millrace.model import PURCHASE, SALES
 from millrace.plans import inventory, movements
 from millrace.plans.deliveries import delivery_status, evaluate_suppliers
 from millrace.plans.production import production_lines
-from millrace.plans.reconcile import reconcile_receipts
+from millrace.plans.reconcile import reconcile
 from tests import rows
 
 
@@ -158,7 +158,7 @@ def test_reconciliation_explains_the_gap(spark):
         ],
     )
     receipts = movements.receipt_lines(orders, m["materials"], m["warehouses"])
-    row = reconcile_receipts(orders, m["materials"], receipts).first()
+    row = reconcile(orders, m["materials"], receipts, PURCHASE).first()
     assert row.naive_quantity == 10 + 11 + 7 - 3 + 2
     assert row.superseded_quantity == 10
     assert (row.incomplete_quantity, row.wrong_material_quantity, row.non_positive_quantity) == (2, 7, -3)

@@ -26,8 +26,10 @@ DEFECTS = [
     ({"order_date": ""}, ["MISSING_ORDER_DATE", "BAD_ORDER_DATE"]),
     ({"material_id": "RM999999"}, ["MISSING_MATERIAL", "INVALID_MATERIAL"]),
     ({"material_id": "FG0001"}, ["MISSING_MATERIAL", "INVALID_MATERIAL"]),
-    ({"material_id": " RM0001 "}, []),
-    ({"material_id": "  "}, ["MISSING_MATERIAL"]),
+    ({"material_id": " RM0001 "}, ["PADDED_MATERIAL"]),
+    ({"material_id": "  "}, ["MISSING_MATERIAL", "PADDED_MATERIAL"]),
+    ({"expected_delivery_date": ""}, ["MISSING_DELIVERY_DATE"]),
+    ({"expected_delivery_date": None}, ["MISSING_DELIVERY_DATE"]),
 ]
 
 
@@ -92,7 +94,7 @@ def test_silver_types_repairs_and_keeps_rows(spark):
     assert (a.status, a.supplier_id, a.quantity, a.dq_flags) == ("CANCELLED", "SUP002", 12, ["PADDED_PARTNER", "DUPLICATE_ID"])
     assert (b.quantity, b.material_id, b.order_date) == (-5, None, None)
     assert b.dq_flags == ["MISSING_MATERIAL", "NON_POSITIVE_QUANTITY", "BAD_ORDER_DATE", "INVALID_MATERIAL"]
-    assert (nameless.bronze_row_id, nameless.quantity, nameless.dq_flags) == (5, 10, ["DUPLICATE_ID"])
+    assert (nameless.bronze_row_id, nameless.quantity, nameless.dq_flags) == (5, 10, ["DUPLICATE_ID", "MISSING_ID"])
 
 
 def test_silver_of_an_empty_table(spark):
