@@ -29,9 +29,9 @@ _WORD = re.compile(rf" ?[{LETTERS}]+")
 _ODD = "\x1c\x1d\x1e\x1f"
 #: White space and then a blank: such texts aren't cut at each blank.
 _UNEVEN = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
-#: Remembered words for each worker; the memory is emptied beyond it, which changes no result.
-REMEMBERED = 600_000
-#: Longer pieces seldom come again, so only their words are remembered.
+#: Entries of a generation of what a worker remembers; changes no result.
+REMEMBERED = 250_000
+#: Characters of the longest entry that is remembered; longer ones seldom come again.
 SHORT = 24
 
 
@@ -42,61 +42,61 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-class _Pieces(dict):
-    """Ids of pieces, worked out when first asked for; ``blank`` stands before each piece."""
+class _Remembered(dict):
+    """Values worked out when first asked for.
 
-    def __init__(self, encoder: Encoder, blank: str):
-        super().__init__()
-        self.encoder, self.blank = encoder, blank
+    Two generations are kept: when the younger is full it becomes the older one, and what is asked for
+    again moves back, so frequent entries stay and memory is bounded.
+    """
 
-    def __missing__(self, piece: str) -> bytes:
-        plain = _PLAIN.fullmatch(piece)
-        if plain:
-            letters, marks = plain.groups()
-            ids = self.encoder.words[self.blank + letters]
-            if marks:
-                ids += self.encoder.others[marks]
-        else:
-            known = self.encoder
-            parts = _FINE.findall(self.blank + piece)
-            ids = b"".join([(known.words if _WORD.fullmatch(x) else known.others)[x] for x in parts])
-        if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
-class _Words(dict):
-    """Ids of plain words by the model alone."""
-
-    def __init__(self, tokenizer, folds: bool):
+    def __init__(self) -> None:
         super().__init__()
-        self.tokenize, self.folds, self.letters = tokenizer.model.tokenize, folds, _byte_letters()
+        self.older: dict[str, bytes] = {}
+
+    def value(self, key: str) -> bytes:
+        raise NotImplementedError
 
-    def __missing__(self, word: str) -> bytes:
-        plain = word.lstrip(" ").lower() if self.folds else word
-        spelled = plain.encode().decode("latin-1").translate(self.letters)
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.value(key)
+            if len(key) > SHORT:
+                return found
         if len(self) >= REMEMBERED:
+            self.older = self.copy()
             self.clear()
-        found = self[word] = array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
+        self[key] = found
         return found
 
 
-class _Others(dict):
+class _Pieces(_Remembered):
+    """Ids of pieces; ``blank`` stands before each. A plain word is known by itself, without marks after it."""
+
+    def __init__(self, encoder: Encoder, blank: str):
+        super().__init__()
+        self.encoder, self.blank = encoder, blank
+        self.tokenize, self.letters = encoder.tokenizer.model.tokenize, _byte_letters()
+
+    def value(self, key: str) -> bytes:
+        plain = _PLAIN.fullmatch(key)
+        if plain:
+            word, marks = plain.groups()
+            if marks:
+                return self[word] + self.encoder.others[marks]
+            spelled = word.lower() if self.encoder.folds else self.blank + word
+            return array("I", [t.id for t in self.tokenize(spelled.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        return b"".join([self.encoder.part(x) for x in _FINE.findall(self.blank + key)])
+
+
+class _Others(_Remembered):
     """Ids of all else by every step of the library."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
 
-    def __missing__(self, text: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(text) <= SHORT:
-            self[text] = ids
-        return ids
+    def value(self, key: str) -> bytes:
+        return array("I", self.tokenizer.encode(key, add_special_tokens=False).ids).tobytes()
 
 
 class Encoder:
@@ -112,11 +112,16 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
-            folds = json.load(file).get("normalizer") is not None  # lower case, blanks dropped
-        self.words = _Words(self.tokenizer, folds)
+            self.folds = json.load(file).get("normalizer") is not None  # lower case, blanks dropped
         self.others = _Others(self.tokenizer)
         self.first = _Pieces(self, "")
-        self.rest = self.first if folds else _Pieces(self, " ")
+        self.rest = self.first if self.folds else _Pieces(self, " ")
+
+    def part(self, text: str) -> bytes:
+        """The ids of a part of a piece: a plain word with or without its blank, or anything else."""
+        if _WORD.fullmatch(text):
+            return self.rest[text[1:]] if text[0] == " " else self.first[text]
+        return self.others[text]
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text."""
