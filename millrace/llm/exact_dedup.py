@@ -25,12 +25,16 @@ PREFIX = 24
 RUNS = "doc_id long, text_sha256 string, _keep long, _size long, _head boolean, _edge boolean"
 
 
-def _sorted_by_content(rows: DataFrame, doc_id: Column) -> DataFrame:
-    """Rows with ``_text``, dealt out by range and sorted; of equal texts the largest id comes first, null last."""
-    keyed = rows.withColumns({"_prefix": F.left("_text", F.lit(PREFIX)), "_hash": F.xxhash64("_text"), "_order": doc_id})
-    largest = F.col("_order").desc_nulls_last()
-    dealt = keyed.repartitionByRange("_prefix", "_hash", largest).sortWithinPartitions("_prefix", "_hash", "_text", largest)
-    return dealt.withColumn("_sha", F.sha2(F.encode("_text", "UTF-8"), 256)).drop("_prefix", "_hash", "_order")
+def _sorted_by_content(rows: DataFrame, text: Column) -> DataFrame:
+    """Rows with ``_id``, dealt out by range of a text and sorted, with ``_text`` and its digest at the end.
+
+    Of equal texts the largest id comes first, null last. The text is worked out again after the shuffle,
+    so that rows that hold it already don't carry it twice.
+    """
+    keyed = rows.withColumns({"_prefix": F.left(text, F.lit(PREFIX)), "_hash": F.xxhash64(text)})
+    largest = F.col("_id").desc_nulls_last()
+    dealt = keyed.repartitionByRange("_prefix", "_hash", largest).sortWithinPartitions("_prefix", "_hash", text, largest)
+    return dealt.drop("_prefix", "_hash").withColumns({"_text": text, "_sha": F.sha2(F.encode(text, "UTF-8"), 256)})
 
 
 def _starts(texts: pa.Array, last: str | None) -> np.ndarray:
@@ -100,8 +104,9 @@ def exact_groups(docs: DataFrame, normalise: Column | None = None, doc_id: str =
     ``doc_id`` must be an integer column.
     """
     whole = F.coalesce((F.col(text) if normalise is None else normalise).cast("string"), F.lit(""))
-    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), whole.alias("_text"))
-    runs = stored(map_arrow(_sorted_by_content(rows, F.col("_id")).select("_id", "_text", "_sha"), _runs, RUNS), "runs")
+    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), whole.alias("_whole"))
+    ordered = _sorted_by_content(rows, F.col("_whole")).select("_id", "_text", "_sha")
+    runs = stored(map_arrow(ordered, _runs, RUNS), "runs")
     edges = runs.filter("_edge").groupBy(F.col("text_sha256").alias("_of")).agg(F.max("doc_id").alias("_most"), F.count("*").alias("_all"))
     # two runs for each range at most
     joined = runs.join(F.broadcast(edges), F.col("_edge") & (F.col("text_sha256") == F.col("_of")), "left")
@@ -149,9 +154,13 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_copies(docs: DataFrame, normalise: Column | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; which those are, ``exact_groups`` says."""
-    whole = F.coalesce((F.col(text) if normalise is None else normalise).cast("string"), F.lit(""))
-    rows = docs.select(whole_row(docs).alias("_row"), F.col(doc_id).cast("long").alias("_id"), whole.alias("_text"))
-    ordered = _sorted_by_content(rows, F.col("_id")).select("_row", "_id", "_text", "_sha")
+    rows = docs.select(whole_row(docs).alias("_row"), F.col(doc_id).cast("long").alias("_id"))
+    if normalise is None:
+        whole = F.col("_row")[text].cast("string")
+    else:
+        rows = docs.select(whole_row(docs).alias("_row"), F.col(doc_id).cast("long").alias("_id"), normalise.cast("string").alias("_normal"))
+        whole = F.col("_normal")
+    ordered = _sorted_by_content(rows, F.coalesce(whole, F.lit(""))).select("_row", "_id", "_text", "_sha")
     schema = ordered.drop("_text").withColumn("_edge", F.lit(True)).schema
     heads = stored(map_arrow(ordered, _heads, schema), "heads")
     edges = heads.filter("_edge").groupBy(F.col("_sha").alias("_of")).agg(F.max("_id").alias("_most"))
