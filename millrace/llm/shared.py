@@ -55,22 +55,24 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: str, weight: str, spread: Column, how: str = "inner") -> DataFrame:
-    """Joins where some keys hold a large part of ``left``.
+def spread_join(left: DataFrame, right: DataFrame, on: str, weight: str, spread: Column, total: int | None = None) -> DataFrame:
+    """Inner join where some keys hold a large part of ``left``.
 
     ``right`` has one row per key and in ``weight`` the rows that ``left`` has of it. A key above a
     thousandth of all is cut into pieces of that size, by ``spread``, a column of ``left`` that differs
     from row to row; its row of ``right`` is repeated once for each piece. The list of such keys is
-    shorter than a thousand whatever the input, so it is broadcast.
+    shorter than a thousand whatever the input, so it is broadcast. ``total`` is the number of rows of
+    ``left``, if that is known; otherwise the weights are summed.
     """
-    total = right.agg(F.sum(weight)).first()[0] or 0
+    if total is None:
+        total = right.agg(F.sum(weight)).first()[0] or 0
     pieces = F.ceil(F.col(weight) * HEAVY_SHARE / F.lit(max(total, 1))).cast("int")
     cut = right.withColumn("_pieces", F.greatest(pieces, F.lit(1)))
     heavy = cut.filter("_pieces > 1").select(F.col(on).alias("_key"), F.col("_pieces").alias("_of"))
     salt = F.when(F.col("_of").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread), F.col("_of"))).cast("int")
     salted = left.join(F.broadcast(heavy), F.col(on) == F.col("_key"), "left").withColumn("_salt", salt).drop("_key", "_of")
     copies = cut.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).drop("_pieces")
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+    return salted.join(copies, [on, "_salt"]).drop("_salt")
 
 
 def map_arrow(frame: DataFrame, function: Callable, schema) -> DataFrame:
