@@ -72,24 +72,26 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("worth"),
         F.lit(1).cast("long").alias("hops"),
     )
-    levels = []
+    levels, rooted = [], None
     limit = rows.count()
     while True:
         state = stored(state, "reach")
-        open_ends = state.filter("jump IS NOT NULL")
-        if (1 << len(levels)) > limit or open_ends.isEmpty():
+        ended, going = state.filter("jump IS NULL"), state.filter("jump IS NOT NULL")
+        rooted = ended if rooted is None else rooted.unionByName(ended)
+        if (1 << len(levels)) > limit or going.isEmpty():
             break
-        levels.append(open_ends.select(F.col("_conv").alias("_c"), F.col("node").alias("_n"), "jump"))
-        upper = state.select(F.col("_conv").alias("_c"), F.col("node").alias("_n"), F.col("jump").alias("_j"), F.col("worth").alias("_w"), F.col("hops").alias("_h"))
+        levels.append(going.select(F.col("_conv").alias("_c"), F.col("node").alias("_n"), "jump"))
+        upper = rooted.unionByName(going).select(
+            F.col("_conv").alias("_c"), F.col("node").alias("_n"), F.col("jump").alias("_j"), F.col("worth").alias("_w"), F.col("hops").alias("_h")
+        )
         on = (F.col("_conv") == F.col("_c")) & (F.col("jump") == F.col("_n"))
-        state = state.join(upper, on, "left").select(
+        state = going.join(upper, on).select(
             "_conv",
             "node",
             F.col("_j").alias("jump"),
-            (F.col("worth") + F.coalesce(F.col("_w"), F.lit(0.0))).alias("worth"),
-            (F.col("hops") + F.coalesce(F.col("_h"), F.lit(0))).alias("hops"),
+            (F.col("worth") + F.col("_w")).alias("worth"),
+            (F.col("hops") + F.col("_h")).alias("hops"),
         )
-    rooted = state.filter("jump IS NULL")
     parents = rows.select(F.col("_conv").alias("_c"), F.col("_parent").alias("_p")).filter("_p IS NOT NULL")
     leaves = rooted.join(parents, (F.col("_conv") == F.col("_c")) & (F.col("node") == F.col("_p")), "left_anti")
     order = Window.partitionBy("_conv").orderBy((F.col("worth") / F.col("hops")).desc(), "node")
