@@ -15,6 +15,9 @@ from millrace.llm.shared import stored, table
 #: SQL can't express a trained language model or a packing.
 ORACLE_SQL = None
 
+#: Documents are near copies when their sets of five words running have four fifths of their union in common.
+NEAR_WORDS, NEAR = 5, (4, 5)
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; those that are undetermined go."""
@@ -29,7 +32,7 @@ def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that similar ones link, the one with the smallest id."""
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, NEAR_WORDS, NEAR)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -120,3 +120,35 @@ def test_pipeline_stage_by_stage(spark, documents):
     packed = stages[names[4]](spark, mixed, FOLDER)
     assert packed.groupBy("doc_id").agg(F.sum((F.col("piece") == 0).cast("int")).alias("n")).collect() is not None
     assert Counter(r.doc_id for r in packed.collect() if r.piece == 0) == taken
+
+
+def near_copies(rows, k=5, share=0.8):
+    """The smallest id of each component of documents linked by their k-word shingles."""
+    grams = []
+    for _, text in rows:
+        words = text.split()
+        grams.append({tuple(words[i : i + k]) for i in range(len(words) - k + 1)})
+    label = [doc for doc, _ in rows]
+    for i, a in enumerate(grams):
+        for j in range(i):
+            if len(a & grams[j]) >= share * len(a | grams[j]):
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    return set(label)
+
+
+def test_pipeline_takes_one_of_near_copies(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for base in range(10):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 100)]
+        for changed in range(5):  # 2 apart: 86 of 106 shingles of 5 words in common, 92 of 104 of 3
+            copy = list(words)
+            for at in rng.choice(np.arange(6, 94, 6), changed, replace=False):
+                copy[at] = f"e{rng.integers(0, 10**6)}"
+            rows.append((1000 - 10 * base - changed, " ".join(copy)))
+    words = [f"v{x}" for x in range(100)]
+    rows += [(2000, " ".join(words)), (2001, " ".join([*words[:30], "x", *words[31:60], "y", *words[61:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.one_of_similar(spark, docs, FOLDER).collect()}
+    assert kept == near_copies(rows)
+    assert 2001 not in kept
