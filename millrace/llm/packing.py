@@ -2,10 +2,12 @@
 
 A configuration is a multiset of piece lengths that fits one sequence. Which configurations to use, and
 how often, is a linear program over the histogram of lengths: cover every length's count with as few
-sequences as can be. It is solved by multiplicative weights. Each length has a price; a knapsack dynamic
-program finds the configuration worth most at these prices, it is used for a share of the lengths still
-uncovered, and the prices of what it covers fall. Rounding keeps the whole uses, and what is left over is
-put into the fullest sequence in which it fits, the longest first.
+sequences as can be. It is solved by multiplicative weights, in whole uses. Each length has a price; a
+knapsack dynamic program finds the configuration worth most at these prices, it is used for a small share
+of the counts, and the prices of what it covers fall. After ``ROUNDS`` of these a configuration is used
+until one of its lengths has run out, so that the rounds end. A length leaves the program when fewer of its
+pieces are left than the configuration has; so what is left over is less than one sequence full of each
+length, however many pieces there are. It is put into the fullest sequence in which it fits, the longest first.
 
 The program sees the histogram alone, at most ``capacity`` counts whatever the input, so it runs on the
 driver. Documents are only numbered within their length, by two small shuffles of narrow rows without a
@@ -28,10 +30,10 @@ from millrace.llm.shared import in_slices, map_arrow, stored, strings
 from millrace.llm.tokens import encoder
 
 CAPACITY = 2048
-#: Rounds of the linear program.
-ROUNDS = 150
+#: Rounds in which a configuration takes a small share of its lengths' counts, and that share.
+ROUNDS, SHARE = 300, 0.1
 #: How strongly a price falls with what has been covered.
-STEP = 0.6
+STEP = 0.5
 #: Prices start as this power of the length: over 1, so that long pieces are placed while short ones are left to fill up.
 POWER = 1.2
 #: Bits that hold the number of a piece within its length.
@@ -62,19 +64,24 @@ def best_configuration(prices: np.ndarray, capacity: int) -> np.ndarray:
     ``prices[l]`` is what one piece of length l is worth; 0 for lengths that don't occur.
     """
     lengths = np.flatnonzero(prices > 0)
-    worth = prices[lengths]
-    best = np.zeros(capacity + 1)
+    few = lengths.size * 4 < capacity
+    worth = prices[lengths] if few else np.where(prices > 0, prices, -1.0)[1:]
+    best = np.zeros(capacity + 1)  # of a room, at capacity - room
     chosen = np.zeros(capacity + 1, dtype=np.int64)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
+    shifted = capacity + lengths
+    values = np.empty(capacity)
     for room in range(1, capacity + 1):
-        n = upto[room]
-        if n:
-            value = best[room - lengths[:n]] + worth[:n]
+        here = capacity - room
+        best[here] = best[here + 1]
+        if n := upto[room]:
+            if few:
+                value = best[shifted[:n] - room] + worth[:n]
+            else:
+                value = np.add(best[here + 1 :], worth[:room], out=values[:room])
             at = int(value.argmax())
-            if value[at] > best[room - 1]:
-                best[room], chosen[room] = value[at], lengths[at]
-                continue
-        best[room] = best[room - 1]
+            if value[at] > best[here]:
+                best[here], chosen[room] = value[at], lengths[at] if few else at + 1
     counts = np.zeros(capacity + 1, dtype=np.int64)
     room = capacity
     while room > 0:
@@ -86,26 +93,30 @@ def best_configuration(prices: np.ndarray, capacity: int) -> np.ndarray:
     return counts
 
 
-def fractional_cover(need: np.ndarray, capacity: int, rounds: int = ROUNDS, step: float = STEP) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often to use each, so that together they cover ``need`` (a count per length).
+def cover(need: np.ndarray, capacity: int, rounds: int = ROUNDS, share: float = SHARE, step: float = STEP) -> list[tuple[np.ndarray, int]]:
+    """Configurations and how often to use each: together at most ``need`` (a count per length), and of no
+    length less by as much as one sequence holds. At most ``rounds`` and two for each length are made.
 
     A price falls by a factor for each share of its length's count that is covered.
     """
-    left = need.astype(float)
-    prices = np.where(need > 0, (np.arange(need.size) / capacity) ** POWER, 0.0)
-    uses: list[tuple[np.ndarray, float]] = []
-    for _ in range(rounds):
-        if not (left > 1e-9).any():
-            break
-        counts = best_configuration(np.where(left > 1e-9, prices, 0.0), capacity)
+    left = need.copy()
+    start = (np.arange(need.size) / capacity) ** POWER
+    inside = left > 0
+    uses: list[tuple[np.ndarray, int]] = []
+    while inside.any():
+        prices = start * np.exp(step * left / np.maximum(need, 1))
+        counts = best_configuration(np.where(inside, prices, 0.0), capacity)
         held = np.flatnonzero(counts)
-        if not held.size:
-            break
-        times = float((left[held] / counts[held]).min())
+        times = int((left[held] // counts[held]).min())
+        if not times:
+            inside[held[left[held] < counts[held]]] = False
+            continue
+        if rounds > 0:
+            times = min(times, max(1, int((share * need[held] / counts[held]).min())))
+        rounds -= 1
+        left[held] -= counts[held] * times
+        inside[held] = left[held] > 0
         uses.append((counts, times))
-        covered = counts[held] * times
-        left[held] = np.maximum(left[held] - covered, 0.0)
-        prices[held] *= np.exp(-step * covered / need[held] / 16)
     return uses
 
 
@@ -143,13 +154,11 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Slots:
     if left[capacity]:
         used[(capacity,)] = int(left[capacity])
         left[capacity] = 0
-    for counts, times in fractional_cover(left, capacity):
+    for counts, times in cover(left, capacity):
         held = np.flatnonzero(counts)
-        whole = min(int(times + 1e-9), int((left[held] // counts[held]).min()))
-        if whole > 0:
-            left[held] -= counts[held] * whole
-            key = tuple(np.repeat(held, counts[held])[::-1].tolist())
-            used[key] = used.get(key, 0) + whole
+        left[held] -= counts[held] * times
+        key = tuple(np.repeat(held, counts[held])[::-1].tolist())
+        used[key] = used.get(key, 0) + times
     for key, n in best_fit(left, capacity).items():
         used[key] = used.get(key, 0) + n
     taken = np.zeros(capacity + 1, dtype=np.int64)

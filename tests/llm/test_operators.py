@@ -77,6 +77,18 @@ def test_packing_places_every_piece():
         assert placed == counts
 
 
+def test_what_the_program_leaves_does_not_grow(monkeypatch):
+    rng = np.random.default_rng(3)
+    lengths = np.bincount(np.minimum(rng.lognormal(3.5, 1.0, 5000).astype(int) + 1, 256), minlength=257)
+    rest, best_fit = [], packing.best_fit
+    monkeypatch.setattr(packing, "best_fit", lambda left, capacity: (rest.append(left.copy()), best_fit(left, capacity))[1])
+    for times in (1, 100):
+        counts = {i: int(n) * times for i, n in enumerate(lengths) if n}
+        slots = packing.plan(counts, 256)
+        assert all(n * i < 256 for i, n in enumerate(rest[-1].tolist()))
+        assert slots.sequences <= -(-sum(i * n for i, n in counts.items()) // 256) * 1.01 + 1
+
+
 def test_best_configuration_is_best():
     rng = np.random.default_rng(1)
     for _ in range(20):
