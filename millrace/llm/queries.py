@@ -16,6 +16,9 @@ WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: What the edits of op7 black out: e-mail addresses, internet addresses, long numbers, keys.
 PERSONAL = r"[\w.+-]+@[\w-]+\.[\w.]+|\d{1,3}(?:\.\d{1,3}){3}|\d{12,}|[0-9a-f]{32,}"
 
+#: Words of the lines that op5_repeated_lines and its SQL ask for.
+LONG_LINE = 20
+
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
@@ -42,6 +45,10 @@ def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"), least_words=LONG_LINE)
+
+
+def op5_all_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit_dedup.repeated_units(table(spark, sf_dir, "documents"))
 
 
@@ -89,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_line_rules": op4_line_rules,
     "op5_repeated_lines": op5_repeated_lines,
+    "op5_all_repeated_lines": op5_all_repeated_lines,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_edit_counts": op7_edit_counts,
     "op8_token_files": op8_token_files,
@@ -215,3 +223,4 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """,
 }
+ORACLES["op5_all_repeated_lines"] = ORACLES["op5_repeated_lines"].replace("WHERE n_words >= 20 ", "")

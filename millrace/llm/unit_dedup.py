@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import from_row, in_slices, map_arrow, spread_join, stored, strings, whole_row
 
-#: Units of fewer words are left alone: headings and the like.
-LEAST_WORDS = 20
+#: Units of fewer words are left alone: only those without a letter or digit.
+LEAST_WORDS = 1
 
 _MARKS = re.compile(r"[\W_]+")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*")

@@ -250,6 +250,13 @@ def test_repeated_units_odd_rows(spark):
     assert unit_dedup.repeated_units(nothing(spark)).collect() == []
 
 
+def test_short_lines_repeat_too(spark):
+    passage = "\n".join(" ".join(f"w{i}x{j}" for j in range(12)) for i in range(5))
+    rows = [(1, passage + "\nBuy now!"), (2, "Own words.\n" + passage), (3, "buy now\n--"), (4, "--")]
+    found = unit_dedup.repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.unit, r.keep_doc_id, r.keep_unit) for r in found} == {(2, i + 1, 1, i) for i in range(5)} | {(3, 0, 1, 5)}
+
+
 def test_units_are_cut_out(spark):
     rows = [(1, "Same line here.\nOwn one."), (2, "Other.\nsame LINE  here\nlast"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
