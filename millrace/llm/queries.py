@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, edit_counts, exact_dedup, language, line_rules, mixing, ngram_join, packing, rans, unit_dedup
+from millrace.llm import chat, edit_counts, exact_dedup, language, line_rules, mixing, ngram_join, packing, phrase_index, rans, unit_dedup
 from millrace.llm.shared import n_words, table
 from millrace.session import scratch_path
 
@@ -90,6 +90,20 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = phrase_index.index_of(table(spark, sf_dir, "documents"))
+    found = phrase_index.marked(index, phrase_index.windows_of(table(spark, sf_dir, "benchmark")))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_mix": op2_mix,
@@ -102,10 +116,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_ngram_join": op9_ngram_join,
     "op10_chat": op10_chat,
+    "op13_decontaminate": op13_decontaminate,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_PHRASE_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLES: dict[str, str] = {
     "op2_mix": f"""
 WITH q AS (
@@ -223,4 +240,28 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """,
 }
+ORACLES["op13_decontaminate"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_PHRASE_WORDS} AS words FROM documents
+), i AS (
+  SELECT item_id, {_PHRASE_WORDS} AS words FROM benchmark
+), w AS (
+  SELECT DISTINCT item_id, list_slice(words, k, k + 9) AS win
+  FROM (SELECT item_id, words, unnest(generate_series(1, greatest(len(words) - 9, 1))) AS k FROM i WHERE len(words) > 0)
+), p AS (
+  SELECT r, k, n, list_slice(words, k, k + n - 1) AS win
+  FROM (SELECT r, words, n, unnest(generate_series(1, len(words) - n + 1)) AS k
+        FROM d, (SELECT DISTINCT len(win) AS n FROM w) WHERE len(words) >= n)
+), m AS (
+  SELECT r, k, n, item_id FROM p JOIN w USING (win)
+), h AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(generate_series(k, k + n - 1)) AS place FROM m) GROUP BY r
+), t AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, coalesce(item_id::VARCHAR, '') AS item FROM m) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
 ORACLES["op5_all_repeated_lines"] = ORACLES["op5_repeated_lines"].replace("WHERE n_words >= 20 ", "")
