@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, edit_counts, exact_dedup, language, line_rules, mixing, ngram_join, packing, phrase_index, rans, unit_dedup
+from millrace.llm import chat, edit_counts, exact_dedup, language, line_rules, mixing, ngram_join, packing, phrase_index, rans, turn_repair, unit_dedup, whitening
 from millrace.llm.shared import n_words, table
 from millrace.session import scratch_path
 
@@ -90,6 +90,15 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = turn_repair.repair(turn_repair.damaged(table(spark, sf_dir, "conversations")))
+    return turn_repair.verdicts_with_digest(found)
+
+
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = phrase_index.index_of(table(spark, sf_dir, "documents"))
     found = phrase_index.marked(index, phrase_index.windows_of(table(spark, sf_dir, "benchmark")))
@@ -116,6 +125,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_ngram_join": op9_ngram_join,
     "op10_chat": op10_chat,
+    "op11_whiten": op11_whiten,
+    "op12_repair": op12_repair,
     "op13_decontaminate": op13_decontaminate,
 }
 
@@ -123,6 +134,14 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _PHRASE_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of an ASCII text, bit by bit."""
+    eight = "list_reduce([xor(v, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda m, z: xor(m >> 1, CASE WHEN m & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)), lambda v, y: {eight}), 4294967295)"
+
+
 ORACLES: dict[str, str] = {
     "op2_mix": f"""
 WITH q AS (
@@ -240,6 +259,57 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """,
 }
+ORACLES["op12_repair"] = r"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, crc32k % 20 AS fault, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM (
+    SELECT *, {CRC} AS crc32k FROM conversations)
+), f AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM c, (SELECT unnest([1, 2]) AS copy) WHERE fault <> 0 AND (copy = 1 OR fault = 3)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS said, left(role, 1) AS x
+  FROM f
+), d AS (
+  SELECT *, said = '' AS blank, said <> '' AND nth > 1 AS dup, said <> '' AND nth = 1 AND NOT regexp_matches(said, '[.!?]$') AS cut,
+    coalesce(lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x NOT IN ('su', 'ua', 'au'), false) AS wrong
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM o)
+), t AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (WHERE blank) AS blank,
+    count(*) FILTER (WHERE dup) AS duplicate, count(*) FILTER (WHERE cut) AS truncated, count(*) FILTER (WHERE wrong) AS illegal
+  FROM d GROUP BY conv_id
+), ins(f, e, c, s) AS (
+  VALUES (0, '', 0, 0), (0, 'I', 2, 2), (0, 'II', 4, 4), (1, '', 0, 1), (1, 'I', 2, 2), (1, 'II', 4, 4), (2, '', 0, 2), (2, 'I', 2, 4), (4, '', 0, 4), (4, 'I', 2, 2)
+), act(s, x, z) AS (
+  VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (4, 'u', 2), (2, 'a', 4)
+), w AS (
+  SELECT f, '' AS x, e || 'D' AS e, c + 3 AS c, s AS z, true AS del FROM ins
+  UNION ALL SELECT f, x, e || 'K', c, z, false FROM ins JOIN act USING (s)
+  UNION ALL SELECT f, '', e || 'R', c + 2, z, false FROM ins JOIN act USING (s) WHERE x <> 's'
+), p AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS s, '000000000' AS v FROM t
+  UNION ALL
+  SELECT p.conv_id, d.i, w.z, min(lpad((left(v, 9)::BIGINT + w.c + CASE WHEN d.cut AND NOT w.del THEN 1 ELSE 0 END)::VARCHAR, 9, '0') || substr(v, 10) || w.e)
+  FROM p JOIN d ON d.conv_id = p.conv_id AND d.i = p.i + 1 JOIN w ON w.f = p.s AND (w.del OR (NOT d.blank AND NOT d.dup AND w.x IN ('', d.x)))
+  GROUP BY p.conv_id, d.i, w.z
+), b AS (
+  SELECT conv_id, min(lpad((left(v, 9)::BIGINT + c)::VARCHAR, 9, '0') || substr(v, 10) || e) AS v
+  FROM p JOIN t USING (conv_id) JOIN ins ON ins.f = p.s AND ins.s IN (0, 4) WHERE i = n GROUP BY conv_id
+), a AS (
+  SELECT conv_id, v[9 + k:9 + k] AS e, k, length(replace(v[10:9 + k], 'I', '')) AS i, length(replace(v[10:9 + k], 'D', '')) AS q
+  FROM (SELECT *, unnest(generate_series(1, length(v) - 9)) AS k FROM b)
+), y AS (
+  SELECT a.*, d.text, d.role, coalesce(max(CASE WHEN e = 'K' AND q = 1 AND d.x = 's' THEN 1 END) OVER (PARTITION BY a.conv_id), 0) AS opened
+  FROM a LEFT JOIN d ON d.conv_id = a.conv_id AND d.i = a.i
+), z AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (q - opened) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE e WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS repaired
+  FROM y WHERE e <> 'D' GROUP BY conv_id
+)
+SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(left(v, 9)::BIGINT, 0) AS cost, coalesce(substr(v, 10), '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g LEFT JOIN t USING (conv_id) LEFT JOIN b USING (conv_id) LEFT JOIN z USING (conv_id)
+""".replace("{CRC}", _crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"))
 ORACLES["op13_decontaminate"] = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, {_PHRASE_WORDS} AS words FROM documents
