@@ -16,23 +16,23 @@ from millrace.model import PURCHASE, SALES, TOP_MATERIALS, OrderKind
 from millrace.operators.topk import top_k
 
 
-def _has_status(status: str) -> Column:
+def has_status(status: str) -> Column:
     return F.col("status") == F.lit(status)
 
 
-def _is_active(kind: OrderKind) -> Column:
+def is_active(kind: OrderKind) -> Column:
     return F.col("status").isin(*kind.active)
 
 
 def partner_totals(orders: DataFrame, kind: OrderKind) -> DataFrame:
     """One row per partner with every measure the partner and country KPIs need."""
-    per_status = [count_where(_has_status(s)).alias(f"{s.lower()}_orders") for s in kind.statuses]
-    active = _is_active(kind)
+    per_status = [count_where(has_status(s)).alias(f"{s.lower()}_orders") for s in kind.statuses]
+    active = is_active(kind)
     return orders.groupBy(kind.partner).agg(
         F.count(kind.id).alias("total_orders"),
         F.sum("quantity").alias("total_quantity"),
         *per_status,
-        sum_where(_has_status("DELIVERED"), F.col("quantity")).alias("delivered_quantity"),
+        sum_where(has_status("DELIVERED"), F.col("quantity")).alias("delivered_quantity"),
         F.avg("quantity").alias("mean_quantity"),
         F.count_if(active).alias("active_rows"),
         F.count(F.when(active, F.col(kind.id))).alias("active_orders"),
@@ -100,7 +100,7 @@ def country_wise_sales(sales_totals: DataFrame, customers: DataFrame) -> DataFra
 
 def _active_lines(orders: DataFrame, kind: OrderKind, key: Column, name: str) -> DataFrame:
     """Active orders in the shape both sides share: key, order kind, whether the id counts, quantity."""
-    return orders.where(_is_active(kind)).select(
+    return orders.where(is_active(kind)).select(
         key.alias(name),
         F.lit(kind.name).alias("kind"),
         F.col(kind.id).isNotNull().alias("has_id"),
@@ -128,7 +128,11 @@ def material_demand(purchase_orders: DataFrame, sales_orders: DataFrame, materia
     lines = _active_lines(purchase_orders, PURCHASE, F.col("material_id"), "material_id").unionByName(
         _active_lines(sales_orders, SALES, F.col("material_id"), "material_id")
     )
-    demand = lines.groupBy("material_id").agg(*_both_sides())
+    return with_all_materials(lines.groupBy("material_id").agg(*_both_sides()), materials)
+
+
+def with_all_materials(demand: DataFrame, materials: DataFrame) -> DataFrame:
+    """Every material with its demand, 0 where it has none, and the totals of both sides."""
     measures = ["procurement_orders", "procurement_quantity", "sales_orders", "sales_quantity"]
     return (
         materials.join(demand, "material_id", "left")
@@ -185,8 +189,8 @@ def monthly_trend(orders: DataFrame, kind: OrderKind) -> DataFrame:
         .agg(
             F.count(kind.id).alias("order_count"),
             F.sum("quantity").alias("total_quantity"),
-            sum_where(_has_status("DELIVERED"), F.col("quantity")).alias("delivered_quantity"),
-            count_where(_has_status("CANCELLED")).alias("cancelled_orders"),
+            sum_where(has_status("DELIVERED"), F.col("quantity")).alias("delivered_quantity"),
+            count_where(has_status("CANCELLED")).alias("cancelled_orders"),
         )
         .withColumn("delivered_share", rate(F.col("delivered_quantity"), F.col("total_quantity")))
     )

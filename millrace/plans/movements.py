@@ -105,7 +105,7 @@ def shipment_lines(bronze: DataFrame, materials: DataFrame, warehouses: DataFram
 
 
 def _numbered(lines: DataFrame, order: list[str], start: int) -> DataFrame:
-    numbered = dense_numbers(lines, order, start)
+    numbered = dense_numbers(lines, order, start, by="bronze_row_id")
     transaction_id = format_id(TRANSACTION_PREFIX, F.col("number"), TRANSACTION_DIGITS)
     return numbered.withColumn("transaction_id", transaction_id).select(*INVENTORY_TRANSACTIONS.names)
 

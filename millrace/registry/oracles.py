@@ -582,3 +582,29 @@ UNION ALL SELECT warehouse_id, material_id, transaction_type, quantity FROM fres
         f"SELECT * FROM ({_BALANCES.format(rows='both_lines')}) b WHERE quantity > 0",
     ),
 }
+
+
+def _by_year(o: dict[str, str], name: str) -> str:
+    return f"""
+SELECT '{name}' AS orders, country, year(order_date)::INTEGER AS order_year, count(DISTINCT {o["partner"]}) AS partners
+FROM typed_{o["table"]} JOIN {o["partners"]} USING ({o["partner"]}) WHERE status IN ({o["active"]}) GROUP BY country, year(order_date)"""
+
+
+ORACLES |= {
+    **{
+        name.replace("gold_", "refreshed_", 1): ORACLES[f"{name}_on_silver"]
+        for name in _GOLD
+        if name != "gold_top_moving_materials"
+    },
+    "partners_by_year": _with(_silver(_PO) | _silver(_SO), _by_year(_PO, "purchase") + " UNION ALL " + _by_year(_SO, "sales")),
+    "gold_of_a_year": _with(
+        _silver(_PO) | {"typed_of_year": "SELECT * FROM typed_purchase_orders WHERE year(order_date) = 1996"},
+        _country(_PO | {"table": "of_year"}, "supplier_count"),
+    ),
+    "orders_of_changed_months": _with(
+        _silver(_PO),
+        """SELECT * FROM typed_purchase_orders WHERE coalesce(date_trunc('month', order_date)::DATE, DATE '0001-01-01') IN (
+  SELECT coalesce(date_trunc('month', order_date)::DATE, DATE '0001-01-01') FROM typed_purchase_orders
+  WHERE supplier_id IS NULL AND quantity > 30)""",
+    ),
+}

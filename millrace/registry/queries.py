@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from millrace.plans import gold, movements, quality
 from millrace.plans.bronze import conform, highest_row_id
 from millrace.plans.deliveries import delivery_status, evaluate_suppliers
 from millrace.plans.inventory import balances, inventory_snapshot
+from millrace.plans.partials import distinct_partners
 from millrace.plans.production import production_lines
 from millrace.plans.reconcile import reconcile
 from millrace.plans.silver import silver_orders
@@ -36,6 +38,7 @@ from millrace.session import scratch_database, scratch_path
 from millrace.sources.gold import write_gold
 from millrace.sources.readers import import_csv, read_csv
 from millrace.sources.ledger import repair_stored_orders
+from millrace.sources.monthly import change_orders, gold_of_months, partial_table, read_months, store_orders
 from millrace.sources.sinks import append_table, replace_table, without_audit, write_csv, write_silver
 from millrace.streaming.ingest import ingest_files
 from millrace.streaming.masters import upsert_stream
@@ -45,6 +48,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Orders placed before this day count as already booked in the incremental queries.
 BOOKED_BEFORE = "1998-06-01"
+# What differs between the earlier and the present state in the queries that refresh months.
+CHANGED_MONTHS = (date(1995, 3, 1), date(1996, 7, 1))
+MOVED_MONTH, UNDATED_MONTH, NEW_MONTH = date(1994, 2, 1), date(1997, 9, 1), date(1998, 4, 1)
 NULL_TEXT = "\\N"
 EVALUATED_ON = date(2002, 1, 1)
 MASTER_LOADED, MASTER_CHANGED = datetime(2025, 1, 1, 12), datetime(2025, 2, 1, 12)
@@ -499,13 +505,101 @@ def snapshot_replace(spark: SparkSession, folder: str) -> DataFrame:
 
 def silver_by_month(spark: SparkSession, folder: str) -> DataFrame:
     """Silver orders written by month over a version in which every order stood in another month."""
-    path = scratch_path(spark, "silver")
+    name = f"{scratch_database(spark, 'silver')}.silver_purchase_orders"
     orders = _silver(Bridge(spark, folder), PURCHASE)
-    write_silver(orders.withColumn("order_date", F.add_months("order_date", -400)), path)
-    write_silver(orders, path)
-    return _flat(spark.read.parquet(path)).drop("order_month")
+    write_silver(orders.withColumn("order_date", F.add_months("order_date", -400)), name)
+    write_silver(orders, name)
+    return _flat(spark.table(name)).drop("order_month")
+
+
+# KPIs refreshed month by month.
+
+
+def _changed(orders: DataFrame, kind: OrderKind) -> tuple[DataFrame, DataFrame]:
+    """An earlier state of the silver orders, and the batch that leads from it to the present one.
+
+    Orders of two months had another quantity, status and partner, a third month's stood in a month that
+    has no others, some had no date, and some weren't there yet.
+    """
+    month = F.trunc("order_date", "month")
+    altered = month.isin(*(F.lit(m) for m in CHANGED_MONTHS))
+    moved, undated, absent = month == F.lit(MOVED_MONTH), month == F.lit(UNDATED_MONTH), month == F.lit(NEW_MONTH)
+    earlier = orders.where(~F.coalesce(absent, F.lit(False))).withColumns(
+        {
+            "quantity": F.when(altered, F.col("quantity") * 3).otherwise(F.col("quantity")),
+            "status": F.when(altered, F.lit("CANCELLED")).otherwise(F.col("status")),
+            kind.partner: F.when(altered, F.lit(None).cast("string")).otherwise(F.col(kind.partner)),
+            "order_date": F.when(moved, F.lit(date(2031, 5, 9))).when(~F.coalesce(undated, F.lit(False)), F.col("order_date")),
+        }
+    )
+    return earlier, orders.where(altered | moved | undated | absent)
+
+
+@cache
+def _monthly_database(spark: SparkSession, folder: str) -> str:
+    return scratch_database(spark, "monthly")
+
+
+def _monthly(b: Bridge, *kinds: OrderKind) -> str:
+    """Database of orders stored by month in an earlier state and then changed by a batch; made once for each folder."""
+    namespace = _monthly_database(b.spark, b.folder)
+    for kind in kinds:
+        if b.spark.catalog.tableExists(partial_table(namespace, kind, "bits")):
+            continue
+        earlier, batch = _changed(_silver(b, kind), kind)
+        store_orders(earlier, _partners(b, kind), kind, namespace)
+        change_orders(batch, _partners(b, kind), kind, namespace)
+    return namespace
 
 
+def _refreshed(name: str, *kinds: OrderKind) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        b = Bridge(spark, folder)
+        return gold_of_months(spark, _monthly(b, *kinds), b.suppliers, b.customers, b.materials, kinds)[name]
+
+    return query
+
+
+def partners_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers and customers with an active order in each year, counted by merging the bitmaps of its months."""
+    b = Bridge(spark, folder)
+    namespace = _monthly(b, PURCHASE, SALES)
+    year = F.year("order_month").alias("order_year")
+    counts = [
+        distinct_partners(spark.table(partial_table(namespace, kind, "bits")), "partners", year).withColumn("orders", F.lit(kind.name))
+        for kind in (PURCHASE, SALES)
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+def gold_of_a_year(spark: SparkSession, folder: str) -> DataFrame:
+    """Country table of one year from its months' partials and bitmaps."""
+    b = Bridge(spark, folder)
+    held = _monthly(b, PURCHASE)
+    tables = gold_of_months(spark, held, b.suppliers, b.customers, b.materials, [PURCHASE], date(1996, 1, 1), date(1996, 12, 1))
+    return tables["gold_country_wise_procurement"]
+
+
+def orders_of_changed_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored orders of the months in which an order has no partner; which months these are is found when it runs."""
+    b = Bridge(spark, folder)
+    name = f"{scratch_database(spark, 'silver')}.silver_purchase_orders"
+    write_silver(_silver(b, PURCHASE), name)
+    months = spark.table(name).where("supplier_id IS NULL AND quantity > 30").select("order_month")
+    return _flat(read_months(spark.table(name), months)).drop("order_month")
+
+
+REFRESHED: dict[str, tuple[OrderKind, ...]] = {
+    "gold_supplier_performance": (PURCHASE,),
+    "gold_customer_sales_summary": (SALES,),
+    "gold_material_demand": (PURCHASE, SALES),
+    "gold_procurement_vs_sales": (PURCHASE, SALES),
+    "gold_monthly_procurement_trend": (PURCHASE,),
+    "gold_monthly_sales_trend": (SALES,),
+    "gold_country_wise_procurement": (PURCHASE,),
+    "gold_country_wise_sales": (SALES,),
+}
+
 QUERIES: dict[str, Query] = {
     **{name: _gold_query(name, _typed) for name in GOLD},
     **{f"{name}_on_silver": _gold_query(name, _silver) for name in GOLD},
@@ -556,4 +650,8 @@ QUERIES: dict[str, Query] = {
     "stream_receipts_restarted": stream_receipts_restarted,
     "stream_stock": stream_stock,
     "stream_masters": stream_masters,
+    **{name.replace("gold_", "refreshed_", 1): _refreshed(name, *kinds) for name, kinds in REFRESHED.items()},
+    "partners_by_year": partners_by_year,
+    "gold_of_a_year": gold_of_a_year,
+    "orders_of_changed_months": orders_of_changed_months,
 }

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import month_of
 from millrace.operators.upsert import AUDIT_COLUMNS, merged, require_unique, with_audit
+from millrace.session import discard
 from millrace.sources.readers import csv_options
 
 TRANSACTIONAL_FORMATS = ("delta", "iceberg")
@@ -123,6 +124,40 @@ def upsert_table(
     return rows
 
 
+def location(spark: SparkSession, name: str) -> str:
+    """Folder of the version that readers of a table see now."""
+    current = _current(spark, name)
+    if not current:
+        raise ValueError(f"{name} is not a table that was written by append_table or replace_table")
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {_version_name(name, current)}").collect()
+    return next(r["data_type"] for r in details if r["col_name"] == "Location")
+
+
+def refreshed(spark: SparkSession, name: str) -> None:
+    """Tells the catalog which partition folders a table has, after some of them were rewritten."""
+    version = _version_name(name, _current(spark, name) or 0)
+    spark.sql(f"MSCK REPAIR TABLE {version} SYNC PARTITIONS")
+    spark.catalog.refreshTable(version)
+    spark.catalog.refreshTable(name)
+
+
+def replace_folders(df: DataFrame, name: str, folder: str, values: Sequence[object]) -> int:
+    """Rewrites some partition folders of a table, those of ``values``, and leaves all others.
+
+    The frame has rows of these folders only, and may not read them. A folder it has no row for
+    is removed. ``values`` is one entry per folder, so a short list.
+    """
+    spark = df.sparkSession
+    path = location(spark, name)
+    columns = [c for c in spark.table(name).columns if c != folder]
+    rows = replace_months(df.select(*columns, folder), path, folder)
+    filled = {r[0] for r in df.select(folder).distinct().collect()}
+    for value in set(values) - filled:
+        discard(spark, f"{path}/{folder}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+    refreshed(spark, name)
+    return rows
+
+
 def replace_months(df: DataFrame, path: str, month: str = "order_month") -> int:
     """Rewrites the months that occur in the frame and leaves all others.
 
@@ -139,14 +174,14 @@ def replace_months(df: DataFrame, path: str, month: str = "order_month") -> int:
     return seen.get["rows"]
 
 
-def write_silver(orders: DataFrame, path: str) -> int:
-    """All silver orders by month of their order date; those without a date form a folder of their own.
+def write_silver(orders: DataFrame, name: str) -> int:
+    """All silver orders as a table by month of their order date; those without a date form a folder of their own.
 
-    A full replace: months that no order has any more go. ``replace_months`` rewrites some months only.
+    A full replace: months that no order has any more go, and readers see the old orders until the new
+    ones are complete. ``replace_folders`` rewrites some months only.
     """
-    counted, seen = _observed(orders.withColumn("order_month", month_of(F.col("order_date"))).hint("rebalance", "order_month"))
-    counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("order_month").parquet(path)
-    return seen.get["rows"]
+    dated = orders.withColumn("order_month", month_of(F.col("order_date"))).hint("rebalance", "order_month")
+    return replace_table(dated, name, partition_by=["order_month"])
 
 
 def write_csv(df: DataFrame, path: str, null_text: str = "") -> int:

@@ -164,20 +164,47 @@ def test_dense_numbers_follow_the_order_without_gaps(spark, partitions):
     assert [r.n for r in sorted(numbered, key=lambda r: r.row)] == list(range(10, 5010))
 
 
-def test_dense_numbers_leave_one_table_behind(spark):
+def test_dense_numbers_by_range_leave_one_table_behind(spark):
     before = set(glob.glob(f"{checkpoint_root(spark)}/*"))
-    dense_numbers(spark.range(100), ["id"], name="n")
+    dense_numbers(spark.range(100).select(F.col("id").cast("string").alias("id")), ["id"], name="n")
     assert len(set(glob.glob(f"{checkpoint_root(spark)}/*")) - before) == 1
 
 
+def test_dense_numbers_by_range_of_texts(spark):
+    names = spark.range(500).select(F.concat(F.lit("x"), F.col("id").cast("string")).alias("k"))
+    rows = dense_numbers(names, ["k"], start=5, name="n").collect()
+    assert [r.n for r in sorted(rows, key=lambda r: r.k)] == list(range(5, 505))
+
+
 def test_dense_numbers_of_nothing(spark):
     assert dense_numbers(spark.range(0), ["id"], name="n").collect() == []
+    assert dense_numbers(spark.createDataFrame([], "k string"), ["k"], name="n").collect() == []
 
 
-def test_dense_numbers_never_sorts_in_one_task(spark):
+def test_dense_numbers_are_not_dealt_out_by_range_nor_written(spark):
+    before = set(glob.glob(f"{checkpoint_root(spark)}/*"))
     text = plan(dense_numbers(spark.range(1000), ["id"], name="n"))
-    window = text[text.index("Window ["):] if "Window [" in text else text
-    assert "_size" in window
+    assert "rangepartitioning" not in text and "FileScan" not in text and "SinglePartition" not in text
+    assert set(glob.glob(f"{checkpoint_root(spark)}/*")) == before
+
+
+def test_dense_numbers_of_clustered_ids(spark):
+    """Nearly all ids within a small part of the range, nulls, both ends of the range, equal ids, a leading column."""
+    ends = [(0, -(2**63), 0), (0, 2**63 - 1, 0), (1, -1, 3), (1, None, 1), (0, None, 0), (1, -(2**63), 0)]
+    rows = [(i % 2, 2**40 + i // 4, i) for i in range(3000)] + [(1, 77, i) for i in range(500)] + ends
+    frame = spark.createDataFrame(rows, "side int, id long, tie long").repartition(5)
+    got = dense_numbers(frame, ["side", "id", "tie"], start=3, name="n", by="id", rows=50).collect()
+    wanted = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2]))
+    assert [(r.side, r.id, r.tie) for r in sorted(got, key=lambda r: r.n)] == wanted
+    assert sorted(r.n for r in got) == list(range(3, 3 + len(rows)))
+
+
+def test_crowded_ranges_are_cut_until_they_are_small(spark, monkeypatch):
+    ids = [2**40 + i for i in range(2000)] + [0, 2**62]
+    numbered = dense_numbers(spark.createDataFrame([(i,) for i in ids], "id long"), ["id"], name="n", rows=20)
+    sizes = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert sizes.count("_of__low") > 1
+    assert [r.n for r in sorted(numbered.collect(), key=lambda r: r.id)] == list(range(1, 2003))
 
 
 def test_top_k_breaks_ties_and_ranks_k_rows(spark):

@@ -132,20 +132,30 @@ def test_replace_months_leaves_the_others(spark):
     assert {r.v for r in spark.read.parquet(path).collect()} == {1, 9}
 
 
-def test_a_month_without_orders_goes(spark):
-    path = scratch_path(spark, "silver")
+def test_a_month_without_orders_goes(spark, db):
+    name = f"{db}.silver"
     for month in (1, 2):
-        sinks.write_silver(spark.createDataFrame([(1, date(2025, month, 5))], "id int, order_date date"), path)
-    assert [(r.id, r.order_month) for r in spark.read.parquet(path).collect()] == [(1, date(2025, 2, 1))]
+        sinks.write_silver(spark.createDataFrame([(1, date(2025, month, 5))], "id int, order_date date"), name)
+    assert [(r.id, r.order_month) for r in spark.table(name).collect()] == [(1, date(2025, 2, 1))]
 
 
-def test_silver_is_stored_by_month_in_few_files(spark):
-    path = scratch_path(spark, "silver")
+def test_silver_that_fails_or_reads_itself_keeps_the_old_orders(spark, db):
+    name = f"{db}.silver"
+    sinks.write_silver(spark.createDataFrame([(n, date(2025, n, 5)) for n in (1, 2, 3)], "id int, order_date date"), name)
+    with pytest.raises(Exception, match="boom"):
+        sinks.write_silver(spark.table(name).withColumn("id", F.raise_error(F.lit("boom")).cast("int")), name)
+    assert spark.table(name).count() == 3
+    assert sinks.write_silver(spark.table(name).where("id > 1").drop("order_month"), name) == 2
+    assert {r.id for r in spark.table(name).collect()} == {2, 3}
+
+
+def test_silver_is_stored_by_month_in_few_files(spark, db):
+    name = f"{db}.silver"
     orders = spark.range(2000).repartition(16).selectExpr(
         "id", "CASE WHEN id % 3 > 0 THEN make_date(2025, cast(id % 6 + 1 AS int), 5) END AS order_date"
     )
-    assert sinks.write_silver(orders, path) == 2000
-    stored_orders = spark.read.parquet(path)
+    assert sinks.write_silver(orders, name) == 2000
+    stored_orders = spark.table(name)
     assert stored_orders.count() == 2000
     assert len(stored_orders.inputFiles()) <= 3 * 5
     assert stored_orders.where("order_month IS NULL").count() == 667
