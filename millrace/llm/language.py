@@ -12,6 +12,7 @@ rows are then scored over their whole texts, without a shuffle.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +37,9 @@ REMEMBERED = 400_000
 #: Words of a text that are looked up at once.
 PORTION = 100_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Numbers that ``\w`` holds but ``\d`` doesn't, as superscripts, fractions and Roman numerals; a letter has category L.
+_NUMBERS = "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Nl", "No"))
+_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 _START, _END = "\x02", "\x03"
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import from_row, n_words, whole_row
+from millrace.llm.shared import from_row, n_words, spread_join, stored, whole_row
 
 #: Weights of the sources in their order, repeated.
 WEIGHTS = (5, 2, 1)
@@ -123,3 +123,27 @@ def label_quality(labels: DataFrame) -> DataFrame:
     """One row per labelled id: weight 2 for good, 1/2 for bad; the best of repeated labels holds."""
     good = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("q"))
     return good.select(F.col("doc_id").alias("_labelled"), F.when(F.col("q") > 0, 2.0).otherwise(0.5).alias("_quality"))
+
+
+def mixed_rows(docs: DataFrame, labels: DataFrame, seed: str = "", doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """The documents as often as the mix takes them: a document taken twice is there twice, with all its columns.
+
+    What is mixed are ids, sources and sizes. Rows that agree in these are one group with one number of
+    copies, or, at the end of a budget, with one more for some of them, in the order of their texts. Whole
+    rows are shuffled once, to meet their group; a large group is cut into pieces. Nulls, repeated rows,
+    empty texts and empty tables are as in :func:`mix`.
+    """
+    key = F.struct(F.col(doc_id).alias("a"), F.col(source).alias("b"), n_words(F.col(text)).alias("c"))
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("_n"))
+    rows, quality = with_quality(narrow, labels)
+    taken = mix(rows, quality, F.col("_n"), seed).withColumn("_group", F.struct(F.col("doc_id").alias("a"), F.col("source").alias("b"), F.col("size").alias("c")))
+    groups = taken.groupBy("_group").agg(F.count("*").alias("_rows"), F.min("copies").alias("_least"), F.sum("copies").alias("_sum"))
+    groups = stored(groups.withColumn("_more", F.col("_sum") - F.col("_least") * F.col("_rows")).filter("_sum > 0").drop("_sum"), "copies")
+    spread = F.xxhash64(F.col("_row"))
+    found = spread_join(docs.select(whole_row(docs).alias("_row"), key.alias("_group"), F.col(text).alias("_text")), groups, "_group", "_rows", spread)
+    alike = found.filter("_more = 0").select("_row", F.col("_least").alias("_copies"))
+    order = Window.partitionBy("_group").orderBy(F.xxhash64("_text"), "_text")
+    some = found.filter("_more > 0").withColumn("_nth", F.row_number().over(order))
+    apart = some.select("_row", (F.col("_least") + (F.col("_nth") <= F.col("_more")).cast("int")).alias("_copies"))
+    every = alike.unionByName(apart)
+    return every.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select(*from_row(docs))

@@ -45,11 +45,11 @@ def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"), least_words=LONG_LINE)
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"), least_words=LONG_LINE).drop("text_digest")
 
 
 def op5_all_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"))
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents")).drop("text_digest")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

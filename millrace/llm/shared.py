@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import millrace
-from millrace.session import scratch_path
+from millrace.session import discard, scratch_path
 
 #: A word is a run of characters other than these: blank, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Scratch folders written in this process, oldest first.
+_WRITTEN: list[str] = []
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """Writes a frame to the folder all executors share and reads it back.
 
@@ -31,10 +35,43 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = scratch_path(spark, purpose)
+    _WRITTEN.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def written_since(mark: int) -> list[str]:
+    """Scratch folders written after so many others."""
+    return _WRITTEN[mark:]
+
+
+def scratch_mark() -> int:
+    """How many scratch folders were written up to now."""
+    return len(_WRITTEN)
+
+
+def discard_unread(spark: SparkSession, paths: list[str], frame: DataFrame) -> list[str]:
+    """Removes scratch folders, but for those that a frame still reads; they are returned."""
+    roots, kept = _roots(frame), []
+    for path in paths:
+        if any(path.split(":", 1)[-1].lstrip("/") in root for root in roots):
+            kept.append(path)
+        else:
+            discard(spark, path)
+    return kept
+
+
+def _roots(frame: DataFrame) -> list[str]:
+    """Folders that a plan reads files of."""
+    leaves, roots = frame._jdf.queryExecution().analyzed().collectLeaves(), []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and hasattr(leaf.relation(), "location"):
+            paths = leaf.relation().location().rootPaths()
+            roots += [paths.apply(j).toString() for j in range(paths.size())]
+    return roots
+
+
 def named(name: str) -> Column:
     """A column by its name, whatever characters that has."""
     return F.col("`" + name.replace("`", "``") + "`")

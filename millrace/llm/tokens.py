@@ -30,7 +30,7 @@ _ODD = "\x1c\x1d\x1e\x1f"
 #: White space and then a blank: such texts aren't cut at each blank.
 _UNEVEN = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 #: Entries of a generation of what a worker remembers; changes no result.
-REMEMBERED = 250_000
+REMEMBERED = 1_000_000
 #: Characters of the longest entry that is remembered; longer ones seldom come again.
 SHORT = 24
 

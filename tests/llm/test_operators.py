@@ -121,6 +121,24 @@ def shares(sizes, weights=(5, 2, 1)):
         stopped |= {x: 2.0 * sizes[x] for x in over}
 
 
+def test_whole_rows_are_taken_as_often_as_the_mix_says(spark):
+    """Null and repeated ids, equal rows at the end of a budget, clashing names."""
+    rng = np.random.default_rng(8)
+    rows = [(int(i), " ".join(["w"] * int(rng.integers(0, 30))), "de", f"s{i % 3}", 1) for i in range(90)]
+    rows += [(None, "five words in this text", None, "s0", 2)] * 40 + [(3, "a b", None, None, 3)] * 5 + [(4, None, None, "s1", 4), (5, "", None, None, 5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).withColumns({"_key": F.lit(1), "_copies": F.lit(2), "size": F.lit("x")}).repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 90, 3)], "doc_id long, quality int")
+    with_weights, quality = mixing.with_quality(docs, labels)
+    wanted = Counter()
+    for r in mixing.mix(with_weights, quality).select(*docs.columns[:5], "copies").collect():
+        wanted[tuple(r[:5])] += r.copies
+    found = mixing.mixed_rows(docs, labels)
+    assert found.columns == docs.columns
+    assert Counter(tuple(r[:5]) for r in found.collect()) == +wanted
+    assert mixing.mixed_rows(docs.limit(0), labels).collect() == []
+
+
 def test_mixing_odd_rows(spark):
     docs = documents(spark)
     rows = mixing.mix(docs).collect()
@@ -264,6 +282,19 @@ def test_units_are_cut_out(spark):
     assert {r.doc_id: r.text for r in unit_dedup.without_units(docs, removed).collect()} == {1: rows[0][1], 2: "Other.\n\nlast", 3: None}
 
 
+def test_units_are_cut_out_of_their_own_texts_only(spark):
+    """Rows that share an id, or have none, keep what was reported of others."""
+    twice = "Some line that stands twice.\nand an end"
+    rows = [(None, twice), (None, "completely different text that should survive whole"), (7, "x " + twice), (7, twice), (8, ""), (9, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "r", 1, "s") for i, t in rows], "doc_id long, text string, _row string, unit int, _spans string").repartition(3)
+    removed = unit_dedup.repeated_units(docs)
+    left = Counter((r.doc_id, r.text) for r in unit_dedup.without_units(docs, removed).collect())
+    kept = twice.split("\n")
+    assert left == Counter({(None, "\n"): 1, (None, rows[1][1]): 1, (7, "x " + kept[0] + "\n"): 1, (7, twice): 1, (8, ""): 1, (9, None): 1, (None, None): 1})
+    assert unit_dedup.without_units(docs, removed.limit(0)).count() == 7
+    assert unit_dedup.without_units(docs.limit(0), removed).collect() == []
+
+
 # exact duplicates
 
 
@@ -388,7 +419,7 @@ def test_blocks_by_checkpoint_and_damage():
 # similar documents
 
 
-def brute_components(rows, k=3):
+def brute_components(rows, k=3, percent=90):
     sets, parent = [], list(range(len(rows)))
 
     def root(x):
@@ -403,7 +434,7 @@ def brute_components(rows, k=3):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 parent[root(i)] = root(j)
     least = {}
     for i, (doc, _) in enumerate(rows):

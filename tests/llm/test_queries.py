@@ -9,11 +9,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
+import regex
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from millrace.llm import queries
+from millrace.llm import language, mixing, queries
 from tests.comparing import compare, database
 from tests.llm.test_operators import brute_components, crc
 
@@ -109,17 +109,28 @@ def test_pipeline_stage_by_stage(spark, documents):
     rows = [(r.doc_id, r.text) for r in found.collect()]
     found = stages[names[2]](spark, found, FOLDER)
     assert found.columns == columns
-    assert {r.doc_id for r in found.collect()} == {component for _, _, component in brute_components(rows)}
+    assert {r.doc_id for r in found.collect()} == {component for _, _, component in brute_components(rows, 5, 80)}
 
     before = found.collect()
     mixed = stages[names[3]](spark, found, FOLDER)
     assert mixed.columns == columns
-    taken = Counter(r.doc_id for r in mixed.collect())
-    assert set(taken) <= {r.doc_id for r in before} and max(taken.values()) <= 2
-
-    packed = stages[names[4]](spark, mixed, FOLDER)
-    assert packed.groupBy("doc_id").agg(F.sum((F.col("piece") == 0).cast("int")).alias("n")).collect() is not None
-    assert Counter(r.doc_id for r in packed.collect() if r.piece == 0) == taken
+    rows, quality = mixing.with_quality(found, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    wanted = Counter({tuple(r[:5]): r.copies for r in mixing.mix(rows, quality).select(*columns, "copies").collect() if r.copies})
+    after = mixed.collect()
+    assert Counter(map(tuple, after)) == wanted and set(map(tuple, before)) >= set(wanted)
+    share = sum(len((r.text or "").split()) for r in after) / sum(len((r.text or "").split()) for r in before)
+    assert abs(share - mixing.SHARE) < 0.05
+
+    ids = ids_by_document(after, queries.WORD_VOCABULARY, 0)
+    packed = stages[names[4]](spark, mixed, FOLDER).collect()
+    times = Counter(r.doc_id for r in after)
+    pieces = Counter({(k, i // 2048, i, len(v[i : i + 2048]), crc(v[i : i + 2048])): times[k] for k, v in ids.items() for i in range(0, len(v), 2048)})
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed) == pieces
+    assert len({(r.sequence_id, r.offset) for r in packed}) == len(packed)
+    filled = Counter()
+    for r in packed:
+        filled[r.sequence_id] += r.length
+    assert max(filled.values()) <= 2048
 
 
 def near_copies(rows, k=5, share=0.8):
@@ -152,3 +163,59 @@ def test_pipeline_takes_one_of_near_copies(spark):
     kept = {r.doc_id for r in corpus_pipeline.one_of_similar(spark, docs, FOLDER).collect()}
     assert kept == near_copies(rows)
     assert 2001 not in kept
+
+
+def test_language_equals_brute_force(spark, documents):
+    """Scores worked out from plain counts of all training documents."""
+    letters = regex.compile(r"\p{L}+")
+    train = [r for r in documents if r.text is not None and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    languages = sorted({r.lang for r in train})
+    words = {x: Counter(w for r in train if r.lang == x for w in letters.findall(r.text.lower())) for x in languages}
+    grams = {x: defaultdict(Counter) for x in languages}
+    for x, held in words.items():
+        for word, n in held.items():
+            marked = f"\x02{word}\x03"
+            for size in language.GRAMS:
+                for at in range(len(marked) - size + 1):
+                    grams[x][size][marked[at : at + size]] += n
+    assert max(map(len, words.values())) <= language.KEPT  # so that nothing is left out
+
+    def shares(counts):
+        known = set().union(*counts.values())
+        return known, {x: {k: np.log((c[k] + 0.5) / (sum(c.values()) + 0.5 * len(known))) for k in known} for x, c in counts.items()}
+
+    known, by_word = shares(words)
+    by_gram = {size: shares({x: grams[x][size] for x in languages}) for size in language.GRAMS}
+
+    def score(text):
+        found = letters.findall((text or "").lower())
+        if not found:
+            return "und", 0.0
+        total = {x: np.log(sum(r.lang == x for r in train) / len(train)) for x in languages}
+        for word in found:
+            if word in known:
+                for x in languages:
+                    total[x] += by_word[x][word]
+                continue
+            marked = f"\x02{word}\x03"
+            for size in language.GRAMS:
+                parts = [marked[at : at + size] for at in range(len(marked) - size + 1)]
+                parts = [p for p in parts if p in by_gram[size][0]]
+                if parts:
+                    for x in languages:
+                        total[x] += np.mean([by_gram[size][1][x][p] for p in parts])
+                    break
+        best = max(languages, key=lambda x: total[x])
+        return best, 1 / sum(np.exp(total[x] - total[best]) for x in languages)
+
+    rows = {r.doc_id: r for r in queries.op3_language(spark, FOLDER).collect()}
+    for r in documents:
+        name, share = score(r.text)
+        assert rows[r.doc_id].lang_pred == name and abs(rows[r.doc_id].score - share) < 1e-6
+
+
+def test_numbers_are_no_letters(spark):
+    odd = [(1, "² ½ 12"), (2, "Ⅷ"), (3, "ª"), (4, "the ² house"), (5, "٣")]
+    model = language.fit(spark.createDataFrame([(9, "the house and the garden", "en")], "doc_id long, text string, lang string"))
+    found = {r.doc_id: r.lang_pred for r in language.detect(spark.createDataFrame(odd, "doc_id long, text string"), model).collect()}
+    assert found == {1: "und", 2: "und", 3: "en", 4: "en", 5: "und"}
