@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import exact_dedup, language, mixing, ngram_join, packing
 from millrace.llm.queries import WORD_VOCABULARY
-from millrace.llm.shared import stored, table
+from millrace.llm.shared import discard_unread, scratch_mark, stored, table, written_since
 
 #: SQL can't express a trained language model or a packing.
 ORACLE_SQL = None
@@ -37,9 +38,7 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: a document taken twice is there twice."""
-    rows, quality = mixing.with_quality(docs, table(spark, sf_dir, "labels"))
-    taken = mixing.mix(rows, quality)
-    return taken.select(F.struct(*docs.columns).alias("_row"), F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("_row.*")
+    return mixing.mixed_rows(docs, table(spark, sf_dir, "labels"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +46,33 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(WORD_VOCABULARY))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language ID", known_language),
-    ("exact dedup", no_copies),
-    ("n-gram Jaccard join", one_of_similar),
-    ("mixing sources to target weights", mixed),
-    ("best-fit packing", packed),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Scratch folders of stages that ran; what the next stage doesn't read any more goes.
+_left: list[str] = []
+
+
+def _tidy(stage: Stage) -> Stage:
+    """A stage that first discards what the stages before it left in the shared folder, as their rows are
+    written by then; a frame that still reads it keeps it."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _left[:] = discard_unread(spark, _left, docs)
+        mark = scratch_mark()
+        found = stage(spark, docs, sf_dir)
+        _left.extend(written_since(mark))
+        return found
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language ID", _tidy(known_language)),
+    ("exact dedup", _tidy(no_copies)),
+    ("n-gram Jaccard join", _tidy(one_of_similar)),
+    ("mixing sources to target weights", _tidy(mixed)),
+    ("best-fit packing", _tidy(packed)),
 ]
 
 
