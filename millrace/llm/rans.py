@@ -230,11 +230,11 @@ def _numbers(ids: bytes, n: int) -> np.ndarray:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each id occurs, once for each task."""
     counts = np.zeros(0, dtype=np.int64)
-    for batch in batches:
-        for ids, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = np.bincount(_numbers(ids, n), minlength=len(counts))
-            found[: len(counts)] += counts
-            counts = found
+    for batch in in_slices(batches):
+        ids = [_numbers(x, n) for x, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+        found = np.bincount(np.concatenate(ids), minlength=len(counts))
+        found[: len(counts)] += counts
+        counts = found
     used = np.flatnonzero(counts)
     yield _batch("id long, n long", [used, counts[used]])
 
@@ -296,8 +296,8 @@ def write_ids(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    order = F.col("doc_id").asc_nulls_last()
-    ordered = rows.repartitionByRange(order).sortWithinPartitions(order, F.xxhash64("text"))
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     scratch = scratch_path(spark, "ids")
     map_arrow(ordered, _tokenised(tokenizer, end_id), IDS).write.option("compression", "zstd").parquet(scratch)
     ids = spark.read.schema(IDS).parquet(scratch)
