@@ -608,3 +608,19 @@ ORACLES |= {
   WHERE supplier_id IS NULL AND quantity > 30)""",
     ),
 }
+
+_LINE = " || ',' || ".join(f"coalesce({c}, '')" for c in _raw(_SO).split(", "))
+ORACLES["stream_ingest_rescued"] = _with(
+    _tables("sales_orders"),
+    f"""SELECT {_read_from_csv(_SO)} REPLACED, NULL AS note, false AS rescued, NULL AS reason, NULL AS raw
+FROM sales_orders WHERE bronze_row_id % 4 IN (0, 2)
+UNION ALL
+SELECT {_read_from_csv(_SO).replace("nullif(status, '')", "NULL")}, 'n' || bronze_row_id, true, NULL, NULL
+FROM sales_orders WHERE bronze_row_id % 4 = 1
+UNION ALL
+SELECT {", ".join(["NULL"] * 7)}, NULL, true,
+  CASE (bronze_row_id // 4) % 3 WHEN 0 THEN 'more fields than the header' WHEN 1 THEN 'fewer fields than the header' ELSE 'quotes that do not close' END,
+  CASE (bronze_row_id // 4) % 3 WHEN 0 THEN {_LINE} || ',surplus' WHEN 1 THEN sales_order_id ELSE '"' || {_LINE} END
+FROM sales_orders WHERE bronze_row_id % 4 = 3""".replace(" REPLACED", ""),
+)
+ORACLES["stream_latest"] = ORACLES["dedupe_keep_last"]

@@ -41,8 +41,10 @@ from millrace.sources.ledger import repair_stored_orders
 from millrace.sources.monthly import change_orders, gold_of_months, partial_table, read_months, store_orders
 from millrace.sources.sinks import append_table, replace_table, without_audit, write_csv, write_silver
 from millrace.streaming.ingest import ingest_files
+from millrace.streaming.latest import latest_copies
 from millrace.streaming.masters import upsert_stream
 from millrace.streaming.receipts import book_receipts, read_ledger, seed_ledger, stream_bronze
+from millrace.streaming.rescue import ingest_rescued
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -440,6 +442,51 @@ def stream_ingest_two_sources(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(repeated, "bronze_row_id").select(*SALES.bronze_columns, (complete & (F.col("times") == 1)).alias("complete"))
 
 
+def _write_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Records as they stand below a header, whatever they hold."""
+    lines.toDF(header).write.options(header=True, sep="\x01", quote="\x02", nullValue="").csv(path)
+
+
+def stream_ingest_rescued(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with columns in another order, without a column and with a new one, and with damaged records: none is lost."""
+    base = scratch_path(spark, "rescued")
+    orders = Bridge(spark, folder).sales_orders
+    part, kind = F.pmod("bronze_row_id", F.lit(4)), F.pmod(F.shiftright("bronze_row_id", 2), F.lit(3))
+    names = list(SALES.bronze_columns)
+    write_csv(orders.where(part == 0).select(*reversed(names)), f"{base}/landing/reordered")
+    note = F.concat(F.lit("n"), F.col("bronze_row_id").cast("string")).alias("note")
+    write_csv(orders.where(part == 1).select(names[0], note, *names[1:-1]), f"{base}/landing/other")
+    write_csv(orders.where(part == 2).select(*names), f"{base}/landing/plain")
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in names])
+    damaged = F.when(kind == 0, F.concat(line, F.lit(",surplus"))).when(kind == 1, F.col(names[0])).otherwise(F.concat(F.lit('"'), line))
+    _write_lines(orders.where(part == 3).select(damaged.alias("line")), ",".join(names), f"{base}/landing/damaged")
+    state = (f"{base}/bronze", f"{base}/quarantine", f"{base}/state")
+    ingest_rescued(spark, f"{base}/landing/*", RAW_SALES_ORDERS, *state, files_per_batch=5).awaitTermination()
+    rescued = F.col("_rescued")
+    rows = spark.read.parquet(f"{base}/bronze").select(
+        *names, rescued["note"].alias("note"), rescued.isNotNull().alias("rescued"), F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("raw")
+    )
+    held = spark.read.parquet(f"{base}/quarantine").select("reason", F.col("_raw").alias("raw"), (F.col("_line") > 1).alias("rescued"))
+    return rows.unionByName(held, allowMissingColumns=True)
+
+
+def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Latest copies of purchase orders from a stream of all copies, in files that are read one after the other."""
+    base = scratch_path(spark, "latest")
+    arrived = F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("bronze_row_id"), F.lit(86_400)))
+    copies = Bridge(spark, folder).purchase_orders.withColumn("event_time", arrived)
+    copies.repartition(3, "bronze_row_id").write.parquet(f"{base}/in")
+    # something that comes long after, so that the watermark passes all of them
+    nothing = {c: F.lit(None).cast(copies.schema[c].dataType) for c in copies.columns if c not in ("event_time", PURCHASE.id)}
+    closing = spark.range(1).select(F.lit("closing").alias(PURCHASE.id), F.timestamp_seconds(F.lit(1_800_000_000)).alias("event_time"))
+    closing.withColumns(nothing).select(*copies.columns).write.mode("append").parquet(f"{base}/in")
+    rows = spark.readStream.schema(copies.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    latest = latest_copies(rows, PURCHASE.id, "2 days", 3_600_000)
+    query = latest.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out", format="parquet")
+    query.awaitTermination()
+    return spark.read.schema(latest.schema).parquet(f"{base}/out")
+
+
 def mixed_loads(spark: SparkSession, folder: str) -> DataFrame:
     """A batch load of early copies, then a stream of the final ones: what arrived last survives."""
     b = Bridge(spark, folder)
@@ -646,6 +693,8 @@ QUERIES: dict[str, Query] = {
     "snapshot_replace": snapshot_replace,
     "silver_by_month": silver_by_month,
     "stream_ingest_two_sources": stream_ingest_two_sources,
+    "stream_ingest_rescued": stream_ingest_rescued,
+    "stream_latest": stream_latest,
     "mixed_loads": mixed_loads,
     "stream_receipts_restarted": stream_receipts_restarted,
     "stream_stock": stream_stock,
