@@ -230,9 +230,36 @@ def _gold_sql(name: str, source) -> str:
     return _with(ctes, body)
 
 
+# Columns of the written tables in their alphabetical order; those with a mark are rates and means.
+_GOLD_COLUMNS = {
+    "gold_supplier_performance": "*cancellation_rate cancelled_orders confirmed_orders country created_orders delivered_orders delivered_quantity "
+    "*delivery_rate *fulfillment_rate supplier_id supplier_name total_orders total_quantity",
+    "gold_material_demand": "material_id material_name material_type procurement_orders procurement_quantity sales_orders sales_quantity "
+    "total_demand_quantity total_orders",
+    "gold_customer_sales_summary": "*avg_order_quantity cancelled_orders confirmed_orders country created_orders customer_id customer_name "
+    "delivered_orders delivered_quantity *delivery_rate shipped_orders total_orders total_quantity",
+    "gold_procurement_vs_sales": "order_month procurement_orders procurement_quantity quantity_gap sales_orders sales_quantity",
+    "gold_monthly_procurement_trend": "cancelled_orders delivered_quantity *delivered_share order_count order_month total_quantity",
+    "gold_monthly_sales_trend": "cancelled_orders delivered_quantity *delivered_share order_count order_month total_quantity",
+    "gold_country_wise_procurement": "country order_count supplier_count total_quantity",
+    "gold_country_wise_sales": "country customer_count order_count total_quantity",
+    "gold_top_moving_materials": "material_id material_name material_type movement_rank procurement_orders procurement_quantity sales_orders "
+    "sales_quantity total_demand_quantity total_orders",
+}
+
+
+def _row_text(columns: str) -> str:
+    values = [f"round({c[1:]} * 10000)::BIGINT" if c[0] == "*" else c for c in columns.split()]
+    return "concat_ws('|', " + ", ".join(f"coalesce(({v})::VARCHAR, 'NULL')" for v in values) + ")"
+
+
 def _gold_written() -> str:
     ctes = _tables("suppliers", "customers", "materials") | _typed(_PO) | _typed(_SO)
-    counts = [f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({body}) t" for name, (_, _, body) in _GOLD.items()]
+    counts = [
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, "
+        f"coalesce(sum(('0x' || substr(md5({_row_text(_GOLD_COLUMNS[name])}), 1, 8))::BIGINT), 0)::BIGINT AS digest FROM ({body}) t"
+        for name, (_, _, body) in _GOLD.items()
+    ]
     return _with(ctes, " UNION ALL ".join(counts))
 
 
@@ -624,3 +651,48 @@ SELECT {", ".join(["NULL"] * 7)}, NULL, true,
 FROM sales_orders WHERE bronze_row_id % 4 = 3""".replace(" REPLACED", ""),
 )
 ORACLES["stream_latest"] = ORACLES["dedupe_keep_last"]
+
+
+def _traced(o: dict[str, str], statuses: str, lines: str) -> str:
+    """Copies of a moving status with their flag and outcome."""
+    q = _long("quantity")
+    return f"""
+SELECT bronze_row_id, {o["id"]} AS order_id, q AS quantity,
+       CASE WHEN own <> 'CLEAN' THEN own WHEN copy = 1 THEN 'CLEAN' WHEN booked THEN 'DUPLICATE_ID' ELSE last_cause END AS flag,
+       CASE WHEN own <> 'CLEAN' THEN 'SUPPRESSED' WHEN copy = 1 THEN 'BOOKED' WHEN booked THEN 'DELAYED' ELSE 'SUPPRESSED' END AS outcome
+FROM (
+  SELECT *, first_value(CASE WHEN coalesce(status IN ({statuses}), false) THEN own
+                             WHEN coalesce(status IN ({o["statuses"]}), false) THEN 'NOT_DELIVERED' ELSE 'INVALID_STATUS' END) OVER w AS last_cause,
+         coalesce({o["id"]} IN (SELECT reference_id FROM {lines}), false) AS booked, row_number() OVER w AS copy
+  FROM (
+    SELECT *, {q} AS q,
+      CASE WHEN coalesce({o["id"]}, '') = '' THEN 'MISSING_ID' WHEN coalesce({o["delivery"]}, '') = '' THEN 'MISSING_DELIVERY_DATE'
+           WHEN coalesce(material_id, '') = '' THEN 'MISSING_MATERIAL'
+           WHEN material_id NOT IN (SELECT material_id FROM materials WHERE material_type = {o["type"]}) THEN 'INVALID_MATERIAL'
+           WHEN nullif(trim(quantity), '') IS NULL THEN 'MISSING_QUANTITY' WHEN {q} IS NULL THEN 'UNREADABLE_QUANTITY'
+           WHEN {q} <= 0 THEN 'NON_POSITIVE_QUANTITY' ELSE 'CLEAN' END AS own
+    FROM {o["table"]}) c
+  WINDOW w AS (PARTITION BY {o["id"]} ORDER BY bronze_row_id DESC)) l
+WHERE status IN ({statuses})"""
+
+
+ORACLES |= {
+    "dq_lineage": _with(
+        _ORDERS_AND_WAREHOUSES,
+        f"""SELECT flag, outcome, count(*) AS copies, coalesce(sum(quantity), 0)::BIGINT AS quantity
+FROM ({_traced(_PO, "'DELIVERED'", "receipts")}) t GROUP BY flag, outcome""",
+    ),
+    "dq_lineage_sales": _with(_ORDERS_AND_WAREHOUSES, _traced(_SO, "'SHIPPED', 'DELIVERED'", "shipments")),
+    "catalog_scan": _with(_tables("suppliers"), "SELECT * FROM suppliers"),
+    "rows_written": _with(
+        _tables("sales_orders", "materials", "customers", "warehouses", "typed_purchase_orders"),
+        " UNION ALL ".join(
+            f"SELECT '{write}' AS write, count(*) AS written FROM {t}"
+            for write, t in (("append", "sales_orders"), ("replace", "materials"), ("upsert", "customers"), ("csv", "warehouses"), ("silver", "typed_purchase_orders"))
+        ),
+    ),
+    "gold_shown": _with(
+        _tables("materials") | _typed(_PO) | _typed(_SO),
+        f"SELECT total_demand_quantity FROM ({_MATERIAL_DEMAND}) d WHERE total_demand_quantity > 0 ORDER BY 1 DESC LIMIT 50",
+    ),
+}

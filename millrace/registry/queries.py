@@ -29,6 +29,7 @@ from millrace.plans import gold, movements, quality
 from millrace.plans.bronze import conform, highest_row_id
 from millrace.plans.deliveries import delivery_status, evaluate_suppliers
 from millrace.plans.inventory import balances, inventory_snapshot
+from millrace.plans.lineage import lineage_by_flag, trace
 from millrace.plans.partials import distinct_partners
 from millrace.plans.production import production_lines
 from millrace.plans.reconcile import reconcile
@@ -36,15 +37,16 @@ from millrace.plans.silver import silver_orders
 from millrace.registry.bridge import Bridge
 from millrace.session import scratch_database, scratch_path
 from millrace.sources.gold import write_gold
-from millrace.sources.readers import import_csv, read_csv
+from millrace.sources.readers import import_csv, read_csv, read_table
 from millrace.sources.ledger import repair_stored_orders
 from millrace.sources.monthly import change_orders, gold_of_months, partial_table, read_months, store_orders
-from millrace.sources.sinks import append_table, replace_table, without_audit, write_csv, write_silver
+from millrace.sources.sinks import append_table, replace_table, upsert_buckets, without_audit, write_csv, write_silver
 from millrace.streaming.ingest import ingest_files
 from millrace.streaming.latest import latest_copies
 from millrace.streaming.masters import upsert_stream
 from millrace.streaming.receipts import book_receipts, read_ledger, seed_ledger, stream_bronze
 from millrace.streaming.rescue import ingest_rescued
+from millrace.streaming.stock import publish_stock
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +55,8 @@ BOOKED_BEFORE = "1998-06-01"
 # What differs between the earlier and the present state in the queries that refresh months.
 CHANGED_MONTHS = (date(1995, 3, 1), date(1996, 7, 1))
 MOVED_MONTH, UNDATED_MONTH, NEW_MONTH = date(1994, 2, 1), date(1997, 9, 1), date(1998, 4, 1)
+# Rows that a reader sees first.
+SHOWN = 50
 NULL_TEXT = "\\N"
 EVALUATED_ON = date(2002, 1, 1)
 MASTER_LOADED, MASTER_CHANGED = datetime(2025, 1, 1, 12), datetime(2025, 2, 1, 12)
@@ -114,17 +118,50 @@ def _gold_query(name: str, orders: Callable[[Bridge, OrderKind], DataFrame]) ->
     return lambda spark, folder: GOLD[name](Bridge(spark, folder), orders)
 
 
+def _digested(table: DataFrame, name: str) -> DataFrame:
+    """Rows and the sum of row digests; rates and means count in whole ten-thousandths."""
+    doubles = {c for c, kind in table.dtypes if kind == "double"}
+    values = [F.round(F.col(c) * 10000).cast("bigint") if c in doubles else F.col(c) for c in sorted(table.columns)]
+    text = F.concat_ws("|", *(F.coalesce(v.cast("string"), F.lit("NULL")) for v in values))
+    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return table.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(number), F.lit(0)).alias("digest"))
+
+
+def catalog_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers stored with audit columns and read back from the catalog in their declared columns."""
+    namespace = scratch_database(spark, "masters")
+    append_table(Bridge(spark, folder).suppliers, f"{namespace}.suppliers")
+    return read_table(spark, "suppliers", namespace)
+
+
+def rows_written(spark: SparkSession, folder: str) -> DataFrame:
+    """What each kind of write says it has written."""
+    b = Bridge(spark, folder)
+    namespace = scratch_database(spark, "written")
+    said = {
+        "append": append_table(b.sales_orders, f"{namespace}.orders"),
+        "replace": replace_table(b.materials, f"{namespace}.materials"),
+        "upsert": upsert_buckets(b.customers, f"{namespace}.customers", "customer_id"),
+        "csv": write_csv(b.warehouses, scratch_path(spark, "csv")),
+        "silver": write_silver(b.typed_purchase_orders, f"{namespace}.silver"),
+    }
+    return spark.createDataFrame(list(said.items()), "write string, written bigint")
+
+
+def gold_shown(spark: SparkSession, folder: str) -> DataFrame:
+    """The demand table in reading order: each material with the one shown before it."""
+    table = GOLD["gold_material_demand"](Bridge(spark, folder), _typed).where("total_demand_quantity > 0")
+    return gold.shown("gold_material_demand", table).limit(SHOWN).select("total_demand_quantity")
+
+
 def gold_written(spark: SparkSession, folder: str) -> DataFrame:
-    """All nine tables written to a fresh database and read back: their row counts."""
+    """All nine tables written to a fresh database and read back: row counts, and a digest of all values in any order."""
     b = Bridge(spark, folder)
     namespace = scratch_database(spark, "gold")
     rows = write_gold(
         b.typed_purchase_orders, b.typed_sales_orders, b.suppliers, b.customers, b.materials, namespace
     )
-    counts = [
-        spark.table(f"{namespace}.{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for name in rows
-    ]
+    counts = [_digested(spark.table(f"{namespace}.{name}"), name) for name in rows]
     result = counts[0]
     for more in counts[1:]:
         result = result.unionByName(more)
@@ -188,6 +225,19 @@ def dq_impact_sales(spark: SparkSession, folder: str) -> DataFrame:
     return quality.impact(_silver(b, SALES), shipments, SALES)
 
 
+def dq_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Per flag, the quantity of purchase copies that made no receipt of their own; with the booked ones all delivered copies."""
+    b = Bridge(spark, folder)
+    receipts = movements.receipt_lines(b.purchase_orders, b.materials, b.warehouses)
+    return lineage_by_flag(trace(b.purchase_orders, b.materials, receipts, PURCHASE))
+
+
+def dq_lineage_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Every sales copy of a moving status with what kept it from, or made it, a shipment."""
+    b = Bridge(spark, folder)
+    return trace(b.sales_orders, b.materials, movements.shipment_lines(b.sales_orders, b.materials, b.warehouses), SALES)
+
+
 def reconcile_so_shipments(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
     return reconcile(b.sales_orders, b.materials, movements.shipment_lines(b.sales_orders, b.materials, b.warehouses), SALES)
@@ -406,9 +456,10 @@ def _receipt_stream(spark: SparkSession, folder: str, runs: int) -> tuple[str, s
             f"{base}/balances",
             b.materials,
             b.warehouses,
-            snapshot,
+            None,
             f"{base}/state-{run}",
         ).awaitTermination()
+    publish_stock(spark, f"{base}/balances", snapshot)
     return f"{base}/ledger", snapshot
 
 
@@ -651,6 +702,9 @@ QUERIES: dict[str, Query] = {
     **{name: _gold_query(name, _typed) for name in GOLD},
     **{f"{name}_on_silver": _gold_query(name, _silver) for name in GOLD},
     "gold_written": gold_written,
+    "gold_shown": gold_shown,
+    "catalog_scan": catalog_scan,
+    "rows_written": rows_written,
     "bronze_conform": bronze_conform,
     "silver_purchase_orders": silver_purchase_orders,
     "silver_sales_orders": silver_sales_orders,
@@ -662,6 +716,8 @@ QUERIES: dict[str, Query] = {
     "dq_quarantine": dq_quarantine,
     "dq_impact": dq_impact,
     "dq_impact_sales": dq_impact_sales,
+    "dq_lineage": dq_lineage,
+    "dq_lineage_sales": dq_lineage_sales,
     "text_checks": text_checks,
     "clean_delivered_po": clean_delivered_po,
     "clean_shipped_so": clean_shipped_so,

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from millrace.functions import month_of
 from millrace.operators.upsert import AUDIT_COLUMNS, merged, require_unique, with_audit
-from millrace.session import discard
+from millrace.session import discard, scratch_path
 from millrace.sources.readers import csv_options
 
 TRANSACTIONAL_FORMATS = ("delta", "iceberg")
 KEPT_VERSIONS = 2
+BUCKET, BUCKETS = "_bucket", 64
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -124,6 +125,34 @@ def upsert_table(
     return rows
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def upsert_buckets(updates: DataFrame, name: str, key: str, buckets: int = BUCKETS, now: Column | datetime | None = None) -> int:
+    """Insert or update on the key in a table that is laid out by hash of the key; returns the rows of the batch.
+
+    Only the buckets that hold a key of the batch are read and rewritten, so a small batch costs the same
+    however large the table has grown. The first batch creates the table with its number of buckets, which
+    later batches must name too. The table has a column ``_bucket`` besides its own. Other sessions that
+    have read the table before must refresh it.
+    """
+    spark = updates.sparkSession
+    rows = require_unique(updates, key)
+    placed = updates.withColumn(BUCKET, bucket_of(key, buckets))
+    if not spark.catalog.tableExists(name):
+        replace_table(with_audit(placed, now), name, partition_by=[BUCKET])
+        return rows
+    touched = [r[0] for r in placed.select(BUCKET).distinct().collect()]  # fewer than there are buckets
+    if touched:
+        old = spark.table(name).where(F.col(BUCKET).isin(*touched)).drop(BUCKET)
+        staged = scratch_path(spark, "buckets")
+        merged(old, updates, key, now).withColumn(BUCKET, bucket_of(key, buckets)).write.parquet(staged)
+        replace_folders(spark.read.schema(spark.table(name).schema).parquet(staged), name, BUCKET, touched)
+        discard(spark, staged)
+    return rows
+
+
 def location(spark: SparkSession, name: str) -> str:
     """Folder of the version that readers of a table see now."""
     current = _current(spark, name)
@@ -145,7 +174,8 @@ def replace_folders(df: DataFrame, name: str, folder: str, values: Sequence[obje
     """Rewrites some partition folders of a table, those of ``values``, and leaves all others.
 
     The frame has rows of these folders only, and may not read them. A folder it has no row for
-    is removed. ``values`` is one entry per folder, so a short list.
+    is removed. ``values`` is one entry per folder, so a short list. Other sessions that have read the
+    table before must refresh it.
     """
     spark = df.sparkSession
     path = location(spark, name)

