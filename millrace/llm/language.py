@@ -37,9 +37,10 @@ REMEMBERED = 400_000
 #: Words of a text that are looked up at once.
 PORTION = 100_000
 
+_LETTERS = re.compile(r"[^\W\d_]+")
 #: Numbers that ``\w`` holds but ``\d`` doesn't, as superscripts, fractions and Roman numerals; a letter has category L.
-_NUMBERS = "".join(chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Nl", "No"))
-_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_NUMBERS = frozenset(c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) in ("Nl", "No"))
+_APART = dict.fromkeys(map(ord, _NUMBERS), " ")
 _START, _END = "\x02", "\x03"
 
 
@@ -118,6 +119,14 @@ def _most_frequent(counts: DataFrame, kept: int) -> list:
     return ranked.filter(F.col("_at") <= kept).select("lang", "unit", "n").toArrow().to_pylist()
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters in lower case. Few texts hold numbers that look like letters to ``re``."""
+    lower = text.lower()
+    if not lower.isascii() and not _NUMBERS.isdisjoint(lower):
+        lower = lower.translate(_APART)
+    return _LETTERS.findall(lower)
+
+
 class Scorer:
     """Scores texts with one model; remembers what it worked out for words."""
 
@@ -150,7 +159,7 @@ class Scorer:
         return self.scores[rows].sum(axis=0)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        words = _LETTERS.findall(text.lower()) if text else []
+        words = words_of(text) if text else []
         if not words or not self.model.languages:
             return UNDETERMINED, 0.0
         sums = self.log_prior.copy()

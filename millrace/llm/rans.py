@@ -37,6 +37,8 @@ from millrace.session import discard, scratch_path
 
 MAGIC = b"RNB1"
 HEAD = struct.Struct("<4s5QI")
+#: Words that a worker remembers when it encodes; it does nothing else beside that.
+REMEMBERED = 1_000_000
 #: Bits of a frequency: all of them add up to one less than this power of two.
 BITS = 20
 LANES = 1024
@@ -207,7 +209,7 @@ def _tokenised(path: str, end_id: int):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, row, before = encoder(path), TaskContext.get().partitionId(), 0, 0
+        coder, part, row, before = encoder(path, REMEMBERED), TaskContext.get().partitionId(), 0, 0
         narrow = max(coder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
         for batch in in_slices(batches):
             out: list[list] = [[] for _ in range(6)]

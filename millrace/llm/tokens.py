@@ -29,8 +29,8 @@ _WORD = re.compile(rf" ?[{LETTERS}]+")
 _ODD = "\x1c\x1d\x1e\x1f"
 #: White space and then a blank: such texts aren't cut at each blank.
 _UNEVEN = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
-#: Entries of a generation of what a worker remembers; changes no result.
-REMEMBERED = 1_000_000
+#: Entries of a generation of what a worker remembers, some 100 bytes each; changes no result.
+REMEMBERED = 250_000
 #: Characters of the longest entry that is remembered; longer ones seldom come again.
 SHORT = 24
 
@@ -49,8 +49,9 @@ class _Remembered(dict):
     again moves back, so frequent entries stay and memory is bounded.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, remembered: int) -> None:
         super().__init__()
+        self.remembered = remembered
         self.older: dict[str, bytes] = {}
 
     def value(self, key: str) -> bytes:
@@ -62,7 +63,7 @@ class _Remembered(dict):
             found = self.value(key)
             if len(key) > SHORT:
                 return found
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.remembered:
             self.older = self.copy()
             self.clear()
         self[key] = found
@@ -73,7 +74,7 @@ class _Pieces(_Remembered):
     """Ids of pieces; ``blank`` stands before each. A plain word is known by itself, without marks after it."""
 
     def __init__(self, encoder: Encoder, blank: str):
-        super().__init__()
+        super().__init__(encoder.remembered)
         self.encoder, self.blank = encoder, blank
         self.tokenize, self.letters = encoder.tokenizer.model.tokenize, _byte_letters()
 
@@ -91,8 +92,8 @@ class _Pieces(_Remembered):
 class _Others(_Remembered):
     """Ids of all else by every step of the library."""
 
-    def __init__(self, tokenizer):
-        super().__init__()
+    def __init__(self, tokenizer, remembered: int):
+        super().__init__(remembered)
         self.tokenizer = tokenizer
 
     def value(self, key: str) -> bytes:
@@ -105,7 +106,8 @@ class Encoder:
     The strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -113,7 +115,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             self.folds = json.load(file).get("normalizer") is not None  # lower case, blanks dropped
-        self.others = _Others(self.tokenizer)
+        self.others = _Others(self.tokenizer, remembered)
         self.first = _Pieces(self, "")
         self.rest = self.first if self.folds else _Pieces(self, " ")
 
@@ -136,9 +138,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker and vocabulary."""
-    return Encoder(path)
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """One encoder for each worker, vocabulary and size of its memory."""
+    return Encoder(path, remembered)
 
 
 def segments(text: str) -> list[str]:
