@@ -9,6 +9,7 @@ only on the way up to the root. A document's text and its edits meet in one row,
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ from millrace.llm.tokens import Encoder, encoder, segments
 #: Pieces in a leaf when a tree is built.
 LEAF = 16
 
+#: What is kept of a document's tree.
+TREE = "struct<chars:array<int>,tokens:array<int>>"
 EDITS = "array<struct<start:long,end:long,replacement:string>>"
 
 
@@ -44,6 +47,24 @@ class CountTree:
         for node in range(self.width - 1, 0, -1):
             self._sum(node)
 
+    @classmethod
+    def stored(cls, coder: Encoder, text: str, chars: list[int], tokens: list[int], leaf: int = LEAF) -> CountTree:
+        """A tree from what was kept of its leaves; nothing is encoded."""
+        tree = cls.__new__(cls)
+        tree.coder, tree.leaf, tree.reencoded, tree.n_pieces = coder, leaf, 0, 0
+        tree.width = 1 << (max(len(chars), 1) - 1).bit_length()
+        spare = [0] * (tree.width - len(chars))
+        tree.chars, tree.tokens = [0] * tree.width + chars + spare, [0] * tree.width + tokens + spare
+        ends = list(accumulate(chars))
+        tree.texts = [text[end - n : end] for end, n in zip(ends, chars, strict=True)] + [""] * len(spare)
+        for node in range(tree.width - 1, 0, -1):
+            tree._sum(node)
+        return tree
+
+    def leaves(self) -> tuple[list[int], list[int]]:
+        """Characters and tokens of the leaves, to be kept."""
+        return self.chars[self.width :], self.tokens[self.width :]
+
     def _count(self, pieces: list[str]) -> int:
         if len(pieces) == 1:
             return len(self.coder.encode(pieces[0])) // 4
@@ -162,11 +183,81 @@ def count_tokens(docs: DataFrame, tokenizer: str, edits: str = "edits", text: st
     return map_arrow(rows, run, schema).select(*from_row(docs, gone), *new)
 
 
+def with_trees(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
+    """Adds ``n_tokens`` and ``tree``, the lengths and counts of its leaves, to be stored with the documents.
+
+    A null text counts as empty. Repeated rows get the same, an empty table gives no rows, and columns
+    named like the results are replaced.
+    """
+    new = ("n_tokens", "tree")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(tokenizer)
+        for batch in in_slices(batches):
+            trees = [CountTree(coder, x or "") for x in batch.column(1).to_pylist()]
+            yield _with_trees(batch.column(0), [t.n_tokens for t in trees], trees)
+
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *[named(x) for x in docs.columns if x not in new]).alias("_row"), F.col(text).cast("string").alias("_text"))
+    schema = rows.select("_row", F.lit(0).cast("long").alias("n_tokens"), F.lit(None).cast(TREE).alias("tree")).schema
+    return map_arrow(rows, run, schema).select(*from_row(docs, new), *new)
+
+
+def _with_trees(kept: pa.Array, n_tokens: list[int], trees: list[CountTree], **more: pa.Array) -> pa.RecordBatch:
+    leaves = [{"chars": chars, "tokens": tokens} for chars, tokens in (t.leaves() for t in trees)]
+    kind = pa.struct([("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))])
+    columns = {"_row": kept, "n_tokens": pa.array(n_tokens, pa.int64()), "tree": pa.array(leaves, kind)} | more
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def edited(docs: DataFrame, tokenizer: str, edits: str = "edits", text: str = "text") -> DataFrame:
+    """Documents with their stored trees after ``edits``: the new text, ``n_tokens``, ``tree``, ``n_edits`` and ``n_reencoded``.
+
+    ``docs`` has the columns that :func:`with_trees` adds. Only the leaves that an edit touches, and one on
+    each side, are encoded; the result is ready for the next edits. Edits count as in :func:`count_tokens`. A
+    null text stays null without edits and is empty with some. A tree that is null, or isn't that of its
+    text, is built anew, which counts as encoding all of it. Repeated rows get the same, an empty table
+    gives no rows, other columns pass through, but those named like the results, and the edits, go.
+    """
+    new = ("n_tokens", "tree", "n_edits", "n_reencoded")
+    gone = (*new, text, edits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(tokenizer)
+        for batch in in_slices(batches):
+            trees, texts, n_edits = [], [], []
+            for whole, changes, kept in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
+                plain = whole or ""
+                if kept and kept["chars"] is not None and kept["tokens"] is not None and sum(kept["chars"]) == len(plain):
+                    tree = CountTree.stored(coder, plain, kept["chars"], kept["tokens"])
+                else:
+                    tree = CountTree(coder, plain)
+                    tree.reencoded = tree.n_pieces
+                todo = usable_edits(changes, tree.n_chars)
+                for change in todo:
+                    tree.edit(*change)
+                trees.append(tree)
+                texts.append(tree.text() if todo else whole)
+                n_edits.append(len(todo))
+            more = {"n_edits": pa.array(n_edits, pa.int64()), "n_reencoded": pa.array([t.reencoded for t in trees], pa.int64()), "_text": pa.array(texts, pa.string())}
+            yield _with_trees(batch.column(0), [t.n_tokens for t in trees], trees, **more)
+
+    kept = F.struct(F.lit(0).alias("_"), *[named(x) for x in docs.columns if x not in gone])
+    rows = docs.select(kept.alias("_row"), F.col(text).cast("string").alias("_text"), F.col(edits).cast(EDITS).alias("_edits"), F.col("tree").cast(TREE).alias("_tree"))
+    zero = F.lit(0).cast("long")
+    schema = rows.select("_row", zero.alias("n_tokens"), F.col("_tree").alias("tree"), zero.alias("n_edits"), zero.alias("n_reencoded"), "_text").schema
+    return map_arrow(rows, run, schema).select(*from_row(docs, gone), F.col("_text").alias(text), *new)
+
+
 def with_edits(docs: DataFrame, edits: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Adds the edits of a table (doc_id, start, end, replacement) to the documents, as a column ``edits``."""
-    change = F.struct(F.col("start").cast("long"), F.col("end").cast("long"), F.col("replacement").cast("string"))
-    lists = edits.groupBy(F.col("doc_id").alias("_edited")).agg(F.collect_list(change).alias("edits"))
-    return docs.drop("edits").join(lists, F.col(doc_id).eqNullSafe(F.col("_edited")), "left").drop("_edited")
+    kinds = {"start": "long", "end": "long", "replacement": "string"}
+    change = F.struct(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()])
+    name = "_edited"
+    while name in docs.columns:
+        name += "_"
+    lists = edits.groupBy(F.col("doc_id").alias(name)).agg(F.collect_list(change).alias("edits"))
+    rows = docs.drop("edits")
+    return rows.join(lists, rows[doc_id].eqNullSafe(lists[name]), "left").drop(lists[name])
 
 
 def replacing(text: Column, pattern: str, replacement: str) -> Column:

@@ -369,6 +369,40 @@ def test_edit_table_with_odd_edits(spark):
     }
 
 
+def test_stored_trees_follow_edits(spark):
+    """Edits on stored trees give the counts of the new texts, again and again; only what they touch is encoded."""
+    ids_of = library(BYTE)
+    texts = [(n, " ".join(f"word{i}" for i in range(n))) for n in (0, 1, 1000, 20_000)] + [(None, None), (5, "a\x1cb c"), (6, "")]
+    docs = spark.createDataFrame([(i, t, 7, "t") for i, t in texts], "doc_id long, text string, n_edits int, _tree string").repartition(3)
+    held = {i: t for i, t in texts}
+    kept = edit_counts.with_trees(docs, BYTE)
+    rng = np.random.default_rng(1)
+    for turn in range(3):
+        edits = []
+        for i, text in held.items():
+            at = int(rng.integers(0, len(text or "") + 1))
+            edits.append((i, at, at + 9, f" new {turn}x"))
+            held[i] = (text or "")[:at] + f" new {turn}x" + (text or "")[at + 9 :]
+        table = spark.createDataFrame(edits, "doc_id long, start long, end long, replacement string")
+        kept = edit_counts.edited(edit_counts.with_edits(kept, table), BYTE)
+        rows = {r.doc_id: r for r in kept.collect()}
+        assert {i: r.text for i, r in rows.items()} == held
+        assert {i: r.n_tokens for i, r in rows.items()} == {i: len(ids_of(t)) for i, t in held.items()}
+        assert {r.n_edits for r in rows.values()} == {1} and {r._tree for r in rows.values()} == {"t"}
+        # two leaves that are touched, one on each side, and the new pieces; the length of the text doesn't matter
+        assert max(rows[20_000].n_reencoded, rows[1000].n_reencoded) <= 4 * edit_counts.LEAF + 4 * (turn + 1)
+    none = edit_counts.edited(kept.withColumns({"edits": F.lit(None), "tree": F.lit(None)}), BYTE).collect()
+    assert {r.doc_id: r.n_tokens for r in none} == {i: len(ids_of(t)) for i, t in held.items()}
+    assert edit_counts.with_trees(docs.limit(0), BYTE).collect() == edit_counts.edited(kept.limit(0).withColumn("edits", F.lit(None)), BYTE).collect() == []
+
+
+def test_edits_of_documents_with_a_clashing_column(spark):
+    docs = spark.createDataFrame([(1, "a", "x"), (None, "b", "y")], "doc_id long, text string, _edited string")
+    edits = spark.createDataFrame([(1, 0, 1, "c"), (None, 0, 1, "d")], "doc_id long, start long, end long, replacement string")
+    rows = {r.doc_id: (r._edited, r.edits[0].replacement) for r in edit_counts.with_edits(docs, edits).collect()}
+    assert rows == {1: ("x", "c"), None: ("y", "d")}
+
+
 def test_only_touched_pieces_are_encoded_again():
     from millrace.llm.tokens import Encoder
 
