@@ -36,7 +36,8 @@ def dense_numbers(
     of the order, is cut into ranges. The rows of each range are counted, a range that holds too many is cut
     again and counted again, and what stands before each range is added up. A row's number is that plus its
     rank within its range. Counting reads the order columns only; nothing is written, and the frame must
-    give the same rows whenever it runs. The counts, one for each million rows or so, pass through the driver.
+    give the same rows whenever it runs. It runs three times or more: a costly one is ``settled`` first. The
+    counts, one for each million rows or so, pass through the driver.
 
     Columns of the order before ``by`` have few values. When no integer column leads, the rows are dealt
     out by range instead, see :func:`dense_numbers_by_range`.
@@ -122,6 +123,11 @@ def dense_numbers_by_range(df: DataFrame, order: Sequence[str], start: int = 1,
     )
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder, for a frame that is costly to work out and read several times."""
+    return _stored(df, scratch_path(df.sparkSession, "settled"))
+
+
 def _stored(df: DataFrame, path: str) -> DataFrame:
     """The rows written to the shared folder and read back: a cut in the lineage that outlives executors."""
     df.write.parquet(path)

@@ -23,7 +23,7 @@ from millrace.model import (
 from millrace.operators.dedupe import keep_latest
 from millrace.operators.filters import in_status, materials_of, movable
 from millrace.operators.lookup import drop_known, keep_known, lookup
-from millrace.operators.sequence import dense_numbers, next_number
+from millrace.operators.sequence import dense_numbers, next_number, settled
 
 MAX_WINDOWED_WAREHOUSES = 100_000
 
@@ -105,7 +105,7 @@ def shipment_lines(bronze: DataFrame, materials: DataFrame, warehouses: DataFram
 
 
 def _numbered(lines: DataFrame, order: list[str], start: int) -> DataFrame:
-    numbered = dense_numbers(lines, order, start, by="bronze_row_id")
+    numbered = dense_numbers(settled(lines), order, start, by="bronze_row_id")
     transaction_id = format_id(TRANSACTION_PREFIX, F.col("number"), TRANSACTION_DIGITS)
     return numbered.withColumn("transaction_id", transaction_id).select(*INVENTORY_TRANSACTIONS.names)
 
