@@ -115,18 +115,19 @@ def spread_join(left: DataFrame, right: DataFrame, on: str, weight: str, spread:
 def split_join(left: DataFrame, right: DataFrame, on: str, weight: str, spread: Column, total: int, counts: DataFrame | None = None) -> DataFrame:
     """As ``spread_join``, where most often no key holds a large part of ``left``.
 
-    The keys above a thousandth of ``total``, hence fewer than a thousand, are looked up first; nothing is
-    broadcast if there are none. ``counts`` is a cheaper frame with the key and weight of ``right``.
+    The keys above a thousandth of ``total``, hence fewer than a thousand, are looked up first, and
+    cut by an expression that lists them. ``counts`` is a cheaper frame with the key and weight of ``right``.
     """
     share = F.ceil(F.col(weight) * HEAVY_SHARE / F.lit(max(total, 1))).cast("int")
-    known = (right if counts is None else counts).select(F.col(on).alias("_key"), share.alias("_of")).filter("_of > 1")
-    found = known.collect()
-    if not found:
+    known = (right if counts is None else counts).select(F.xxhash64(on).alias("_hash"), share.alias("_of")).filter("_of > 1")
+    heavy = {x["_hash"]: x["_of"] for x in known.collect()}
+    if not heavy:
         return left.join(right, on)
-    heavy = F.broadcast(left.sparkSession.createDataFrame(found, known.schema))
-    salt = F.when(F.col("_of").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread), F.col("_of"))).cast("int")
-    salted = left.join(heavy, F.col(on) == F.col("_key"), "left").withColumn("_salt", salt).drop("_key", "_of")
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(share, F.lit(1)) - 1)))
+    # both sides find the pieces by the same digest, so a colliding key is cut alike
+    of = F.create_map(*[F.lit(x) for pair in heavy.items() for x in pair])[F.xxhash64(on)]
+    pieces = F.when(F.xxhash64(on).isin(list(heavy)), of).otherwise(1)
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(spread), pieces).cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
     return salted.join(copies, [on, "_salt"]).drop("_salt")
 
 
