@@ -63,3 +63,29 @@ def test_an_order_is_emitted_once_and_only_after_its_wait(spark):
     too_late = (3, "PO1", "CANCELLED", "3", DAY + timedelta(hours=4))
     found = emitted(spark, [[early], [late], [CLOSING], [too_late], [(None, "closing", None, None, DAY + timedelta(days=900))]], restart_after=2)
     assert found == Counter({late[:4]: 1})
+
+
+def test_ids_of_one_bucket_end_their_waits_apart(spark):
+    """Ids share a state, but neither their copies nor their time."""
+    base = scratch_path(spark, "bucket")
+    parts = [
+        [(1, "PO1", "CREATED", "1", DAY), (2, "PO2", "CREATED", "1", None), (3, "PO3", None, "1", DAY + timedelta(days=20))],
+        [(5, "PO1", "DELIVERED", "2", DAY + timedelta(hours=1)), (4, "PO1", "CANCELLED", "2", DAY + timedelta(hours=2))],
+        [(6, "PO4", "CREATED", "1", DAY + timedelta(days=19))],
+    ]
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    rows = spark.readStream.schema(SCHEMA).parquet(f"{base}/in")
+    latest = latest_copies(rows, "purchase_order_id", "2 days", 60_000, buckets=1)
+    latest.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out", format="parquet").awaitTermination()
+    found = {tuple(r) for r in spark.read.schema(latest.schema).parquet(f"{base}/out").collect()}
+    assert found == {(5, "PO1", "DELIVERED", "2"), (2, "PO2", "CREATED", "1")}
+
+
+def test_a_call_into_python_takes_many_ids(spark):
+    """The groups don't grow with the ids."""
+    path = scratch_path(spark, "none")
+    spark.createDataFrame([], SCHEMA).write.parquet(path)
+    rows = spark.readStream.schema(SCHEMA).parquet(path)
+    plan = latest_copies(rows, "purchase_order_id", "2 days", 60_000)._jdf.queryExecution().analyzed().toString()
+    assert "[_bucket#" in plan.split("FlatMapGroupsInPandasWithState", 1)[1].split("\n", 1)[0]
