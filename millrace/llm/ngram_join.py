@@ -8,7 +8,8 @@ and so many of their prefixes that counting them rules most other pairs out:
 2. Groups that share a shingle in their prefixes, in places and sizes that allow the similarity, are pairs.
    Pairs are checked by the shingles common to the prefixes, and their first members by their whole sets.
    Within a group all members are verified against the first.
-3. Pairs of groups are expanded into those pairs of members that these links leave apart, and verified.
+3. Pairs of groups are expanded into those pairs of members that these links leave apart, and verified. Groups
+   share prefixes only: that their first members differ elsewhere says nothing of the others.
 4. A shingle of many groups doesn't make all of their pairs: each is held against a few pivots, as often as
    that spares work; then what is still outside the largest part there is held against the others.
 
@@ -35,9 +36,9 @@ WORDS = 3
 SIMILAR = (9, 10)
 #: Groups that share a shingle are all paired up to this number, and held against pivots beyond.
 DENSE = 32
-PIVOTS = 16
+PIVOTS = 4
 #: Most rounds of pivots: after the first only what is outside the largest part of its shingle asks.
-ROUNDS = 4
+ROUNDS = 8
 #: Bits of the digest by which shingles are counted.
 COUNTED_BITS = 22
 #: Bits of a set's sketch: each tells whether an odd number of its shingles falls there.
@@ -231,7 +232,9 @@ def _attached(pairs: DataFrame, side: str, table: DataFrame, columns: dict[str,
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) of classes, with their sizes, that their prefixes and sketches allow.
+    """The pairs (a, b) of classes, with their sizes, that their prefixes and sketches allow, and whether both do.
+
+    A class that stands for ``several`` with its prefix keeps what its prefix allows.
 
     If two sets of n and m, m the larger, share o shingles, all but n - o and m - o of their own are shared;
     so prefixes longer than that by k have k shingles in common. A bit in which their sketches differ takes a
@@ -240,15 +243,16 @@ def _likely(pairs: DataFrame, classes: DataFrame, similar: tuple[int, int]) -> D
     p, q = similar
     total = pairs.count()
     if not total:
-        return pairs.selectExpr("a", "b", "0L AS n", "0L AS n2")
-    both = _attached(pairs, "a", classes, {"n": "n", "prefix": "p1", "sketch": "k1"}, total)
-    both = _attached(both, "b", classes, {"n": "n2", "prefix": "p2", "sketch": "k2"}, total)
+        return pairs.selectExpr("a", "b", "0L AS n", "0L AS n2", "true AS alike")
+    both = _attached(pairs, "a", classes, {"n": "n", "prefix": "p1", "sketch": "k1", "several": "s1"}, total)
+    both = _attached(both, "b", classes, {"n": "n2", "prefix": "p2", "sketch": "k2", "several": "s2"}, total)
     larger = F.greatest("n", "n2")
     common = _overlap(F.col("n"), F.col("n2"), similar) + 1 - F.ceil(p * larger / F.lit(q)).cast("long")
     differ = sum((F.bit_count(F.col("k1")[i].bitwiseXOR(F.col("k2")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
     alike = differ <= F.col("n") + F.col("n2") - 2 * _overlap(F.col("n"), F.col("n2"), similar)
-    fits = alike & (q * F.least("n", "n2") >= p * larger) & (F.size(F.array_intersect("p1", "p2")) >= common)
-    return stored(both.filter(fits).select("a", "b", "n", "n2"), "likely")
+    fits = (q * F.least("n", "n2") >= p * larger) & (F.size(F.array_intersect("p1", "p2")) >= common)
+    both = both.withColumn("alike", alike).filter((F.col("alike") | F.col("s1") | F.col("s2")) & fits)
+    return stored(both.select("a", "b", "n", "n2", "alike"), "likely")
 
 
 def _verified(likely: DataFrame, classes: DataFrame, rows: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
@@ -300,9 +304,11 @@ def similar_components(
     classes = stored(numbered, "classes")  # what is written keeps its numbers
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        return _verified(_likely(stored(pairs, "pairs"), classes, similar), classes, rows, words, similar)
+        return _verified(_likely(stored(pairs, "pairs"), classes.withColumn("several", F.lit(False)), similar), classes, rows, words, similar)
 
-    groups = classes.groupBy("signature").agg(F.min("class").alias("lead"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("n_members"))
+    groups = classes.groupBy("signature").agg(
+        F.min("class").alias("lead"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min_by("sketch", "class").alias("sketch"), F.count("*").alias("n_members")
+    )
     groups = stored(groups, "groups")
     large = groups.filter("n_members > 1").select("signature", "lead", "n", "n_members")
     members = split_join(classes.select("signature", F.col("class").alias("member")), large, "signature", "n_members", F.col("member"), classes.count())
@@ -316,9 +322,11 @@ def similar_components(
     pairs = pairs.distinct().unionByName(_against_pivots(crowded, crowded, pivots, 0, similar))
 
     # first members of groups against each other, and all members against the first of their group
-    likely = _likely(stored(_ordered(pairs), "pairs"), classes, similar)
+    leads = groups.select(F.col("lead").alias("class"), "n", "prefix", "sketch", (F.col("n_members") > 1).alias("several"))
+    likely = _likely(stored(_ordered(pairs), "pairs"), leads, similar)
     stars = members.filter("lead < member").select(F.col("lead").alias("a"), F.col("member").alias("b"), "n", F.col("n").alias("n2"))
-    links = _verified(stored(likely.unionByName(stars), "first"), classes, rows, words, similar)
+    first_pairs = likely.filter("alike").drop("alike").unionByName(stars)
+    links = _verified(stored(first_pairs, "first"), classes, rows, words, similar)
     labels = components(links)
 
     # what is still apart: members of groups, and in crowded places
