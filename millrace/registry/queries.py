@@ -605,7 +605,7 @@ def snapshot_replace(spark: SparkSession, folder: str) -> DataFrame:
 def silver_by_month(spark: SparkSession, folder: str) -> DataFrame:
     """Silver orders written by month over a version in which every order stood in another month."""
     name = f"{scratch_database(spark, 'silver')}.silver_purchase_orders"
-    orders = _silver(Bridge(spark, folder), PURCHASE)
+    orders = settled(_silver(Bridge(spark, folder), PURCHASE))
     write_silver(orders.withColumn("order_date", F.add_months("order_date", -400)), name)
     write_silver(orders, name)
     return _flat(spark.table(name)).drop("order_month")
