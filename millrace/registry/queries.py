@@ -444,14 +444,16 @@ def _receipt_stream(spark: SparkSession, folder: str, runs: int) -> tuple[str, s
     b = Bridge(spark, folder)
     base = scratch_path(spark, "receipts")
     # One file per run of row ids would split copies over batches; hashing the id keeps them together.
-    b.purchase_orders.repartition(4, PURCHASE.id).select(*BRONZE_PURCHASE_ORDERS.names).write.parquet(
+    # There are two batches of files whatever the input, and a file for every core.
+    files = max(4, spark.sparkContext.defaultParallelism)
+    b.purchase_orders.repartition(files, PURCHASE.id).select(*BRONZE_PURCHASE_ORDERS.names).write.parquet(
         f"{base}/bronze"
     )
     seed_ledger(_booked_ledger(b), f"{base}/ledger", f"{base}/balances")
     snapshot = f"{scratch_database(spark, 'stock')}.inventory"
     for run in range(runs):
         book_receipts(
-            stream_bronze(spark, f"{base}/bronze", BRONZE_PURCHASE_ORDERS, files_per_batch=2),
+            stream_bronze(spark, f"{base}/bronze", BRONZE_PURCHASE_ORDERS, files_per_batch=-(-files // 2)),
             f"{base}/ledger",
             f"{base}/balances",
             b.materials,
