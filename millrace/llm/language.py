@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import from_row, in_slices, map_arrow, stored, whole_row
+from millrace.llm.shared import from_row, ship_package, stored, whole_row
 
 #: Training rows of each language, about; fewer if there are fewer.
 SAMPLE = 3_000
@@ -61,14 +62,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def _scores(rows: list, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
+def _scores(rows: pa.Table, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
     at = {x: i for i, x in enumerate(languages)}
-    units: dict[str, int] = {}
-    for row in rows:
-        units.setdefault(row["unit"], len(units))
+    coded = pa.array(rows["unit"].to_pylist(), pa.string()).dictionary_encode()
+    units = {x: i for i, x in enumerate(coded.dictionary.to_pylist())}
     counts = np.zeros((len(units), len(languages)))
-    for row in rows:
-        counts[units[row["unit"]], at[row["lang"]]] += row["n"]
+    columns = np.array([at[x] for x in rows["lang"].to_pylist()], dtype=np.int64)
+    np.add.at(counts, (coded.indices.to_numpy(zero_copy_only=False), columns), rows["n"].to_numpy())
     totals = counts.sum(axis=0)
     return units, np.log((counts + SMOOTHING) / (totals + SMOOTHING * max(len(units), 1)))
 
@@ -100,7 +100,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, kept: int = KEPT) -> Model:
     gram_at: dict[str, int] = {}
     blocks = []
     for size in GRAMS:
-        units, scores = _scores([r for r in rows if len(r["unit"]) == size], languages)
+        units, scores = _scores(rows.filter(pc.equal(pc.utf8_length(rows["unit"]), size)), languages)
         gram_at |= {x: len(gram_at) + i for x, i in units.items()}
         blocks.append(scores)
     n = np.array([next(r["n"] for r in sizes if r["lang"] == x) for x in languages], dtype=float)
@@ -111,12 +111,12 @@ def _cut(marked: Column, size: int):
     return lambda start: F.substr(marked, start, F.lit(size))
 
 
-def _most_frequent(counts: DataFrame, kept: int) -> list:
+def _most_frequent(counts: DataFrame, kept: int) -> pa.Table:
     """The ``kept`` most frequent units of each language and length group; a task sends that many of each."""
     group = F.least(F.length("unit"), F.lit(max(GRAMS)))
     order = Window.partitionBy("lang", "_group").orderBy(F.col("n").desc(), "unit")
     ranked = counts.withColumn("_group", group).withColumn("_at", F.row_number().over(order))
-    return ranked.filter(F.col("_at") <= kept).select("lang", "unit", "n").toArrow().to_pylist()
+    return ranked.filter(F.col("_at") <= kept).select("lang", "unit", "n").toArrow()
 
 
 def words_of(text: str) -> list[str]:
@@ -178,14 +178,15 @@ def detect(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(whole_row(docs).alias("_row"), F.col(text).cast("string").alias("_text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score = Scorer(shared.value)
-        for batch in in_slices(batches, 256):
-            found = [score(x) for x in batch.column(1).to_pylist()]
-            columns = [batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, ["_row", "lang_pred", "score"])
-
-    schema = rows.select("_row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return map_arrow(rows, run, schema).select(*from_row(docs, ("lang_pred", "score")), "lang_pred", "score")
+        for texts in batches:
+            found = [score(x) for at in range(0, len(texts), 256) for x in texts.slice(at, 256).to_pylist()]
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], ["lang_pred", "score"])
+
+    # only texts go through Python; a filter on the result is not to score them a second time
+    find = F.arrow_udf(run, "lang_pred string, score double").asNondeterministic()
+    ship_package(spark)
+    rows = docs.select(whole_row(docs).alias("_row"), find(F.col(text).cast("string")).alias("_found"))
+    return rows.select(*from_row(docs, ("lang_pred", "score")), "_found.lang_pred", "_found.score")

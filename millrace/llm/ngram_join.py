@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.graph import components
+from millrace.llm.graph import components, joined
 from millrace.llm.shared import from_row, in_slices, map_arrow, split_join, stored, strings, whole_row
 
 WORDS = 3
@@ -295,6 +295,7 @@ def similar_components(
     rows = _rows(docs, doc_id, text)
     by_frequency = rows.sparkSession.sparkContext.broadcast(_classes_by_frequency(rows, words))
     sets = stored(map_arrow(rows, _sets(words, by_frequency, similar), SETS), "sets")
+    by_frequency.destroy()  # the sets are written
     filled = sets.filter("n_shingles > 0")
     first = filled.groupBy("digest").agg(
         F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("least_id"), F.count("*").alias("n_docs")
@@ -327,7 +328,7 @@ def similar_components(
     stars = members.filter("lead < member").select(F.col("lead").alias("a"), F.col("member").alias("b"), "n", F.col("n").alias("n2"))
     first_pairs = likely.filter("alike").drop("alike").unionByName(stars)
     links = _verified(stored(first_pairs, "first"), classes, rows, words, similar)
-    labels = components(links)
+    labels = stored(components(links), "labels")
 
     # what is still apart: members of groups, and in crowded places
     rest = _across_groups(likely, members, labels).unionByName(_within_groups(members, labels))
@@ -343,11 +344,11 @@ def similar_components(
             found = links_of(_ordered(_against_pivots(outside, apart, pivots, seed, similar)))
             if not found.count():
                 break
-            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
+            labels = joined(labels, found)
         rest = rest.unionByName(_outside_against_all(apart, similar))
     more = links_of(_ordered(rest))
     if more.count():
-        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
+        labels = joined(labels, more)
     return _named(sets, classes, labels)
 
 
