@@ -128,10 +128,38 @@ def flag_orders(
 
 def profile(flagged: DataFrame) -> DataFrame:
     """Rows and share per flag, all flags listed. One aggregate, nothing exploded."""
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *(F.count_if(F.array_contains("dq_flags", flag)).alias(flag) for flag in FLAGS),
+    return _shares(
+        flagged.agg(
+            F.count(F.lit(1)).alias("total_rows"),
+            *(F.count_if(F.array_contains("dq_flags", flag)).alias(flag) for flag in FLAGS),
+        )
     )
+
+
+def profile_orders(
+    orders: DataFrame,
+    partners: DataFrame,
+    materials: DataFrame,
+    kind: OrderKind,
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """:func:`profile` of bronze rows, without flagging each of them.
+
+    How many rows repeat an id follows from the counts of the ids, so no row has to meet its copies.
+    """
+    kept = orders.withColumns({"_arrived_material": F.col("material_id"), "_repeated": F.lit(False)})
+    marked = with_readings(mark_references(kept, partners, materials, kind, broadcast_limit, orders), kind)
+    conditions = _conditions(kind)
+    del conditions["DUPLICATE_ID"]
+    counts = marked.agg(
+        F.count(F.lit(1)).alias("total_rows"), *(F.count_if(conditions[x]).alias(x) for x in conditions)
+    )
+    copies = orders.groupBy(kind.id).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = copies.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("DUPLICATE_ID"))
+    return _shares(counts.crossJoin(F.broadcast(repeated)).select("total_rows", *FLAGS))  # one row each
+
+
+def _shares(counts: DataFrame) -> DataFrame:
     return counts.unpivot("total_rows", list(FLAGS), "flag", "flagged_rows").withColumn(
         "share", F.round(F.try_divide("flagged_rows", "total_rows"), 4)
     )

@@ -210,7 +210,10 @@ def dq_flags_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_profile(spark: SparkSession, folder: str) -> DataFrame:
     b = Bridge(spark, folder)
-    per_kind = [quality.profile(_flagged(b, kind)).withColumn("orders", F.lit(kind.name)) for kind in (PURCHASE, SALES)]
+    per_kind = [
+        quality.profile_orders(_bronze(b, kind), _partners(b, kind), b.materials, kind).withColumn("orders", F.lit(kind.name))
+        for kind in (PURCHASE, SALES)
+    ]
     return per_kind[0].unionByName(per_kind[1])
 
 

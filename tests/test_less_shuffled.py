@@ -20,3 +20,18 @@ def test_gold_tables_read_orders_that_are_joined_already(spark, monkeypatch):
     monkeypatch.setattr(queries, "write_gold", seen)
     assert queries.gold_written(spark, FOLDER).count() == 9
     assert len(plans) == 2 and not any("Join" in x for x in plans)
+
+
+def test_profile_counts_repeated_ids_without_marking_rows(spark):
+    b = Bridge(spark, FOLDER)
+    for kind, partners in ((PURCHASE, b.suppliers), (SALES, b.customers)):
+        bronze = b.purchase_orders if kind is PURCHASE else b.sales_orders
+        no_id = bronze.limit(2).selectExpr(*[f"CAST(NULL AS STRING) AS {kind.id}" if c == kind.id else c for c in bronze.columns])
+        copies = bronze.limit(5).selectExpr(*["-bronze_row_id AS bronze_row_id" if c == "bronze_row_id" else c for c in bronze.columns])
+        no_id = no_id.selectExpr(*["-1 - bronze_row_id AS bronze_row_id" if c == "bronze_row_id" else c for c in bronze.columns])
+        for orders in (bronze.unionByName(copies).unionByName(no_id), bronze.limit(0)):
+            orders = orders.localCheckpoint()
+            marked = quality.profile(quality.flag_orders(orders, partners, b.materials, kind)).collect()
+            found = quality.profile_orders(orders, partners, b.materials, kind)
+            assert sorted(map(str, found.collect())) == sorted(map(str, marked))
+            assert "_repeated" not in found._jdf.queryExecution().optimizedPlan().toString()
