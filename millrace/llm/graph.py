@@ -64,19 +64,27 @@ def _settled(links: DataFrame) -> tuple[int, int]:
     return row[0], row[1]
 
 
+def _put_together(links: DataFrame, purpose: str) -> DataFrame:
+    return stored(map_arrow(links, _forests, "u long, v long, part long"), purpose)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of ``links`` (a, b): the label is the smallest node it is connected with.
 
     Tasks first put the links they hold together; links that were few enough for one part of one task are
     stars then. Otherwise two steps alternate until nothing changes: all larger neighbours of a node are linked
     to its smallest one, then all smaller ones. The links never grow in number and end as stars, after about the
-    logarithm of the number of nodes. Links to oneself and repeated links don't matter; no links give no rows.
+    logarithm of the number of nodes; once they are no more than a task puts together at once, one task ends it.
+    Links to oneself and repeated links don't matter; no links give no rows.
     """
-    forests = stored(map_arrow(links.select("a", "b"), _forests, "u long, v long, part long"), "links")
+    forests = _put_together(links.select("a", "b"), "links")
     edges = forests.select("u", "v")
     least, most = forests.agg(F.min("part"), F.max("part")).first()
     known = _settled(edges) if least != most else (0, 0)
     while known[0]:
+        if known[0] < AT_ONCE:
+            edges = _put_together(edges.coalesce(1), "last-links").select("u", "v")
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         larger = _to_minimum(both, 2 * known[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(larger.filter("u > v").distinct(), "large-star")
@@ -99,7 +107,7 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """
     ends = links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("_a")), "a", "left")
     ends = ends.join(labels.select(F.col("node").alias("b"), F.col("label").alias("_b")), "b", "left")
-    between = ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).filter("a != b").distinct()
+    between = ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).filter("a != b")
     found = stored(components(between), "joined")
     sizes = stored(labels.groupBy("label").agg(F.count("*").alias("_nodes")), "label-sizes")
     names = found.select(F.col("node").alias("label"), F.col("label").alias("_name"))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.graph import components, joined
-from millrace.llm.shared import from_row, in_slices, map_arrow, split_join, stored, strings, whole_row
+from millrace.llm.shared import FEW, from_row, in_slices, map_arrow, split_join, stored, strings, whole_row
 
 WORDS = 3
 #: Least similarity as a fraction of whole numbers.
@@ -37,7 +37,8 @@ SIMILAR = (9, 10)
 #: Groups that share a shingle are all paired up to this number, and held against pivots beyond.
 DENSE = 32
 PIVOTS = 4
-#: Most rounds of pivots: after the first only what is outside the largest part of its shingle asks.
+#: Most rounds of pivots: after the first only what is outside the largest part of its shingle asks. They end when
+#: a task could make the pairs that are left, or when a round spared less than a quarter of them.
 ROUNDS = 8
 #: Bits of the digest by which shingles are counted.
 COUNTED_BITS = 22
@@ -192,6 +193,12 @@ def _may_match(similar: tuple[int, int]) -> Column:
     return (q * F.least(left, right) >= p * F.greatest(left, right)) & (after >= _overlap(left, right, similar))
 
 
+def _alike(left: str, right: str, similar: tuple[int, int]) -> Column:
+    """Whether sets of n and n2 may be similar by two columns with their sketches."""
+    differ = sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return differ <= F.col("n") + F.col("n2") - 2 * _overlap(F.col("n"), F.col("n2"), similar)
+
+
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
@@ -225,7 +232,13 @@ def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _attached(pairs: DataFrame, side: str, table: DataFrame, columns: dict[str, str], total: int) -> DataFrame:
-    """Pairs with columns of one side's class; a class of very many pairs is cut into pieces."""
+    """Pairs with columns of one side's class; a class of very many pairs is cut into pieces.
+
+    Of few pairs the classes are broadcast, so that only what they ask for is shuffled.
+    """
+    if total <= FEW:
+        asked = table.join(F.broadcast(pairs.select(F.col(side).alias("class"))), "class", "left_semi")
+        return pairs.join(asked.select(F.col("class").alias(side), *[F.col(x).alias(y) for x, y in columns.items()]), side)
     weights = pairs.groupBy(F.col(side).alias("_of")).agg(F.count("*").alias("_weight"))
     right = weights.join(table, F.col("_of") == F.col("class")).select(F.col("_of").alias(side), "_weight", *[F.col(x).alias(y) for x, y in columns.items()])
     return split_join(pairs, right, side, "_weight", F.col("b" if side == "a" else "a"), total, weights.withColumnRenamed("_of", side)).drop("_weight")
@@ -244,14 +257,16 @@ def _likely(pairs: DataFrame, classes: DataFrame, similar: tuple[int, int]) -> D
     total = pairs.count()
     if not total:
         return pairs.selectExpr("a", "b", "0L AS n", "0L AS n2", "true AS alike")
-    both = _attached(pairs, "a", classes, {"n": "n", "prefix": "p1", "sketch": "k1", "several": "s1"}, total)
-    both = _attached(both, "b", classes, {"n": "n2", "prefix": "p2", "sketch": "k2", "several": "s2"}, total)
+    both = _attached(pairs, "a", classes, {"n": "n", "sketch": "k1", "several": "s1"}, total)
+    both = _attached(both, "b", classes, {"n": "n2", "sketch": "k2", "several": "s2"}, total)
     larger = F.greatest("n", "n2")
+    both = both.withColumn("alike", _alike("k1", "k2", similar)).filter((F.col("alike") | F.col("s1") | F.col("s2")) & (q * F.least("n", "n2") >= p * larger))
+    # few pairs are left, so the longer prefixes are attached to those only
+    sketched = stored(both.select("a", "b", "n", "n2", "alike"), "sketched")
+    total = sketched.count()
+    both = _attached(_attached(sketched, "a", classes, {"prefix": "p1"}, total), "b", classes, {"prefix": "p2"}, total)
     common = _overlap(F.col("n"), F.col("n2"), similar) + 1 - F.ceil(p * larger / F.lit(q)).cast("long")
-    differ = sum((F.bit_count(F.col("k1")[i].bitwiseXOR(F.col("k2")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    alike = differ <= F.col("n") + F.col("n2") - 2 * _overlap(F.col("n"), F.col("n2"), similar)
-    fits = (q * F.least("n", "n2") >= p * larger) & (F.size(F.array_intersect("p1", "p2")) >= common)
-    both = both.withColumn("alike", alike).filter((F.col("alike") | F.col("s1") | F.col("s2")) & fits)
+    both = both.filter(F.size(F.array_intersect("p1", "p2")) >= common)
     return stored(both.select("a", "b", "n", "n2", "alike"), "likely")
 
 
@@ -283,6 +298,7 @@ def similar_components(
     pivots: int = PIVOTS,
     doc_id: str = "doc_id",
     text: str = "text",
+    round_from: int = PAIRS_AT_ONCE,
 ) -> DataFrame:
     """One row per row: doc_id, n_shingles and component_id, the smallest id reachable by links.
 
@@ -290,7 +306,8 @@ def similar_components(
     null text, or one without words, has no shingle, is linked with nothing and is its own component; so
     is any document without a link. Repeated rows are in one component like equal texts. A null id is a
     document like others, but never names a component that has another. An empty table gives no rows, other
-    columns aren't read. ``doc_id`` must be an integer column.
+    columns aren't read. ``doc_id`` must be an integer column. Pivots are drawn anew only where that may spare
+    more than ``round_from`` pairs; it changes no result.
     """
     rows = _rows(docs, doc_id, text)
     by_frequency = rows.sparkSession.sparkContext.broadcast(_classes_by_frequency(rows, words))
@@ -335,17 +352,20 @@ def similar_components(
     if crowded.count():
         expanded = crowded.join(members.select(F.col("lead").alias("_lead"), "member"), F.col("lead") == F.col("_lead"), "left")
         places = stored(expanded.withColumn("lead", F.coalesce("member", "lead")).select(*crowded.columns), "places")
+        before = None
         for seed in range(1, ROUNDS + 1):
             apart = _apart(places, labels)
             outside = apart.filter("label != main")
             spared, made = outside.agg(F.sum("_m"), F.count("*") * 2 * pivots).first()
-            if seed == ROUNDS or (spared or 0) <= made:
+            spent = (spared or 0) <= max(made, round_from) or (before and 4 * spared > 3 * before)
+            if seed == ROUNDS or spent:
                 break
+            before = spared
             found = links_of(_ordered(_against_pivots(outside, apart, pivots, seed, similar)))
             if not found.count():
                 break
             labels = joined(labels, found)
-        rest = rest.unionByName(_outside_against_all(apart, similar))
+        rest = rest.unionByName(_outside_against_all(apart, classes, similar))
     more = links_of(_ordered(rest))
     if more.count():
         labels = joined(labels, more)
@@ -372,14 +392,18 @@ def _apart(places: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(apart.select("shingle", "lead", "n", "pos", "label", "main", "_main", "_m"), "apart")
 
 
-def _outside_against_all(apart: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """Pairs of places of a shingle with different labels; a shingle of very many is cut into pieces."""
+def _outside_against_all(apart: DataFrame, classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Pairs of places of a shingle with different labels whose sketches allow them; a shingle of very many is cut into pieces."""
+    asked = classes.select(F.col("class").alias("lead"), "sketch")
+    if apart.count() <= FEW:
+        asked = asked.join(F.broadcast(apart.select("lead")), "lead", "left_semi")
+    apart = stored(apart.join(asked, "lead"), "apart-sketched")
     pieces = F.ceil((F.col("_m") - F.col("_main")) * F.col("_m") / PAIRS_AT_ONCE).cast("int")
     outside = apart.filter("label != main").withColumn("_piece", F.pmod(F.xxhash64("lead"), pieces).cast("int"))
     other = apart.select("shingle", F.col("lead").alias("lead2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("label").alias("label2"),
-                         (F.col("label") == F.col("main")).alias("in_main2"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("_piece"))
+                         F.col("sketch").alias("sketch2"), (F.col("label") == F.col("main")).alias("in_main2"), F.explode(F.sequence(F.lit(0), pieces - 1)).alias("_piece"))
     once = F.col("in_main2") | (F.col("lead") < F.col("lead2"))
-    cross = outside.join(other, ["shingle", "_piece"]).filter((F.col("label") != F.col("label2")) & once & _may_match(similar))
+    cross = outside.join(other, ["shingle", "_piece"]).filter((F.col("label") != F.col("label2")) & once & _may_match(similar) & _alike("sketch", "sketch2", similar))
     return cross.select(F.col("lead").alias("a"), F.col("lead2").alias("b"))
 
 
