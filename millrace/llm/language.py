@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm import tokens
 from millrace.llm.shared import from_row, ship_package, stored, whole_row
 
 #: Training rows of each language, about; fewer if there are fewer.
@@ -180,6 +181,7 @@ def detect(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens.forget()  # workers that packed before are used again
         score = Scorer(shared.value)
         for texts in batches:
             found = [score(x) for at in range(0, len(texts), 256) for x in texts.slice(at, 256).to_pylist()]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import in_slices, map_arrow, stored, strings
-from millrace.llm.tokens import encoder
+from millrace.llm.tokens import REMEMBERED, encoder
 
 CAPACITY = 2048
 #: Rounds in which a configuration takes a small share of its lengths' counts, and that share.
@@ -176,12 +176,12 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Slots:
     return Slots(*columns, sequence)
 
 
-def _pieces(path: str, end_id: int, capacity: int):
+def _pieces(path: str, end_id: int, capacity: int, remembered: int):
     """Batches of documents to batches of pieces, numbered within their length and task."""
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, part = encoder(path).encode, TaskContext.get().partitionId()
+        ids_of, part = encoder(path, remembered).encode, TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in in_slices(batches):
             out: list[list] = [[] for _ in range(5)]
@@ -220,15 +220,24 @@ def _placed(slots: Slots):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int = 0,
+    capacity: int = CAPACITY,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    remembered: int = REMEMBERED,
+) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its token ids and ``end_id``; longer ones than ``capacity`` are cut into pieces of it.
     A null or empty text is the end id alone, a null doc_id stays null, repeated rows are packed each, an
-    empty table gives no rows, and other columns aren't read. ``doc_id`` must be an integer column.
+    empty table gives no rows, and other columns aren't read. ``doc_id`` must be an integer column. A worker
+    remembers ``remembered`` words in each of two generations; it changes no result.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    pieces = stored(map_arrow(rows, _pieces(tokenizer, end_id, capacity), PIECES), "pieces")
+    pieces = stored(map_arrow(rows, _pieces(tokenizer, end_id, capacity, remembered), PIECES), "pieces")
     counts = pieces.groupBy("length", "_part").agg(F.count("*").alias("_n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -28,7 +28,7 @@ _WORD = re.compile(rf" ?[{LETTERS}]+")
 #: Characters on whose class the libraries may differ.
 _ODD = "\x1c\x1d\x1e\x1f"
 #: White space and then a blank: such texts aren't cut at each blank.
-_UNEVEN = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
+_UNEVEN = {chr(c): chr(c) + " " for c in range(0x3001) if chr(c).isspace()}
 #: Entries of a generation of what a worker remembers, some 100 bytes each; changes no result.
 REMEMBERED = 250_000
 #: Characters of the longest entry that is remembered; longer ones seldom come again.
@@ -77,8 +77,11 @@ class _Pieces(_Remembered):
         super().__init__(encoder.remembered)
         self.encoder, self.blank = encoder, blank
         self.tokenize, self.letters = encoder.tokenizer.model.tokenize, _byte_letters()
+        self.before = blank.translate(self.letters)
 
     def value(self, key: str) -> bytes:
+        if key.isascii() and key.isalpha():  # each letter is its own byte
+            return array("I", [t.id for t in self.tokenize(key.lower() if self.encoder.folds else self.before + key)]).tobytes()
         plain = _PLAIN.fullmatch(key)
         if plain:
             word, marks = plain.groups()
@@ -131,7 +134,7 @@ class Encoder:
             return b""
         if any(x in text for x in _ODD):
             return self.others[text]
-        if any(x in text for x in _UNEVEN):
+        if any(pair in text for x, pair in _UNEVEN.items() if x in text):
             return b"".join([self.first[x] for x in _SEGMENT.findall(text)])
         first, *rest = text.split(" ")
         return (self.first[first] if first else b"") + b"".join(map(self.rest.__getitem__, rest))
@@ -143,6 +146,11 @@ def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     return Encoder(path, remembered)
 
 
+def forget() -> None:
+    """Gives back what this worker remembers, before it does something else that takes memory."""
+    encoder.cache_clear()
+
+
 def segments(text: str) -> list[str]:
     """Cuts a text where the ids of both sides do not depend on each other."""
     return [text] if any(x in text for x in _ODD) else _SEGMENT.findall(text)
