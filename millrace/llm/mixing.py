@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import from_row, n_words, spread_join, stored, whole_row
+from millrace.llm.shared import WORD, from_row, n_words, spread_join, stored, whole_row
 
 #: Weights of the sources in their order, repeated.
 WEIGHTS = (5, 2, 1)
@@ -25,6 +25,10 @@ SHARE = 1.5
 EPOCHS = 2
 #: Cells of a source.
 CELLS = 1024
+#: Quality weights of documents labelled good and bad; others weigh 1.
+GOOD, BAD = 2.0, 0.5
+#: Sources whose bounds are broadcast, those of most documents.
+BOUNDED = 1000
 #: Hexadecimal digits of the digest that a document's draw is made of.
 DIGITS = 13
 
@@ -36,6 +40,17 @@ def draw(doc_id: Column, seed: str = "") -> Column:
     return (number + 1) / float(16**DIGITS)
 
 
+def _key(doc_id: Column, quality: Column | None, seed: str) -> Column:
+    """The exponential key of a document; the smaller, the sooner it is taken."""
+    weight = F.coalesce(F.lit(1.0) if quality is None else quality.cast("double"), F.lit(1.0))
+    return -F.log(draw(doc_id, seed)) / weight
+
+
+def _epochs() -> Column:
+    """How often all documents of a source are taken, by its target."""
+    return F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
+
+
 def source_targets(sources: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """Adds ``target`` to a table of one row per ``source`` and its ``source_size``.
 
@@ -82,8 +97,7 @@ def mix(
     gives no rows. Columns of the input that have one of the new names are replaced.
     """
     size = n_words(F.col("text")) if size is None else size
-    weight = F.coalesce(F.lit(1.0) if quality is None else quality.cast("double"), F.lit(1.0))
-    key = -F.log(draw(F.col(doc_id), seed)) / weight
+    key = _key(F.col(doc_id), quality, seed)
     # 1 - exp(-key) grows with the key and lies in [0, 1)
     cell = F.least(F.floor((1 - F.exp(-F.col("_key"))) * cells), F.lit(cells - 1)).cast("int")
     rows = docs.select(
@@ -100,10 +114,9 @@ def mix(
     within = Window.partitionBy("_name", "_cell").orderBy("_key", "_id", "size")
     rows = rows.withColumn("_before", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     same = F.col("_name").eqNullSafe(F.col("_source")) & (F.col("_cell") == F.col("_at"))
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("_epochs") * F.col("source_size")
     middle = F.col("_start") + F.col("_before") + F.col("size") / 2
-    chosen = rows.join(starts, same).withColumn("_epochs", epochs.cast("int"))
+    chosen = rows.join(starts, same).withColumn("_epochs", _epochs())
     copies = F.when(F.col("size") == 0, 0).otherwise(F.col("_epochs") + (middle <= rest).cast("int"))
     new = ("size", "source_size", "target", "copies", "taken")
     mixed = chosen.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
@@ -122,28 +135,57 @@ def with_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id") ->
 def label_quality(labels: DataFrame) -> DataFrame:
     """One row per labelled id: weight 2 for good, 1/2 for bad; the best of repeated labels holds."""
     good = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("q"))
-    return good.select(F.col("doc_id").alias("_labelled"), F.when(F.col("q") > 0, 2.0).otherwise(0.5).alias("_quality"))
+    return good.select(F.col("doc_id").alias("_labelled"), F.when(F.col("q") > 0, GOOD).otherwise(BAD).alias("_quality"))
+
+
+def _bounds(groups: DataFrame) -> DataFrame:
+    """One row per source with words: its epochs, the largest key that is taken once more and the smallest that is not.
+
+    Only the sources of most documents are listed, so the table may be broadcast whatever the input.
+    """
+    sized = groups.filter("_group.c > 0")
+    once_more = F.col("_least") + (F.col("_more") > 0).cast("int") > F.col("_epochs")
+    left_out = F.col("_least") == F.col("_epochs")
+    bounds = sized.groupBy(F.col("_group.b").alias("_source")).agg(
+        F.max("_epochs").alias("_epochs"), F.max(F.when(once_more, F.col("_key"))).alias("_last_in"), F.min(F.when(left_out, F.col("_key"))).alias("_first_out"), F.sum("_rows").alias("_docs")
+    )
+    return bounds.orderBy(F.desc("_docs"), "_source").limit(BOUNDED).drop("_docs")
 
 
 def mixed_rows(docs: DataFrame, labels: DataFrame, seed: str = "", doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The documents as often as the mix takes them: a document taken twice is there twice, with all its columns.
 
     What is mixed are ids, sources and sizes. Rows that agree in these are one group with one number of
-    copies, or, at the end of a budget, with one more for some of them, in the order of their texts. Whole
+    copies, or, at the end of a budget, with one more for some of them, in the order of their texts. A row
+    that its source takes alike with the best and the worst quality is copied where it is. The other
     rows are shuffled once, to meet their group; a large group is cut into pieces. Nulls, repeated rows,
     empty texts and empty tables are as in :func:`mix`.
     """
-    key = F.struct(F.col(doc_id).alias("a"), F.col(source).alias("b"), n_words(F.col(text)).alias("c"))
+    key = F.struct(F.col("_id").alias("a"), F.col("_name").alias("b"), n_words(F.col("_text")).alias("c"))
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("_n"))
     rows, quality = with_quality(narrow, labels)
     taken = mix(rows, quality, F.col("_n"), seed).withColumn("_group", F.struct(F.col("doc_id").alias("a"), F.col("source").alias("b"), F.col("size").alias("c")))
-    groups = taken.groupBy("_group").agg(F.count("*").alias("_rows"), F.min("copies").alias("_least"), F.sum("copies").alias("_sum"))
-    groups = stored(groups.withColumn("_more", F.col("_sum") - F.col("_least") * F.col("_rows")).filter("_sum > 0").drop("_sum"), "copies")
-    spread = F.xxhash64(F.col("_row"))
-    found = spread_join(docs.select(whole_row(docs).alias("_row"), key.alias("_group"), F.col(text).alias("_text")), groups, "_group", "_rows", spread)
+    taken = taken.withColumns({"_key": _key(F.col("doc_id"), quality, seed), "_epochs": _epochs()})
+    groups = taken.groupBy("_group").agg(
+        F.count("*").alias("_rows"), F.min("copies").alias("_least"), F.sum("copies").alias("_sum"), F.max("_key").alias("_key"), F.max("_epochs").alias("_epochs")
+    )
+    groups = stored(groups.withColumn("_more", F.col("_sum") - F.col("_least") * F.col("_rows")), "copies")
+    bounds = _bounds(groups)
+    whole = docs.select(whole_row(docs).alias("_row"), F.col(doc_id).alias("_id"), F.col(source).alias("_name"), F.col(text).alias("_text"))
+    known = whole.join(F.broadcast(bounds), F.col("_name").eqNullSafe(F.col("_source")), "left")
+    worst, best = (_key(F.col("_id"), F.lit(x), seed) for x in (BAD, GOOD))
+    surely_in = F.col("_first_out").isNull() | (worst < F.col("_first_out"))
+    surely_out = F.col("_last_in").isNull() | (best > F.col("_last_in"))
+    # no copies are known of a source that is not listed
+    copies = F.when(~F.coalesce(F.col("_text").rlike(WORD), F.lit(False)), 0).when(surely_in, F.col("_epochs") + 1).when(surely_out, F.col("_epochs"))
+    known = known.withColumn("_copies", F.when(F.col("_epochs").isNotNull(), copies))
+    sure = known.filter("_copies IS NOT NULL").select("_row", "_copies")
+    unsure = known.filter("_copies IS NULL").select("_row", key.alias("_group"), "_text")
+    groups = groups.filter("_sum > 0").drop("_sum", "_key", "_epochs")
+    found = spread_join(unsure, groups, "_group", "_rows", F.xxhash64(F.col("_row")))
     alike = found.filter("_more = 0").select("_row", F.col("_least").alias("_copies"))
     order = Window.partitionBy("_group").orderBy(F.xxhash64("_text"), "_text")
     some = found.filter("_more > 0").withColumn("_nth", F.row_number().over(order))
     apart = some.select("_row", (F.col("_least") + (F.col("_nth") <= F.col("_more")).cast("int")).alias("_copies"))
-    every = alike.unionByName(apart)
+    every = sure.unionByName(alike).unionByName(apart)
     return every.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select(*from_row(docs))

@@ -214,8 +214,9 @@ def _classes_by_frequency(rows: DataFrame, words: int) -> np.ndarray:
     return classes
 
 
-def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose id may be among the wanted ones: all that are and, by a filter of fixed size, few others.
+def _maybe(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Adds ``_maybe``: whether a row's id may be among the wanted ``_id``; true for all that are and, by a filter
+    of fixed size, few others.
 
     The filter is a bitmap of digests, a megabyte at most, so it is broadcast; it spares the shuffle of
     texts nobody asks for. What passes is joined with the wanted ids afterwards.
@@ -223,12 +224,17 @@ def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     place = F.pmod(F.xxhash64(F.coalesce(F.col("_of"), F.lit(0))), F.lit(1 << FILTER_BITS))
     bits = wanted.select(F.col("_id").alias("_of")).withColumn("_place", place)
     maps = bits.groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
-    asked = rows.withColumn("_of", F.col("doc_id")).withColumn("_place", place)
-    joined = asked.join(F.broadcast(maps), F.bitmap_bucket_number("_place") == F.col("_bucket"))
+    asked = rows.withColumn("_of", F.col(key)).withColumn("_place", place)
+    joined = asked.join(F.broadcast(maps), F.bitmap_bucket_number("_place") == F.col("_bucket"), "left")
     position = F.bitmap_bit_position("_place")
     byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     is_set = F.getbit(byte, (position % 8).cast("int")) == 1
-    return joined.filter(is_set).select(*rows.columns)
+    return joined.select(*rows.columns, F.coalesce(is_set, F.lit(False)).alias("_maybe"))
+
+
+def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose id may be among the wanted ones."""
+    return _maybe(rows, "doc_id", wanted).filter("_maybe").drop("_maybe")
 
 
 def _attached(pairs: DataFrame, side: str, table: DataFrame, columns: dict[str, str], total: int) -> DataFrame:
@@ -471,8 +477,13 @@ def _named(sets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, similar: tuple[int, int] = SIMILAR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that name their component, with all their columns; rows with the same id stay together."""
+    """The documents that name their component, with all their columns; rows with the same id stay together.
+
+    Those that go are fewer than those that stay, so only rows that may go are shuffled, to meet the ids that do.
+    """
     found = similar_components(docs, words, similar, doc_id=doc_id, text=text)
-    names = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_name")).distinct(), "named")
-    rows = docs.select(whole_row(docs).alias("_row"), F.col(doc_id).cast("long").alias("_id"))
-    return rows.join(names, F.col("_id").eqNullSafe(F.col("_name")), "left_semi").select(*from_row(docs))
+    names = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    going = stored(found.groupBy("doc_id").agg(names.alias("_stays")).filter("NOT _stays").select(F.col("doc_id").alias("_id")), "going")
+    rows = _maybe(docs.select(whole_row(docs).alias("_row"), F.col(doc_id).cast("long").alias("_own")), "_own", going)
+    asked = rows.filter("_maybe").join(going, F.col("_own").eqNullSafe(F.col("_id")), "left_anti")
+    return rows.filter("NOT _maybe").unionByName(asked).select(*from_row(docs))
