@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from millrace.llm import language, packing, tokens
 from millrace.llm.queries import WORD_VOCABULARY
 
@@ -32,6 +33,13 @@ def test_a_worker_forgets_words_when_it_finds_languages(spark, monkeypatch):
     assert not tokens.encoder.cache_info().currsize
 
 
+def test_the_pipeline_packs_with_fewer_words_remembered(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(packing, "pack", lambda docs, path, **options: asked.append(options))
+    corpus_pipeline.packed(spark, None, "")
+    assert asked[0]["remembered"] < tokens.REMEMBERED
+
+
 def test_packing_is_the_same_whatever_is_remembered(spark):
     docs = spark.createDataFrame([(i, f"text {i} of some words " * (i % 9)) for i in range(60)], "doc_id long, text string").coalesce(1)
     path = public_tokenizers.path(WORD_VOCABULARY)
