@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -70,14 +70,23 @@ def with_file_order(df: DataFrame) -> DataFrame:
     """Columns that order rows as if the files were read one after the other by name.
 
     A split of a file is read in order by one task, so the row counter of the task orders
-    its lines; the split's start offset orders the splits.
+    its lines; the split's start offset orders the splits. Files are numbered, as rows that
+    carry a path are mostly path. How many slashes follow a scheme differs between the list and the rows.
     """
-    return df.select(
+
+    def same(path: str) -> Column:
+        return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+    numbers = df.sparkSession.createDataFrame(list(enumerate(sorted(df.inputFiles()))), "_number int, _name string")
+    placed = df.select(
         "*",
-        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_offset"),
         F.monotonically_increasing_id().alias("_line"),
     )
+    unlisted = F.raise_error(F.concat(F.lit("not among the files listed: "), F.col("_path"))).cast("int")
+    numbered = placed.join(F.broadcast(numbers), same("_path") == same("_name"), "left")
+    return numbered.withColumn("_file", F.coalesce("_number", unlisted)).select(*df.columns, *FILE_ORDER)
 
 
 def import_csv(spark: SparkSession, paths: str | list[str], schema: StructType, key: str, multi_line: bool = False) -> DataFrame:

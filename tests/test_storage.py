@@ -202,6 +202,19 @@ def test_import_keeps_the_last_row_in_file_order(spark, tmp_path):
     assert [(r.purchase_order_id, r.quantity) for r in got.collect()] == [("PO1", "4")]
 
 
+def test_rows_in_file_order_carry_no_path(spark, tmp_path):
+    header = ",".join(model.RAW_PURCHASE_ORDERS.names)
+    for n, name in enumerate(("a b.csv", "a%20b.csv", "ä.csv", "z.csv")):
+        (tmp_path / name).write_text(f"{header}\nPO1,2025-01-01,SUP001,RM0001,{n},2025-01-02,CREATED\n")
+    ordered = readers.with_file_order(readers.read_csv(spark, str(tmp_path), model.RAW_PURCHASE_ORDERS))
+    assert dict(ordered.dtypes)["_file"] == "int"
+    paths = [r[0] for r in readers.read_csv(spark, str(tmp_path), model.RAW_PURCHASE_ORDERS).select("_metadata.file_path").collect()]
+    by_number = ordered.orderBy("_file").select("_file", "quantity").collect()
+    assert [r._file for r in by_number] == [0, 1, 2, 3] and len(set(paths)) == 4
+    got = readers.import_csv(spark, str(tmp_path), model.RAW_PURCHASE_ORDERS, PURCHASE.id).collect()
+    assert [r.quantity for r in got] == [by_number[-1].quantity]
+
+
 def test_import_order_holds_over_many_splits(spark, tmp_path):
     header = ",".join(model.RAW_PURCHASE_ORDERS.names)
     lines = [f"PO{n % 50},2025-01-01,SUP001,RM0001,{n},2025-01-02,CREATED" for n in range(4000)]
