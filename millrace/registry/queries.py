@@ -42,7 +42,7 @@ from millrace.sources.ledger import repair_stored_orders
 from millrace.sources.monthly import change_orders, gold_of_months, partial_table, read_months, store_orders
 from millrace.sources.sinks import append_table, replace_table, upsert_buckets, without_audit, write_csv, write_silver
 from millrace.streaming.ingest import ingest_files
-from millrace.streaming.latest import latest_copies
+from millrace.streaming.latest import buckets_for, latest_copies, room_for
 from millrace.streaming.masters import upsert_stream
 from millrace.streaming.receipts import book_receipts, read_ledger, seed_ledger, stream_bronze
 from millrace.streaming.rescue import ingest_rescued
@@ -544,8 +544,10 @@ def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
     closing = spark.range(1).select(F.lit("closing").alias(PURCHASE.id), F.timestamp_seconds(F.lit(1_800_000_000)).alias("event_time"))
     closing.withColumns(nothing).select(*copies.columns).write.mode("append").parquet(f"{base}/in")
     rows = spark.readStream.schema(copies.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    latest = latest_copies(rows, PURCHASE.id, "2 days", 3_600_000)
-    query = latest.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out", format="parquet")
+    waiting = spark.read.schema(copies.schema).parquet(f"{base}/in").count()
+    latest = latest_copies(rows, PURCHASE.id, "2 days", 3_600_000, buckets=buckets_for(waiting))
+    with room_for(spark, waiting):
+        query = latest.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/out", format="parquet")
     query.awaitTermination()
     return spark.read.schema(latest.schema).parquet(f"{base}/out")
 
