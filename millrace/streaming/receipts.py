@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from millrace.model import INVENTORY_TRANSACTIONS
-from millrace.plans.movements import new_receipts, next_transaction
+from millrace.model import INVENTORY_TRANSACTIONS, PURCHASE
+from millrace.plans.movements import fulfilled_orders, new_receipts, next_transaction
+from millrace.session import discard, scratch_path
 from millrace.streaming.ingest import run_name
 from millrace.streaming.references import (
     BATCH,
@@ -59,8 +60,9 @@ def book_batch(
 ):
     """Writes the receipts of one micro-batch and what they change in stock.
 
-    Of the ledger only the folders are read whose bitmaps meet ids of the batch. Stock grows by a folder of
-    changes, merged into the base now and then. With ``snapshot`` the whole stock is also published as a
+    The batch is read once: every look at it would read its files again in full, and choose the latest copies
+    again, so the fulfilled orders are stored and all else reads those. Of the ledger only the folders are read
+    whose bitmaps meet ids of theirs. Stock grows by a folder of changes, merged into the base now and then. With ``snapshot`` the whole stock is also published as a
     table after each batch. One run at a time books into a ledger.
     """
 
@@ -70,11 +72,16 @@ def book_batch(
         if batch_id == 0:
             add_missing(spark, ledger_path, balance_path)
         others = {(r, b) for r, b in folders(spark, ledger_path) if r != name or b < batch_id}
-        met = meeting(batch, ledger_path, others)
+        fulfilled = fulfilled_orders(batch, PURCHASE).select("bronze_row_id", PURCHASE.id, "material_id", "quantity", PURCHASE.delivery)
+        staged = scratch_path(spark, "fulfilled")
+        fulfilled.write.parquet(staged)
+        orders = spark.read.schema(fulfilled.schema).parquet(staged)
+        met = meeting(orders, ledger_path, others)
         booked_before = read_ledger(spark, ledger_path).where(of_folders(met))
         own_path = folder(ledger_path, name, batch_id)
-        receipts = new_receipts(batch, booked_before, materials, warehouses, _next_number(spark, ledger_path, others))
+        receipts = new_receipts(batch, booked_before, materials, warehouses, _next_number(spark, ledger_path, others), orders)
         receipts.write.mode("overwrite").parquet(own_path)
+        discard(spark, staged)
 
         booked = spark.read.schema(INVENTORY_TRANSACTIONS).parquet(own_path)
         write_references(booked, folder(references_path(ledger_path), name, batch_id))

@@ -1,7 +1,7 @@
 """Which folders of the ledger a batch of orders can meet, without reading the ledger.
 
 Beside each folder lies what it has booked: bitmaps of the numbers in its order ids, one for each range of
-numbers, whether it has ids of another form, and its highest transaction number. A batch's own bitmaps
+numbers, whether it has ids of another form, and the highest transaction numbers. A batch's own bitmaps
 are ANDed with them; folders that meet none of its ids are not read. Bitmaps say which number, not which text, so
 the ids themselves are compared in the folders that are left.
 """
@@ -19,6 +19,9 @@ from millrace.model import GOODS_RECEIPT, PURCHASE, TRANSACTION_PREFIX
 RUN, BATCH = "receipt_run", "receipt_batch"
 FIELDS = f"bucket bigint, bits binary, last_number bigint, {RUN} string, {BATCH} bigint"
 
+#: The bucket of ledger rows that book no order; those of order numbers start at 1.
+NO_ORDER = -1
+
 Folder = tuple[str, int]
 
 
@@ -47,22 +50,37 @@ def of_folders(wanted: set[Folder]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def _order_number(reference: Column) -> Column:
+    number = parse_id(reference, PURCHASE.id_prefix)
+    return F.when(number > 0, number)
+
+
+def _bitmap() -> Column:
+    return F.bitmap_construct_agg(F.bitmap_bit_position(F.coalesce("number", F.lit(1))))
+
+
 def _bits(ids: DataFrame, reference: str) -> DataFrame:
     """Bitmaps of the numbers in the ids; those of another form make a row with a NULL bucket."""
-    number = parse_id(F.col(reference), PURCHASE.id_prefix)
-    usable = ids.where(F.col(reference).isNotNull()).select(F.when(number > 0, number).alias("number"))
-    return usable.groupBy(F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(F.coalesce("number", F.lit(1)))).alias("bits")
-    )
+    usable = ids.where(F.col(reference).isNotNull()).select(_order_number(F.col(reference)).alias("number"))
+    return usable.groupBy(F.bitmap_bucket_number("number").alias("bucket")).agg(_bitmap().alias("bits"))
 
 
 def write_references(ledger: DataFrame, path: str) -> None:
-    """What the rows of one ledger folder have booked; also for a folder without rows."""
-    receipts = ledger.where(F.col("transaction_type") == GOODS_RECEIPT)
-    numbers = F.max(parse_id(F.col("transaction_id"), TRANSACTION_PREFIX)).alias("last_number")
-    bits = _bits(receipts, "reference_id").withColumn("last_number", F.lit(None).cast("bigint"))
-    last = ledger.agg(numbers).select(F.lit(-1).cast("bigint").alias("bucket"), F.lit(None).cast("binary").alias("bits"), "last_number")
-    bits.unionByName(last).coalesce(1).write.mode("overwrite").parquet(path)
+    """What the rows of one ledger folder have booked; also for a folder without rows.
+
+    Each bucket has the highest transaction number of its rows, so the ledger is read once. Rows that book no
+    order have a bucket of their own, without bits.
+    """
+    order = F.when(F.col("transaction_type") == GOODS_RECEIPT, F.col("reference_id"))
+    rows = ledger.select(
+        order.isNull().alias("no_order"),
+        _order_number(order).alias("number"),
+        parse_id(F.col("transaction_id"), TRANSACTION_PREFIX).alias("last_number"),
+    )
+    bucket = F.when(F.col("no_order"), F.lit(NO_ORDER)).otherwise(F.bitmap_bucket_number("number")).alias("bucket")
+    held = rows.groupBy(bucket).agg(_bitmap().alias("bits"), F.max("last_number").alias("last_number"))
+    bits = F.when(F.col("bucket").isNull() | (F.col("bucket") != NO_ORDER), F.col("bits"))
+    held.withColumn("bits", bits).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def read_references(spark: SparkSession, ledger_path: str) -> DataFrame:

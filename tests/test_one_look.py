@@ -1,0 +1,94 @@
+"""Frames that are costly to read are read once, with odd rows too."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.model import GOODS_RECEIPT
+from millrace.plans.movements import goods_receipts
+from millrace.session import scratch_path
+from millrace.streaming import references
+from millrace.streaming.receipts import book_batch, read_ledger, seed_ledger
+from tests import rows
+
+COLUMNS = ["transaction_date", "warehouse_id", "material_id", "transaction_type", "quantity", "reference_id"]
+ODD_ORDERS = [
+    {"purchase_order_id": "PO000001"},
+    {"purchase_order_id": "PO000001", "status": "CANCELLED"},  # takes back the delivered copy
+    {"purchase_order_id": "PO000002", "quantity": "1"},
+    {"purchase_order_id": "PO000002", "quantity": "2"},
+    {"purchase_order_id": None},
+    {"purchase_order_id": None, "quantity": None},
+    {"purchase_order_id": ""},
+    {"purchase_order_id": "X-7"},
+    {"purchase_order_id": "PO000003"},  # booked before
+    {"purchase_order_id": "PO000004", "material_id": None},
+    {"purchase_order_id": "PO000005", "material_id": "FG0001"},
+    {"purchase_order_id": "PO000006", "quantity": "-1"},
+    {"purchase_order_id": "PO000007", "expected_delivery_date": None},
+    {"purchase_order_id": "PO000008", "status": None},
+    {"purchase_order_id": "PO040009"},
+]
+
+
+def counting(df):
+    """The frame, and how many rows of it have been read."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def passed(row):
+        seen.add(1)
+        return row
+
+    return df.sparkSession.createDataFrame(df.rdd.map(passed), df.schema), seen
+
+
+def plain(df):
+    return sorted(map(tuple, df.select(*COLUMNS).collect()), key=str)
+
+
+def test_a_batch_of_orders_is_read_once(spark):
+    m = rows.masters(spark)
+    base = scratch_path(spark, "once").removeprefix("file:")
+    ledger, balance = f"{base}/ledger", f"{base}/balances"
+    orders = rows.purchase(spark, ODD_ORDERS)
+    earlier = goods_receipts(orders.where("purchase_order_id = 'PO000003'"), m["materials"], m["warehouses"])
+    seed_ledger(earlier, ledger, balance)
+    write = book_batch(ledger, balance, m["materials"], m["warehouses"], run="run")
+    batch, seen = counting(orders)
+    write(batch, 0)
+    assert seen.value == len(ODD_ORDERS)
+    booked = plain(read_ledger(spark, ledger))
+    assert booked == plain(goods_receipts(orders, m["materials"], m["warehouses"]))
+    assert sorted(r[-1] for r in booked) == ["PO000002", "PO000003", "PO040009", "X-7"]
+    write(orders.limit(0), 1)
+    book_batch(ledger, balance, m["materials"], m["warehouses"], run="another")(orders, 0)  # a fresh checkpoint
+    assert plain(read_ledger(spark, ledger)) == booked
+
+
+def test_the_references_of_a_ledger_are_made_in_one_look(spark):
+    ledger = rows.ledger(
+        spark,
+        [
+            ("IT000001", None, "WH001", "RM0001", GOODS_RECEIPT, 1, "PO000001"),
+            ("IT000004", None, "WH001", "RM0001", GOODS_RECEIPT, 1, "PO040001"),
+            ("IT000002", None, "WH001", "RM0001", GOODS_RECEIPT, 1, "odd"),
+            ("IT000003", None, "WH001", "RM0001", GOODS_RECEIPT, 1, None),
+            ("IT000009", None, "WH003", "FG0001", "SALES_SHIPMENT", 1, "PO000002"),
+            ("IT000007", None, None, None, None, None, "PO000003"),
+            (None, None, "WH001", "RM0001", GOODS_RECEIPT, 1, "PO000001"),
+        ],
+    )
+    for frame, last, buckets in ((ledger, 9, 4), (ledger.limit(0), 0, 0)):
+        path = scratch_path(spark, "referenced").removeprefix("file:")
+        counted, seen = counting(frame)
+        references.write_references(counted, references.folder(references.references_path(path), "run", 0))
+        assert seen.value == frame.count()
+        folder = {("run", 0)}
+        assert references.folders(spark, references.references_path(path)) == folder
+        assert references.highest_number(spark, path, folder) == last
+        kept = references.read_references(spark, path)
+        assert kept.count() == buckets
+        found = {r.bucket: r.n for r in kept.select("bucket", F.bitmap_count("bits").alias("n")).collect()}
+        assert found == ({1: 1, 2: 1, None: 1, references.NO_ORDER: None} if last else {})
+        met = {n: references.meeting(rows.purchase(spark, [{"purchase_order_id": n}]), path, folder) for n in ("PO000001", "PO000002", "PO000003", "other")}
+        assert met == {"PO000001": folder if last else set(), "PO000002": set(), "PO000003": set(), "other": folder if last else set()}
