@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from millrace.model import GOODS_RECEIPT
+from millrace.model import GOODS_RECEIPT, RAW_PURCHASE_ORDERS
 from millrace.plans.movements import goods_receipts
 from millrace.session import scratch_path
-from millrace.streaming import references
+from millrace.streaming import references, rescue
 from millrace.streaming.receipts import book_batch, read_ledger, seed_ledger
 from tests import rows
 
@@ -92,3 +93,66 @@ def test_the_references_of_a_ledger_are_made_in_one_look(spark):
         assert found == ({1: 1, 2: 1, None: 1, references.NO_ORDER: None} if last else {})
         met = {n: references.meeting(rows.purchase(spark, [{"purchase_order_id": n}]), path, folder) for n in ("PO000001", "PO000002", "PO000003", "other")}
         assert met == {"PO000001": folder if last else set(), "PO000002": set(), "PO000003": set(), "other": folder if last else set()}
+
+
+def lines_of(spark, files):
+    """Lines as the ingest stores them, each file in two splits."""
+    of = [(name, 100 * (i > 1), i, line) for name, text in files.items() for i, line in enumerate(text)]
+    return spark.createDataFrame(of, "_file string, _block bigint, _at bigint, _raw string")
+
+
+ODD_FILES = {
+    "repeated": ["purchase_order_id,x,x,,,status,status", "PO1,1,2,3,,old,new", "PO2,1,,,,,", "PO3,,,,4,,", "short"],
+    "unknown": ["x,_raw", "1,2", ",", ",3"],
+    "named_by_none": ["", "", '""', "lost"],
+    "damaged": ["status,purchase_order_id", 'S,"open', "S,PO4,more", "S", "S,PO4"],
+    "header_only": ["purchase_order_id"],
+}
+
+
+def test_lines_are_read_once_for_rows_and_once_for_what_is_held(spark):
+    lines = lines_of(spark, ODD_FILES)
+    starts = spark.createDataFrame(rescue.split_starts(lines).collect(), rescue.split_starts(lines).schema)
+    numbered = rescue.numbered_lines(lines, starts)
+    assert sorted(map(tuple, numbered.collect())) == sorted(map(tuple, rescue.numbered_lines(lines).collect()))
+    plan = rescue.file_heads(numbered, RAW_PURCHASE_ORDERS)
+    heads = spark.createDataFrame(plan.collect(), plan.schema)
+    counted, seen = counting(lines)
+    damaged = Observation()
+    rows_of, held = rescue.split_records(rescue.numbered_lines(counted, starts), RAW_PURCHASE_ORDERS, heads, damaged)
+    found = {(r.source_file, r.purchase_order_id, r.status): r._rescued for r in rows_of.collect()}
+    assert seen.value == lines.count() and damaged.get["held"] == 4
+
+    def where(file, line):
+        return {"_file": file, "_line": str(line), "_raw": ODD_FILES[file][line - 1]}
+
+    assert found == {
+        ("repeated", "PO1", "new"): {"x": "2", "": "3"} | where("repeated", 2),
+        ("repeated", "PO2", None): {"x": "1"} | where("repeated", 3),
+        ("repeated", "PO3", None): {"": "4"} | where("repeated", 4),
+        ("unknown", None, None): where("unknown", 4),  # the last of its three records; the others are below
+        ("named_by_none", None, None): {"": "lost"} | where("named_by_none", 4),
+        ("damaged", "PO4", "S"): None,
+    }
+    unknown = [r._rescued for r in rows_of.where("source_file = 'unknown'").collect()]
+    assert len(unknown) == 3 and all(x in unknown for x in ({"x": "1"} | where("unknown", 2), None, where("unknown", 4)))
+    assert {(r._file, r._line, r.reason.split()[0]) for r in held.collect()} == {("repeated", 5, "fewer"), ("damaged", 2, "quotes"), ("damaged", 3, "more"), ("damaged", 4, "fewer")}
+
+
+def test_a_batch_without_damaged_records_is_not_read_for_them(spark, monkeypatch):
+    split = rescue.split_records
+
+    def watched(*args):
+        rows_of, held = split(*args)
+        return rows_of, held.withColumn("reason", F.raise_error(F.lit("looked for what is held")).cast("string"))
+
+    monkeypatch.setattr(rescue, "split_records", watched)
+    base = scratch_path(spark, "rescued").removeprefix("file:")
+    write = rescue.write_rescued(f"{base}/bronze", f"{base}/held", RAW_PURCHASE_ORDERS, "run")
+    whole = {name: ODD_FILES[name] for name in ("unknown", "header_only")}
+    read = lines_of(spark, whole).drop("_at").coalesce(1)
+    for batch, count in enumerate((read, read.limit(0), read.where("_raw = 'purchase_order_id'"))):
+        write(count, batch)
+    assert spark.read.parquet(f"{base}/bronze").groupBy("ingest_batch").count().collect() == [(0, 3)]
+    assert spark.read.parquet(f"{base}/held").columns == ["_file", "_line", "_raw", "reason", "ingest_run", "ingest_batch"]
+    assert spark.read.parquet(f"{base}/held").count() == 0
