@@ -75,10 +75,8 @@ def refresh_partials(spark: SparkSession, namespace: str, partners: DataFrame, k
         if chosen is None:
             replace_table(of_rows(rows).hint("rebalance", MONTH), names[what], partition_by=[MONTH])
             return
-        path = scratch_path(spark, what)
-        of_rows(read_months(rows, chosen)).write.parquet(path)
-        replace_folders(spark.read.schema(spark.table(names[what]).schema).parquet(path), names[what], MONTH, months)
-        discard(spark, path)
+        # no partials are made of their own table, and replacing runs the frame once
+        replace_folders(of_rows(read_months(rows, chosen)), names[what], MONTH, months)
 
     put("partners", lambda rows: partials.partner_partials(rows, kind), orders)
     put("materials", lambda rows: partials.material_partials(rows, kind), orders)

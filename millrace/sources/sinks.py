@@ -173,28 +173,40 @@ def refreshed(spark: SparkSession, name: str) -> None:
 def replace_folders(df: DataFrame, name: str, folder: str, values: Sequence[object]) -> int:
     """Rewrites some partition folders of a table, those of ``values``, and leaves all others.
 
-    The frame has rows of these folders only, and may not read them. A folder it has no row for
-    is removed. ``values`` is one entry per folder, so a short list. Other sessions that have read the
-    table before must refresh it.
+    The frame has rows of these folders only, and may not read them. It runs once: which folders it fills is
+    seen while it is written. A folder it has no row for is removed. ``values`` is one date or whole number per folder, so a
+    short list. Other sessions that have read the table before must refresh it.
     """
     spark = df.sparkSession
     path = location(spark, name)
     columns = [c for c in spark.table(name).columns if c != folder]
-    rows = replace_months(df.select(*columns, folder), path, folder)
-    filled = {r[0] for r in df.select(folder).distinct().collect()}
-    for value in set(values) - filled:
+    found = Observation()
+    of_folder = F.col(folder).cast("string")
+    written = {
+        "filled": F.array_join(F.collect_set(of_folder), "\n"),  # as text, for lists of dates don't pass
+        "without": F.count_if(of_folder.isNull()),
+    }
+    rows = replace_months(df.select(*columns, folder), path, folder, (found, written))
+    filled = set(found.get["filled"].split("\n"))
+    for value in (v for v in set(values) if not (found.get["without"] if v is None else str(v) in filled)):
         discard(spark, f"{path}/{folder}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
     refreshed(spark, name)
     return rows
 
 
-def replace_months(df: DataFrame, path: str, month: str = "order_month") -> int:
+def replace_months(
+    df: DataFrame, path: str, month: str = "order_month", more: tuple[Observation, dict[str, Column]] | None = None
+) -> int:
     """Rewrites the months that occur in the frame and leaves all others.
 
     Rows of a month are brought together first, so that a month is a few files and not one
-    per task; a month that is too large for one task is split again.
+    per task; a month that is too large for one task is split again. ``more`` observes further aggregates of
+    the rows as they are written.
     """
-    counted, seen = _observed(df.hint("rebalance", month))
+    together = df.hint("rebalance", month)
+    if more is not None:
+        together = together.observe(more[0], *(value.alias(name) for name, value in more[1].items()))
+    counted, seen = _observed(together)
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

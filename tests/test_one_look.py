@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from millrace.model import GOODS_RECEIPT, RAW_PURCHASE_ORDERS
+from millrace.model import GOODS_RECEIPT, PURCHASE, RAW_PURCHASE_ORDERS
 from millrace.plans.movements import goods_receipts
-from millrace.session import scratch_path
+from millrace.session import scratch_database, scratch_path
+from millrace.sources import monthly, sinks
 from millrace.streaming import references, rescue
 from millrace.streaming.receipts import book_batch, read_ledger, seed_ledger
 from tests import rows
@@ -156,3 +159,47 @@ def test_a_batch_without_damaged_records_is_not_read_for_them(spark, monkeypatch
     assert spark.read.parquet(f"{base}/bronze").groupBy("ingest_batch").count().collect() == [(0, 3)]
     assert spark.read.parquet(f"{base}/held").columns == ["_file", "_line", "_raw", "reason", "ingest_run", "ingest_batch"]
     assert spark.read.parquet(f"{base}/held").count() == 0
+
+
+def test_folders_are_replaced_by_one_run_of_the_frame(spark):
+    name = f"{scratch_database(spark, 'folders')}.orders"
+    fields = "v int, order_month date"
+    days = [date(2025, n, 1) for n in range(1, 5)]
+    stored = spark.createDataFrame([(n, day) for n, day in enumerate([*days, None])], fields)
+    sinks.replace_table(stored, name, partition_by=["order_month"])
+
+    def replaced(rows_of, months):
+        frame, seen = counting(spark.createDataFrame(rows_of, fields))
+        assert sinks.replace_folders(frame, name, "order_month", months) == seen.value == len(rows_of)
+        return sorted(((r.v, r.order_month) for r in spark.table(name).collect()), key=str)
+
+    kept = [(3, days[3]), (4, None)]
+    assert replaced([(10, days[0]), (11, days[0])], days[:3]) == sorted([(10, days[0]), (11, days[0]), *kept], key=str)
+    assert replaced([(20, None), (21, days[0])], [None, days[0]]) == sorted([(20, None), (21, days[0]), kept[0]], key=str)
+    assert replaced([(30, days[1])], [None, days[1]]) == sorted([(30, days[1]), (21, days[0]), kept[0]], key=str)
+    assert replaced([], [days[0], days[1], None]) == kept[:1]
+
+
+def test_partials_of_changed_months_are_not_copied_before_they_are_stored(spark, monkeypatch):
+    namespace = scratch_database(spark, "changed")
+    fields = "purchase_order_id string, order_date date, supplier_id string, material_id string, quantity bigint, status string"
+
+    def orders_of(*some):
+        return spark.createDataFrame([(k, day, s, m, n, "DELIVERED") for k, day, s, m, n in some], fields)
+
+    m, day = rows.masters(spark), date(2025, 2, 3)
+    earlier = orders_of(("PO1", day, "SUP001", "RM0001", 1), ("PO2", None, None, None, 2), (None, day, "SUP002", "RM0002", 3), ("PO3", date(2025, 3, 1), "SUP003", "RM0001", None))
+    monthly.store_orders(earlier, m["suppliers"], PURCHASE, namespace)
+    copied, folder = [], monthly.scratch_path
+    monkeypatch.setattr(monthly, "scratch_path", lambda s, purpose: copied.append(purpose) or folder(s, purpose))
+    # one order loses its date, another gets one, the order without an id loses its partner and a month is left empty
+    batch = orders_of(("PO1", None, "SUP001", "RM0001", 5), ("PO2", day, "SUP003", "RM0002", 6), (None, day, None, None, None), ("PO3", day, "SUP003", "RM0001", 7))
+    monthly.change_orders(batch, m["suppliers"], PURCHASE, namespace)
+    assert copied == ["batch", "months"]
+    changed = {what: spark.table(monthly.partial_table(namespace, PURCHASE, what)) for what in ("partners", "materials", "bits")}
+    found = {what: sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str) for what, df in changed.items()}
+    monthly.store_orders(spark.table(monthly.orders_table(namespace, PURCHASE)).drop("order_month"), m["suppliers"], PURCHASE, namespace)
+    for what, before in found.items():
+        df = spark.table(monthly.partial_table(namespace, PURCHASE, what))
+        assert before == sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=str)
+    assert {r.order_month for r in changed["partners"].collect()} == {None, date(2025, 2, 1)}
